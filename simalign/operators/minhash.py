@@ -44,7 +44,7 @@ def signatures(docs: DataFrame, tokens: Column, *keys: str, perms: int = MAX_PER
         *keys, token_hash(F.col("_token")).alias("_h")
     )
     minima = [
-        F.min((F.col("_h") * a + b) % PRIME).alias(f"_m{i}")
+        F.expr(f"min((_h * {a}L + {b}L) % {PRIME}L) AS _m{i}")
         for i, (a, b) in enumerate(hash_family(perms))
     ]
     return (
