@@ -60,7 +60,9 @@ def parse_series(spark, sf):
     return back.withColumn("series", vectors.parse_series(F.col("series")))
 
 
-@query("append_metrics", "run string, n_rows long, share double")
+@query("append_metrics", "run string, n_rows long, share double",
+       "SELECT 'quality' AS run, count(*) AS n_rows, avg(quality) AS share FROM labels"
+       " UNION ALL SELECT 'toxic', count(*), avg(toxic) FROM labels")
 def append_metrics(spark, sf):
     path = scratch(spark, "metrics")
     rows = table(spark, sf, "labels")
