@@ -5,17 +5,23 @@ distinct. A test set is compared with the training sets of its own fold only. Te
 no training set of the fold holds are dropped before the distance, as a vectoriser fitted
 on the training side would drop them.
 
-How it stays exact and below quadratic:
+The number of (test, train, term) matches is measured first, from term frequencies.
+
+Few matches for the cores at hand: they are counted directly, one equi-join on terms. Terms
+that alone would keep a task busy are cut into blocks.
+
+Too many: the indexed search, exact and below quadratic.
 
 1.  Terms get ids in order of training frequency, rare first. Equal training sets collapse
     into one group that remembers its k smallest members; the rest can never be in a top k.
 2.  A bounded number of training groups per rare test term is compared exactly. The k-th
     best similarity found is a lower bound s for the final k-th similarity.
 3.  A group at least as similar as s must share one of the first a - ceil(s*a) + 1 terms of
-    the test set (prefix filter), at positions that leave enough terms to reach s. Only such
-    pairs meet; all of them are compared, then ranked by (distance, train_id).
-4.  Test documents with fewer than k overlapping neighbours are filled up with the smallest
-    training ids at distance 1.
+    the test set (prefix filter). Only such pairs meet, those whose shared count can still
+    reach s are compared, then ranked by (distance, train_id).
+
+Either way the k smallest training ids join the ranking of every test document at the
+distance of no shared term, so that each one gets k neighbours.
 """
 
 from __future__ import annotations
@@ -33,24 +39,16 @@ PROBE_TERMS = 48
 PROBE_GROUPS = 24
 # Training rows of one term that meet in one task; more are spread over salted blocks.
 BLOCK_ROWS = 4096
+# Matches per core up to which they are counted directly, and matches of one term per task.
+MATCHES_PER_CORE = 25_000_000
+MATCHES_PER_TASK = 4_000_000
 
 
-def encode_terms(train: DataFrame, keep: DataFrame | None = None) -> DataFrame:
-    """(fold, term, term_id, df): ids grow with the training frequency of the term.
-
-    `keep` (fold, term) limits the vocabulary.
-    """
-    parts = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = (
-        train.select("fold", F.explode_outer("terms").alias("term"))
-        .filter(F.col("term").isNotNull())
-        .groupBy("fold", "term")
-        .agg(F.count("*").alias("df"))
-    )
-    if keep is not None:
-        counts = counts.join(keep.select("fold", "term"), ["fold", "term"], "left_semi")
+def encode_terms(terms: DataFrame) -> DataFrame:
+    """(fold, term, term_id, df): ids grow with the training frequency of the term."""
+    parts = int(terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ("df", "fold", "term")
-    placed = counts.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = terms.select(*order).repartitionByRange(parts, *order).sortWithinPartitions(*order)
     return stage(placed.withColumn("term_id", F.monotonically_increasing_id()))
 
 
@@ -71,19 +69,19 @@ def encode_sets(sets: DataFrame, vocabulary: DataFrame) -> DataFrame:
     )
 
 
-def collapse(encoded: DataFrame, k: int, *also: str) -> DataFrame:
-    """One row per distinct set: (fold, ids, also, gid, members, n), gid the smallest member.
+def collapse(sets: DataFrame, content: str, k: int, *also: str) -> DataFrame:
+    """One row per distinct set: (fold, content, also, gid, members, n), gid the smallest member.
 
     `members` holds the k smallest documents as (train_id, label), `n` counts all of them.
     The rank filter keeps k rows per set before the shuffle, however many copies there are.
     """
-    same = ["fold", "ids", *also]
-    smallest = _top(encoded, same, [F.col("doc_id")], k, "_rn")
+    same = ["fold", content, *also]
+    smallest = _top(sets, same, [F.col("doc_id")], k, "_rn")
     member = F.struct(F.col("doc_id").alias("train_id"), "label")
     groups = smallest.groupBy(*same).agg(
         F.min("doc_id").alias("gid"), F.sort_array(F.collect_list(member)).alias("members")
     )
-    sizes = encoded.groupBy(*same).agg(F.min("doc_id").alias("gid"), F.count("*").alias("n"))
+    sizes = sets.groupBy(*same).agg(F.min("doc_id").alias("gid"), F.count("*").alias("n"))
     return groups.join(sizes.select("fold", "gid", "n"), ["fold", "gid"])
 
 
@@ -103,11 +101,9 @@ def _postings(groups: DataFrame, gid: str, size: str, pos: str) -> DataFrame:
 
 
 def overlaps(pairs: DataFrame, test: DataFrame, train: DataFrame) -> DataFrame:
-    """Exact intersection and set sizes for (fold, test_id, gid) pairs."""
-    left = test.select("fold", "test_id", F.transform("ids", lambda t: t["term_id"]).alias("_a"))
-    right = train.select(
-        "fold", "gid", "members", F.transform("ids", lambda t: t["term_id"]).alias("_b")
-    )
+    """Exact intersection and set sizes for (fold, test_id, gid) pairs, over column `terms`."""
+    left = test.select("fold", "test_id", F.col("terms").alias("_a"))
+    right = train.select("fold", "gid", "members", F.col("terms").alias("_b"))
     return (
         pairs.join(left, ["fold", "test_id"])
         .join(right, ["fold", "gid"])
@@ -150,7 +146,8 @@ def probe_bounds(test: DataFrame, train: DataFrame, k: int) -> DataFrame:
         .withColumn("_score", F.col("c") / (F.col("a") + F.col("b") - F.col("c")))
     )
     chosen = _top(met, ["fold", "test_id"], [F.col("_score").desc(), F.col("gid")], 2 * k, "_rn")
-    compared = overlaps(chosen.select("fold", "test_id", "gid"), test, train).drop("members")
+    ids = [d.withColumn("terms", F.transform("ids", lambda t: t["term_id"])) for d in (test, train)]
+    compared = overlaps(chosen.select("fold", "test_id", "gid"), *ids).drop("members")
     kth = nearest_groups(compared, k).filter(F.col("_g") == k)
     return kth.select(
         "fold", "test_id",
@@ -214,6 +211,108 @@ def candidate_pairs(test: DataFrame, train: DataFrame, bounds: DataFrame) -> Dat
     )
 
 
+def term_matches(train: DataFrame, test: DataFrame, keep: DataFrame | None = None) -> DataFrame:
+    """(fold, term, df, matches) for the training vocabulary; `keep` (fold, term) limits it."""
+
+    def counts(sets: DataFrame, out: str) -> DataFrame:
+        return term_rows(sets).groupBy("fold", "term").agg(F.count("*").alias(out))
+
+    known = counts(train, "df")
+    if keep is not None:
+        known = known.join(keep.select("fold", "term"), ["fold", "term"], "left_semi")
+    met = known.join(counts(test, "_t"), ["fold", "term"], "left")
+    return met.select("fold", "term", "df", (F.col("df") * F.coalesce("_t", F.lit(0))).alias("matches"))
+
+
+def term_rows(sets: DataFrame, *keys: str) -> DataFrame:
+    """(fold, keys, term), one row per element of a set."""
+    # outer: an inner explode would evaluate the terms a second time to filter empty sets
+    rows = sets.select("fold", *keys, F.explode_outer("terms").alias("term"))
+    return rows.filter(F.col("term").isNotNull())
+
+
+def known_sizes(sets: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(fold, doc_id, size): terms of every set that the vocabulary (fold, term) holds."""
+    known = term_rows(sets, "doc_id").join(
+        vocabulary.select("fold", "term"), ["fold", "term"], "left_semi"
+    )
+    sizes = known.groupBy("fold", "doc_id").agg(F.count("*").cast("int").alias("size"))
+    return sets.select("fold", "doc_id").join(sizes, ["fold", "doc_id"], "left").fillna(0, ["size"])
+
+
+def nearest(train: DataFrame, test: DataFrame, k: int, keep: DataFrame | None = None) -> DataFrame:
+    """(fold, test_id, test_label, train_id, label, dist, rank): the k nearest per test set."""
+    terms = stage(term_matches(train, test, keep))
+    total = terms.agg(F.sum("matches")).first()[0] or 0
+    if total <= MATCHES_PER_CORE * train.sparkSession.sparkContext.defaultParallelism:
+        listed = _count_directly(train, test, terms, k, keep is not None)
+    else:
+        index = fit(train, terms, k)
+        listed = search(index, encode_queries(index, test))
+    labels = test.select("fold", F.col("doc_id").alias("test_id"), F.col("label").alias("test_label"))
+    return listed.join(labels, ["fold", "test_id"])
+
+
+def fillers(train: DataFrame, k: int) -> DataFrame:
+    """(fold, train_id, label): the k smallest training ids of every fold."""
+    ids = train.select("fold", F.col("doc_id").alias("train_id"), "label")
+    return _top(ids, ["fold"], [F.col("train_id")], k, "_rn").drop("_rn")
+
+
+def _count_directly(
+    train: DataFrame, test: DataFrame, terms: DataFrame, k: int, limited: bool
+) -> DataFrame:
+    # at most MATCHES_PER_CORE / MATCHES_PER_TASK terms per core, so safe to broadcast
+    busy = F.broadcast(
+        terms.filter(F.col("matches") > MATCHES_PER_TASK).select(
+            "fold", "term", F.ceil(F.col("matches") / MATCHES_PER_TASK).cast("int").alias("_n")
+        )
+    )
+    blocks = F.coalesce("_n", F.lit(1))
+    left = (
+        term_rows(test, "doc_id")
+        .join(busy, ["fold", "term"], "left")
+        .select(
+            "fold", "term", F.col("doc_id").alias("test_id"),
+            F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_block"),
+        )
+    )
+    right_rows = term_rows(train, "doc_id")
+    if limited:
+        right_rows = right_rows.join(terms.select("fold", "term"), ["fold", "term"], "left_semi")
+    right = right_rows.join(busy, ["fold", "term"], "left").select(
+        "fold", "term", F.col("doc_id").alias("train_id"), F.pmod(F.hash("doc_id"), blocks).alias("_block")
+    )
+    matches = left.join(right, ["fold", "term", "_block"]).select(
+        "fold", "test_id", "train_id", F.lit(1).alias("w")
+    )
+    # pairs without a match: the smallest ids, and for empty sets the smallest empty ones
+    tests = test.select("fold", F.col("doc_id").alias("test_id"))
+    b = F.col("size") if limited else F.size("terms")
+    known = train if not limited else train.join(known_sizes(train, terms), ["fold", "doc_id"])
+    sizes_b = known.select("fold", F.col("doc_id").alias("train_id"), "label", b.alias("b"))
+    sizes_a = known_sizes(test, terms).withColumnsRenamed({"doc_id": "test_id", "size": "a"})
+    first = fillers(train, k).select("fold", "train_id")
+    empty = _top(sizes_b.filter("b = 0"), ["fold"], [F.col("train_id")], k, "_rn")
+    unmatched = tests.join(first, "fold").unionByName(
+        sizes_a.filter("a = 0").select("fold", "test_id").join(empty.select("fold", "train_id"), "fold")
+    )
+    inter = (
+        matches.unionByName(unmatched.withColumn("w", F.lit(0)))
+        .groupBy("fold", "test_id", "train_id")
+        .agg(F.sum("w").alias("inter"))
+    )
+    scored = (
+        inter.join(sizes_a, ["fold", "test_id"])
+        .join(sizes_b, ["fold", "train_id"])
+        .select(
+            "fold", "test_id", "train_id", "label",
+            jaccard_distance(F.col("inter"), F.col("a"), F.col("b")).alias("dist"),
+        )
+    )
+    return _top(scored, ["fold", "test_id"], [F.col("dist"), F.col("train_id")], k)
+
+
 @dataclass(frozen=True)
 class NeighbourIndex:
     """A fitted training side: vocabulary, encoded documents and collapsed groups."""
@@ -224,22 +323,22 @@ class NeighbourIndex:
     k: int
 
 
-def fit(train: DataFrame, k: int, keep: DataFrame | None = None) -> NeighbourIndex:
-    vocabulary = encode_terms(train, keep)
+def fit(train: DataFrame, terms: DataFrame, k: int) -> NeighbourIndex:
+    vocabulary = encode_terms(terms)
     encoded = stage(encode_sets(train, vocabulary))
-    return NeighbourIndex(vocabulary, encoded, stage(collapse(encoded, k)), k)
+    return NeighbourIndex(vocabulary, encoded, stage(collapse(encoded, "ids", k)), k)
 
 
 def encode_queries(index: NeighbourIndex, test: DataFrame) -> DataFrame:
-    encoded = encode_sets(test, index.vocabulary)
-    return stage(encoded.withColumnsRenamed({"doc_id": "test_id", "label": "test_label"}))
+    return stage(encode_sets(test, index.vocabulary).withColumnRenamed("doc_id", "test_id").drop("label"))
 
 
 def search(index: NeighbourIndex, queries: DataFrame) -> DataFrame:
-    """(fold, test_id, test_label, train_id, label, dist, rank): the k nearest per query."""
+    """(fold, test_id, train_id, label, dist, rank): the k nearest per query."""
     k, groups = index.k, index.groups
     bounds = stage(probe_bounds(queries, groups, k))
-    compared = overlaps(candidate_pairs(queries, groups, bounds), queries, groups)
+    ids = [d.withColumn("terms", F.transform("ids", lambda t: t["term_id"])) for d in (queries, groups)]
+    compared = overlaps(candidate_pairs(queries, groups, bounds), *ids)
     # an empty test set meets the empty training set, at distance 0
     empty = (
         queries.filter(F.size("ids") == 0)
@@ -250,52 +349,17 @@ def search(index: NeighbourIndex, queries: DataFrame) -> DataFrame:
         )
     )
     near = nearest_groups(compared.unionByName(empty), k)
-    # read twice below: as the result and to find what it lacks
-    listed = stage(rank_members(near, ["fold", "test_id"], k))
-    filled = listed.unionByName(_fill(listed, queries, index.encoded, k))
-    return filled.join(queries.select("fold", "test_id", "test_label"), ["fold", "test_id"])
+    found = near.select("fold", "test_id", "dist", F.inline("members"))
+    spare = queries.select("fold", "test_id", F.lit(1.0).alias("dist")).join(
+        fillers(index.encoded, k), "fold"
+    )
+    every = found.unionByName(spare).groupBy("fold", "test_id", "train_id", "label").agg(
+        F.min("dist").alias("dist")
+    )
+    return _top(every, ["fold", "test_id"], [F.col("dist"), F.col("train_id")], k)
 
 
 def rank_members(groups: DataFrame, keys: list[str], k: int) -> DataFrame:
     """Nearest groups to nearest documents: (keys, train_id, label, dist, rank)."""
     members = groups.select(*keys, "dist", F.inline("members"))
     return _top(members, keys, [F.col("dist"), F.col("train_id")], k)
-
-
-def nearest(train: DataFrame, test: DataFrame, k: int, keep: DataFrame | None = None) -> DataFrame:
-    """The k nearest training sets of every test set."""
-    index = fit(train, k, keep)
-    return search(index, encode_queries(index, test))
-
-
-def _fill(listed: DataFrame, queries: DataFrame, train: DataFrame, k: int) -> DataFrame:
-    """Distance-1 neighbours for test documents with fewer than k overlapping ones.
-
-    Of the k smallest training ids at least k - found are unmatched, so k ids per fold do.
-    """
-    smallest = _top(
-        train.select("fold", F.col("doc_id").alias("train_id"), "label"),
-        ["fold"], [F.col("train_id")], k, "_rn",
-    ).drop("_rn")
-    found = listed.groupBy("fold", "test_id").agg(
-        F.count("*").alias("found"), F.collect_list("train_id").alias("_seen")
-    )
-    short = (
-        queries.select("fold", "test_id")
-        .join(found, ["fold", "test_id"], "left")
-        .filter(F.coalesce("found", F.lit(0)) < k)
-        .select(
-            "fold", "test_id",
-            F.coalesce("found", F.lit(0)).alias("found"),
-            F.coalesce("_seen", F.array().cast("array<bigint>")).alias("_seen"),
-        )
-    )
-    spare = short.join(smallest, "fold").filter(~F.array_contains("_seen", F.col("train_id")))
-    spare = spare.withColumn("dist", F.lit(1.0))
-    ranked = spare.withColumn(
-        "rank",
-        F.row_number().over(Window.partitionBy("fold", "test_id").orderBy("train_id")) + F.col("found"),
-    )
-    return ranked.filter(F.col("rank") <= k).select(
-        "fold", "test_id", "dist", "train_id", "label", "rank"
-    )

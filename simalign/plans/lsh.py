@@ -36,16 +36,22 @@ def split_by_candidates(test: DataFrame, candidates: DataFrame) -> tuple[DataFra
     return test.join(served, "doc_id", "left_semi"), test.join(served, "doc_id", "left_anti")
 
 
-def local_sizes(pairs: DataFrame, queries: DataFrame, groups: DataFrame, *keys: str) -> DataFrame:
+def signed_sets(docs: DataFrame, perms: int) -> DataFrame:
+    """(fold, doc_id, label, terms, sig); `terms` sorted, `sig` NULL without tokens."""
+    sets = term_sets(docs).withColumn("terms", F.sort_array("terms"))
+    return sets.join(signed(docs, "doc_id", perms=perms), "doc_id", "left")
+
+
+def local_sizes(pairs: DataFrame, test: DataFrame, groups: DataFrame, *keys: str) -> DataFrame:
     """(keys, test_id, a): terms of a test set that any of its candidates holds."""
-    left = queries.select("test_id", F.transform("ids", lambda t: t["term_id"]).alias("_a"))
-    right = groups.select("gid", F.transform("ids", lambda t: t["term_id"]).alias("_b"))
+    left = test.select("test_id", F.col("terms").alias("_a"))
+    right = groups.select("gid", F.col("terms").alias("_b"))
     shared = (
         pairs.join(left, "test_id")
         .join(right, "gid")
-        .select(*keys, "test_id", F.explode(F.array_intersect("_a", "_b")).alias("term_id"))
+        .select(*keys, "test_id", F.explode(F.array_intersect("_a", "_b")).alias("term"))
     )
-    return shared.distinct().groupBy(*keys, "test_id").agg(F.count("*").cast("int").alias("a"))
+    return shared.distinct().groupBy(*keys, "test_id").agg(F.count("*").cast("int").alias("_a"))
 
 
 def rank_candidates(compared: DataFrame, pairs: DataFrame, *keys: str) -> DataFrame:
@@ -71,36 +77,43 @@ def knn_lsh(
     """
     bands, rows = minhash.band_params(perms, threshold)
     used = bands * rows
-    index = nb.fit(stage(term_sets(train)), adaptive_k(train.count()))
-    queries = nb.encode_queries(index, stage(term_sets(test)))
-    groups = stage(
-        nb.collapse(index.encoded.join(signed(train, "doc_id", perms=used), "doc_id"), FULL_K, "sig")
-    )
+    marked = train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+    sides = stage(signed_sets(marked, used).join(marked.select("doc_id", "is_test"), "doc_id"))
+    train_sets = sides.filter(~F.col("is_test")).drop("is_test")
+    test_sets = sides.filter("is_test").drop("is_test")
+    groups = stage(nb.collapse(train_sets.filter("sig IS NOT NULL"), "terms", FULL_K, "sig"))
+    queries = test_sets.withColumnRenamed("doc_id", "test_id")
     pairs = stage(
         minhash.bucket_pairs(
-            minhash.band_rows(signed(test, "doc_id", perms=used), bands, rows, "doc_id")
-            .withColumnRenamed("doc_id", "test_id"),
+            minhash.band_rows(queries.filter("sig IS NOT NULL"), bands, rows, "test_id"),
             minhash.band_rows(groups, bands, rows, "gid"),
             ["band", "band_key"], "test_id", "gid",
         )
     )
-    compared = nb.overlaps(pairs.withColumn("fold", F.lit(0)), queries, groups)
     if local:
-        sizes = local_sizes(pairs, queries, groups).withColumnRenamed("a", "_a")
-        compared = (
-            compared.join(sizes, "test_id", "left").withColumn("a", F.coalesce("_a", F.lit(0))).drop("_a")
+        sizes = local_sizes(pairs, queries, groups)
+    else:
+        vocabulary = nb.term_rows(train_sets).distinct()
+        sizes = nb.known_sizes(test_sets, vocabulary).select(
+            F.col("doc_id").alias("test_id"), F.col("size").alias("_a")
         )
+    compared = (
+        nb.overlaps(pairs.withColumn("fold", F.lit(0)), queries, groups)
+        .join(sizes, "test_id", "left")
+        .withColumn("a", F.coalesce("_a", F.lit(0)))
+        .drop("_a")
+    )
     ranked = rank_candidates(compared, pairs.join(groups.select("gid", "n"), "gid"))
     by_lsh = vote(ranked, "test_id", "n_candidates").withColumn("route", F.lit("lsh"))
-    rest = queries.join(pairs, "test_id", "left_anti")
+    rest = test_sets.join(pairs.select(F.col("test_id").alias("doc_id")), "doc_id", "left_anti")
     by_all = (
-        vote(nb.search(index, rest), "test_id")
+        vote(nb.nearest(train_sets, rest, adaptive_k(train_sets.count())), "test_id")
         .withColumn("route", F.lit("all"))
         .withColumn("n_candidates", F.lit(0).cast("bigint"))
     )
     return (
         by_lsh.unionByName(by_all)
-        .join(queries.select("test_id", F.col("test_label").alias("label")), "test_id")
+        .join(queries.select("test_id", "label"), "test_id")
         .select(F.col("test_id").alias("doc_id"), "label", "pred", "route", "n_candidates")
     )
 
