@@ -10,11 +10,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simalign.functions import warp
 
+# Tasks get the kernels with the function: executors need not have this package installed.
+register_pickle_by_value(warp)
+
 # Values of one kernel call; bounds the memory of a task.
 DISTANCE_VALUES = 1 << 20
 MATRIX_ROWS = 64
