@@ -31,63 +31,80 @@ def usable(a, b) -> bool:
     return True
 
 
-def same_shape_batches(pdf: pd.DataFrame, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(row positions, A, B): usable rows stacked by equal lengths, about `limit` cells each."""
-    shapes: dict[tuple[int, int], list[int]] = {}
+def _size_class(n: int) -> int:
+    """Lengths within about a quarter of each other share a class."""
+    return int(np.log(n) / np.log(1.25))
+
+
+def padded_batches(
+    pdf: pd.DataFrame, limit: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(row positions, A, B, lengths of A, lengths of B) for usable rows of similar lengths.
+
+    Shorter series are padded; a cell depends on earlier cells only, so padding never
+    reaches the cell a pair ends in. A batch holds about `limit` values.
+    """
+    classes: dict[tuple[int, int], list[int]] = {}
     for pos, (a, b) in enumerate(zip(pdf["a"], pdf["b"])):
         if usable(a, b):
-            shapes.setdefault((len(a), len(b)), []).append(pos)
-    for (n, m), rows in shapes.items():
-        step = max(1, limit // (n + m))
+            classes.setdefault((_size_class(len(a)), _size_class(len(b))), []).append(pos)
+    for rows in classes.values():
+        widest = max(len(pdf["a"].iat[p]) + len(pdf["b"].iat[p]) for p in rows)
+        step = max(1, limit // widest)
         for i in range(0, len(rows), step):
-            pick = np.array(rows[i : i + step])
-            yield (
-                pick,
-                np.stack([np.asarray(pdf["a"].iat[p], dtype=float) for p in pick]),
-                np.stack([np.asarray(pdf["b"].iat[p], dtype=float) for p in pick]),
-            )
+            pick = rows[i : i + step]
+            sides = [[np.asarray(pdf[c].iat[p], dtype=float) for p in pick] for c in ("a", "b")]
+            lengths = [np.array([len(s) for s in side]) for side in sides]
+            stacked = [np.zeros((len(pick), n.max())) for n in lengths]
+            for out, side in zip(stacked, sides):
+                for r, s in enumerate(side):
+                    out[r, : len(s)] = s
+            yield np.array(pick), *stacked, *lengths
 
 
-def distances(a: np.ndarray, b: np.ndarray, cost: str) -> np.ndarray:
-    """Warped distance of row r of `a` (rows, n) and `b` (rows, m).
+def distances(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, cost: str) -> np.ndarray:
+    """Warped distance of the first n[r] values of row r of `a` and the first m[r] of `b`.
 
     Cells with equal i + j do not depend on each other, so whole anti-diagonals are updated
     for all rows at once. Three diagonals are kept, indexed by i: memory grows with the
     length of a series, not with its square.
     """
-    rows, n = a.shape
-    m = b.shape[1]
-    before = np.full((rows, n + 1), np.inf)  # diagonal d - 2
-    last = np.full((rows, n + 1), np.inf)  # diagonal d - 1
+    rows, width = a.shape
+    height = b.shape[1]
+    out, ends = np.empty(rows), n + m
+    before = np.full((rows, width + 1), np.inf)  # diagonal d - 2
+    last = np.full((rows, width + 1), np.inf)  # diagonal d - 1
     before[:, 0] = 0.0
-    for d in range(2, n + m + 1):
-        lo, hi = max(1, d - m), min(n, d - 1)
+    for d in range(2, int(ends.max()) + 1):
+        lo, hi = max(1, d - height), min(width, d - 1)
         i = np.arange(lo, hi + 1)
         step = local_cost(a[:, i - 1], b[:, d - i - 1], cost)
         best = np.minimum(before[:, lo - 1 : hi], np.minimum(last[:, lo - 1 : hi], last[:, lo : hi + 1]))
-        current = np.full((rows, n + 1), np.inf)
+        current = np.full((rows, width + 1), np.inf)
         current[:, lo : hi + 1] = step + best
         before, last = last, current
-    return last[:, n]
+        done = np.flatnonzero(ends == d)
+        out[done] = current[done, n[done]]
+    return out
 
 
 def matrices(a: np.ndarray, b: np.ndarray, cost: str) -> tuple[np.ndarray, np.ndarray]:
-    """Cumulated cost and direction codes, both (rows, n, m).
+    """Cumulated cost and direction codes of one pair, both (n, m).
 
     Direction: where the smallest of (i-1, j-1), (i-1, j), (i, j-1) lies, first one on ties.
     """
-    rows, n = a.shape
-    m = b.shape[1]
-    total = np.full((rows, n + 1, m + 1), np.inf)
-    total[:, 0, 0] = 0.0
-    codes = np.zeros((rows, n, m), dtype=np.int8)
+    a, b = np.asarray(a, dtype=float), np.asarray(b, dtype=float)
+    n, m = len(a), len(b)
+    total = np.full((n + 1, m + 1), np.inf)
+    total[0, 0] = 0.0
+    codes = np.zeros((n, m), dtype=np.int8)
     for d in range(2, n + m + 1):
         i = np.arange(max(1, d - m), min(n, d - 1) + 1)
         j = d - i
-        origin = np.stack([total[:, i - 1, j - 1], total[:, i - 1, j], total[:, i, j - 1]])
-        codes[:, i - 1, j - 1] = origin.argmin(axis=0)
-        total[:, i, j] = local_cost(a[:, i - 1], b[:, j - 1], cost) + origin.min(axis=0)
-    return total[:, 1:, 1:], codes
+        origin = np.stack([total[i - 1, j - 1], total[i - 1, j], total[i, j - 1]])
+        codes[i - 1, j - 1] = origin.argmin(axis=0)
+        total[i, j] = local_cost(a[i - 1], b[j - 1], cost) + origin.min(axis=0)
+    return total[1:, 1:], codes
 
 
 def walk_back(codes: np.ndarray) -> list[tuple[int, int]]:

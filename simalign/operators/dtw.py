@@ -37,8 +37,8 @@ def dtw_distance(pairs: DataFrame, cost: str = "abs") -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = np.full(len(pdf), np.nan)
-            for rows, a, b in warp.same_shape_batches(pdf, DISTANCE_VALUES):
-                out[rows] = warp.distances(a, b, cost)
+            for rows, a, b, n, m in warp.padded_batches(pdf, DISTANCE_VALUES):
+                out[rows] = warp.distances(a, b, n, m, cost)
             distance = pd.Series(out, dtype="object").where(~np.isnan(out), None)
             yield pd.DataFrame({"id": pdf["id"], "distance": distance})
 
@@ -53,18 +53,20 @@ def dtw_cost_matrix(pairs: DataFrame, cost: str = "abs") -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for rows, a, b in warp.same_shape_batches(pdf, 1):
+            for row_id, a, b in zip(pdf["id"], pdf["a"], pdf["b"]):
+                if not warp.usable(a, b):
+                    continue
                 total, codes = warp.matrices(a, b, cost)
-                row_id, m = pdf["id"].iat[rows[0]], b.shape[1]
-                for top in range(0, a.shape[1], MATRIX_ROWS):
-                    piece = total[0, top : top + MATRIX_ROWS]
-                    n = piece.shape[0]
+                m = len(b)
+                for top in range(0, len(a), MATRIX_ROWS):
+                    piece = total[top : top + MATRIX_ROWS]
+                    n = len(piece)
                     yield pd.DataFrame({
                         "id": row_id,
                         "i": np.repeat(np.arange(top, top + n), m),
                         "j": np.tile(np.arange(m), n),
                         "cost": piece.ravel(),
-                        "dir": codes[0, top : top + MATRIX_ROWS].ravel().astype(int),
+                        "dir": codes[top : top + MATRIX_ROWS].ravel().astype(int),
                     })
 
     return pairs.select("id", "a", "b").mapInPandas(run, "id long, i int, j int, cost double, dir int")
@@ -75,10 +77,12 @@ def dtw_path(pairs: DataFrame, cost: str = "abs") -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for rows, a, b in warp.same_shape_batches(pdf, 1):
-                path = warp.walk_back(warp.matrices(a, b, cost)[1][0])
+            for row_id, a, b in zip(pdf["id"], pdf["a"], pdf["b"]):
+                if not warp.usable(a, b):
+                    continue
+                path = warp.walk_back(warp.matrices(a, b, cost)[1])
                 yield pd.DataFrame({
-                    "id": pdf["id"].iat[rows[0]],
+                    "id": row_id,
                     "step": np.arange(len(path)),
                     "i": [p[0] for p in path],
                     "j": [p[1] for p in path],
