@@ -8,6 +8,7 @@ from simalign.catalog.base import BY_LANGUAGE, SPLIT, WORDS, by_language, docume
 from simalign.functions import tokens as tk
 from simalign.functions import vectors
 from simalign.operators import vocab
+from simalign.session import stage
 
 # A short stop-word list over the four languages of the corpus.
 STOP_WORDS = ["the", "of", "and", "to", "in", "is", "it", "la", "le", "les", "de", "des", "der", "die", "das", "und", "el", "los", "en"]
@@ -41,7 +42,7 @@ def _token_query(name, column, sql):
 
 _token_query("tokens_whitespace", tk.whitespace_tokens, SPLIT)
 _token_query("tokens_word", tk.word_tokens, WORDS)
-_token_query("tokens_index", tk.index_tokens, INDEX_TOKENS)
+_token_query("tokens_keras", tk.index_tokens, INDEX_TOKENS)
 _token_query("tokens_space", tk.space_tokens, "string_split(text, ' ')")
 
 
@@ -52,8 +53,10 @@ def normalise_text(spark, sf):
     return documents(spark, sf).select("doc_id", tk.normalise(F.col("text"), STOP_WORDS).alias("text"))
 
 
-def _doc_terms(spark, sf):
-    return vocab.doc_term_counts(documents(spark, sf), tk.word_tokens(F.col("text")), "doc_id")
+def _doc_terms(spark, sf, again: bool = False):
+    """Term counts of every document; written once if read again."""
+    counts = vocab.doc_term_counts(documents(spark, sf), tk.word_tokens(F.col("text")), "doc_id")
+    return stage(counts) if again else counts
 
 
 @query("vocab_count", "term string, idx long, cf long, df long", f"WITH {WORD_ROWS}, {VOCAB} SELECT term, idx, cf, df FROM vocab")
@@ -80,14 +83,14 @@ def dataset_shape(spark, sf):
 @query("vectors_count", "doc_id long, idx long, tf long",
        f"WITH {WORD_ROWS}, {VOCAB} SELECT doc_id, idx, tf FROM dt JOIN vocab USING (term)")
 def vectors_count(spark, sf):
-    dt = _doc_terms(spark, sf)
+    dt = _doc_terms(spark, sf, again=True)
     return vocab.count_vectors(dt, vocab.alphabetical_vocabulary(vocab.term_stats(dt)))
 
 
 @query("vectors_binary", "doc_id long, idx long, present int",
        f"WITH {WORD_ROWS}, {VOCAB} SELECT doc_id, idx, 1 AS present FROM dt JOIN vocab USING (term)")
 def vectors_binary(spark, sf):
-    dt = _doc_terms(spark, sf)
+    dt = _doc_terms(spark, sf, again=True)
     return vocab.binary_vectors(dt, vocab.alphabetical_vocabulary(vocab.term_stats(dt)))
 
 
@@ -95,7 +98,7 @@ def vectors_binary(spark, sf):
        f"WITH {WORD_ROWS}, {VOCAB}, x AS (SELECT doc_id, idx, tf * (ln((1.0 + (SELECT count(*) FROM documents))::DOUBLE / (1 + df)) + 1) AS w"
        " FROM dt JOIN vocab USING (term)) SELECT doc_id, idx, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS w FROM x")
 def vectors_tfidf(spark, sf):
-    dt = _doc_terms(spark, sf)
+    dt = _doc_terms(spark, sf, again=True)
     known = vocab.alphabetical_vocabulary(vocab.term_stats(dt))
     out = vocab.tfidf_vectors(dt, known, documents(spark, sf).count())
     return out.withColumn("w", F.round("w", 6))

@@ -26,6 +26,7 @@ distance of no shared term, so that each one gets k neighbours.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,8 +41,10 @@ PROBE_GROUPS = 24
 # Training rows of one term that meet in one task; more are spread over salted blocks.
 BLOCK_ROWS = 4096
 # Matches per core up to which they are counted directly, and matches of one term per task.
-MATCHES_PER_CORE = 25_000_000
+MATCHES_PER_CORE = 100_000_000
 MATCHES_PER_TASK = 4_000_000
+# Training sets in one slice of the training side: the longest posting list.
+SLICE_SETS = 1 << 15
 
 
 def encode_terms(terms: DataFrame) -> DataFrame:
@@ -262,55 +265,81 @@ def fillers(train: DataFrame, k: int) -> DataFrame:
 def _count_directly(
     train: DataFrame, test: DataFrame, terms: DataFrame, k: int, limited: bool
 ) -> DataFrame:
+    """Posting lists travel to the test sets and are counted where they arrive.
+
+    A list holds the training sets of one term and one slice of the training side, so its
+    length is bounded. Lists are shuffled, not single matches, and a task counts whole
+    (test set, slice) groups; the ranking keeps k rows per test set before it shuffles.
+    """
+    largest = train.groupBy("fold").agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 1
+    slices = -(-largest // SLICE_SETS)
     # at most MATCHES_PER_CORE / MATCHES_PER_TASK terms per core, so safe to broadcast
     busy = F.broadcast(
         terms.filter(F.col("matches") > MATCHES_PER_TASK).select(
-            "fold", "term", F.ceil(F.col("matches") / MATCHES_PER_TASK).cast("int").alias("_n")
+            "fold", "term", F.ceil(F.col("matches") / (slices * MATCHES_PER_TASK)).cast("int").alias("_n")
         )
     )
-    blocks = F.coalesce("_n", F.lit(1))
+    split = F.col("_n").isNotNull()
+    every_slice = F.sequence(F.lit(0), F.lit(slices - 1))
     left = (
         term_rows(test, "doc_id")
         .join(busy, ["fold", "term"], "left")
         .select(
             "fold", "term", F.col("doc_id").alias("test_id"),
-            F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_block"),
+            F.when(split, F.pmod(F.hash("doc_id"), F.col("_n"))).otherwise(0).alias("_salt"),
+            F.explode(F.when(split, every_slice).otherwise(F.array(F.lit(-1)))).alias("_part"),
         )
     )
-    right_rows = term_rows(train, "doc_id")
-    if limited:
-        right_rows = right_rows.join(terms.select("fold", "term"), ["fold", "term"], "left_semi")
-    right = right_rows.join(busy, ["fold", "term"], "left").select(
-        "fold", "term", F.col("doc_id").alias("train_id"), F.pmod(F.hash("doc_id"), blocks).alias("_block")
+    met_terms = terms.filter("matches > 0").select("fold", "term")
+    right = (
+        term_rows(train, "doc_id")
+        .join(met_terms, ["fold", "term"], "left_semi")
+        .groupBy("fold", "term", F.pmod(F.hash("doc_id"), F.lit(slices)).alias("slice"))
+        .agg(F.collect_list("doc_id").alias("_list"))
+        .join(busy, ["fold", "term"], "left")
+        .select(
+            "fold", "term", "slice", "_list",
+            F.when(split, F.col("slice")).otherwise(-1).alias("_part"),
+            F.explode(F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1)).alias("_salt"),
+        )
     )
-    matches = left.join(right, ["fold", "term", "_block"]).select(
-        "fold", "test_id", "train_id", F.lit(1).alias("w")
+    counted = (
+        left.join(right, ["fold", "term", "_part", "_salt"])
+        .select("fold", "test_id", "slice", "_list")
+        .repartition("fold", "test_id", "slice")
+        .select("fold", "test_id", "slice", F.explode("_list").alias("train_id"))
+        .groupBy("fold", "test_id", "slice", "train_id")
+        .agg(F.count("*").alias("inter"))
     )
-    # pairs without a match: the smallest ids, and for empty sets the smallest empty ones
-    tests = test.select("fold", F.col("doc_id").alias("test_id"))
-    b = F.col("size") if limited else F.size("terms")
-    known = train if not limited else train.join(known_sizes(train, terms), ["fold", "doc_id"])
-    sizes_b = known.select("fold", F.col("doc_id").alias("train_id"), "label", b.alias("b"))
     sizes_a = known_sizes(test, terms).withColumnsRenamed({"doc_id": "test_id", "size": "a"})
-    first = fillers(train, k).select("fold", "train_id")
-    empty = _top(sizes_b.filter("b = 0"), ["fold"], [F.col("train_id")], k, "_rn")
-    unmatched = tests.join(first, "fold").unionByName(
-        sizes_a.filter("a = 0").select("fold", "test_id").join(empty.select("fold", "train_id"), "fold")
+    sized_train = train.withColumn("b", F.size("terms"))
+    if limited:
+        sized_train = known_sizes(train, terms).withColumnRenamed("size", "b").join(train, ["fold", "doc_id"])
+    sizes_b = sized_train.select("fold", F.col("doc_id").alias("train_id"), "label", "b")
+    found = _top(
+        counted.join(sizes_b, ["fold", "train_id"])
+        .join(sizes_a, ["fold", "test_id"])
+        .withColumn("dist", jaccard_distance(F.col("inter"), F.col("a"), F.col("b"))),
+        ["fold", "test_id"], [F.col("dist"), F.col("train_id")], k,
+    )
+    # pairs without a match: the smallest ids, and for empty sets the smallest empty ones
+    spare = test.select("fold", F.col("doc_id").alias("test_id"), F.lit(1.0).alias("dist")).join(
+        fillers(train, k), "fold"
     )
-    inter = (
-        matches.unionByName(unmatched.withColumn("w", F.lit(0)))
-        .groupBy("fold", "test_id", "train_id")
-        .agg(F.sum("w").alias("inter"))
+    no_terms = sized_train.filter("b = 0").select("fold", "doc_id", "label")
+    both_empty = sizes_a.filter("a = 0").select("fold", "test_id", F.lit(0.0).alias("dist")).join(
+        fillers(no_terms, k), "fold"
     )
-    scored = (
-        inter.join(sizes_a, ["fold", "test_id"])
-        .join(sizes_b, ["fold", "train_id"])
-        .select(
-            "fold", "test_id", "train_id", "label",
-            jaccard_distance(F.col("inter"), F.col("a"), F.col("b")).alias("dist"),
-        )
+    found = found.select("fold", "test_id", "train_id", "label", "dist")
+    return with_fillers(found, spare.unionByName(both_empty), k)
+
+
+def with_fillers(found: DataFrame, spare: DataFrame, k: int) -> DataFrame:
+    """The k nearest of both; a pair that is in both keeps its smaller distance."""
+    every = found.unionByName(spare).groupBy("fold", "test_id", "train_id", "label").agg(
+        F.min("dist").alias("dist")
     )
-    return _top(scored, ["fold", "test_id"], [F.col("dist"), F.col("train_id")], k)
+    return _top(every, ["fold", "test_id"], [F.col("dist"), F.col("train_id")], k)
 
 
 @dataclass(frozen=True)
@@ -353,10 +382,17 @@ def search(index: NeighbourIndex, queries: DataFrame) -> DataFrame:
     spare = queries.select("fold", "test_id", F.lit(1.0).alias("dist")).join(
         fillers(index.encoded, k), "fold"
     )
-    every = found.unionByName(spare).groupBy("fold", "test_id", "train_id", "label").agg(
-        F.min("dist").alias("dist")
-    )
-    return _top(every, ["fold", "test_id"], [F.col("dist"), F.col("train_id")], k)
+    return with_fillers(found, spare, k)
+
+
+def rank_pairs(pairs: DataFrame, metric: Callable[[Column, Column], Column], k: int, *keys: str) -> DataFrame:
+    """The k nearest of given pairs (keys, test_id, train_id, x, y) under any distance.
+
+    `metric` builds a Column from the two array columns, so it runs inside Spark's own
+    expressions. Pairs come from a candidate join; ties go to the smallest train_id.
+    """
+    scored = pairs.withColumn("dist", metric(F.col("x"), F.col("y")))
+    return _top(scored, [*keys, "test_id"], [F.col("dist"), F.col("train_id")], k)
 
 
 def rank_members(groups: DataFrame, keys: list[str], k: int) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from simalign.functions import vectors
 from simalign.operators import minhash
 from simalign.operators import neighbours as nb
 from simalign.operators import evaluate, vote
@@ -62,6 +63,7 @@ def route(request, monkeypatch):
         monkeypatch.setattr(nb, "PROBE_TERMS", 3)
     if "split" in request.param:
         monkeypatch.setattr(nb, "MATCHES_PER_TASK", 20)
+        monkeypatch.setattr(nb, "SLICE_SETS", 8)
     return request.param
 
 
@@ -87,6 +89,13 @@ def texts(rows):
 TEXTS = "doc_id long, text string, label int"
 
 
+def test_own_metric_on_given_pairs(spark):
+    rows = [(1, 10, [1, 2], [1, 2]), (1, 11, [1, 2], [3]), (1, 12, [1, 2], [2, 1, 5]), (2, 10, [9], [1, 2])]
+    df = spark.createDataFrame(rows, "test_id long, train_id long, x array<int>, y array<int>")
+    got = nb.rank_pairs(df, vectors.distance_sets, 2).collect()
+    assert {(r.test_id, r.train_id, r.rank) for r in got} == {(1, 10, 1), (1, 12, 2), (2, 10, 1)}
+
+
 def test_vote_and_k(spark):
     rows = [(1, 1, 2), (1, 2, 1), (1, 3, 2), (1, 4, 1)]
     df = spark.createDataFrame(rows, "test_id int, rank int, label int")
