@@ -25,7 +25,10 @@ def spread_small(df: DataFrame) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """UTF-8 CSV with a header; quoted fields may hold line breaks and doubled quotes."""
+    """UTF-8 CSV with a header; quoted fields may hold line breaks and doubled quotes.
+
+    An empty field is NULL, quoted or not.
+    """
     return spark.read.schema(schema).csv(
         path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
