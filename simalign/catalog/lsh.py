@@ -185,6 +185,23 @@ def lsh_coverage(spark, sf):
 
 # ---- sweep and analysis ---------------------------------------------------------------
 
+RANKED_CANDIDATES = (
+    " rs AS (SELECT c.bands, c.rows, c.test_id, d.label, n, row_number() OVER (PARTITION BY c.bands, c.rows, c.test_id ORDER BY dist, d.train_id) AS r"
+    " FROM cand c JOIN dist d ON d.fold = c.fold AND d.test_id = c.test_id AND d.train_id = c.train_id"
+    " JOIN nc ON nc.bands = c.bands AND nc.rows = c.rows AND nc.test_id = c.test_id),"
+)
+# the same with test sets limited to what their own candidates hold
+RANKED_LOCALLY = (
+    " la AS (SELECT c.bands, c.rows, c.test_id, count(DISTINCT x.term) AS la FROM cand c JOIN te_t x ON x.fold = c.fold AND x.doc_id = c.test_id"
+    " JOIN tr_t y ON y.fold = c.fold AND y.doc_id = c.train_id AND y.term = x.term GROUP BY ALL),"
+    " ls AS (SELECT c.bands, c.rows, c.test_id, c.train_id, r.label, CASE WHEN coalesce(la, 0) + b = 0 THEN 0.0"
+    " ELSE 1.0 - CAST(coalesce(i, 0) AS DOUBLE) / (coalesce(la, 0) + b - coalesce(i, 0)) END AS dist FROM cand c"
+    " JOIN tr_n r ON r.fold = c.fold AND r.doc_id = c.train_id"
+    " LEFT JOIN la ON la.bands = c.bands AND la.rows = c.rows AND la.test_id = c.test_id"
+    " LEFT JOIN inter q ON q.fold = c.fold AND q.test_id = c.test_id AND q.train_id = c.train_id),"
+    " rs AS (SELECT ls.*, n, row_number() OVER (PARTITION BY ls.bands, ls.rows, ls.test_id ORDER BY dist, train_id) AS r"
+    " FROM ls JOIN nc ON nc.bands = ls.bands AND nc.rows = ls.rows AND nc.test_id = ls.test_id),"
+)
 SWEEP = (
     f"{LABELLED}, {folds(4)}, {neighbours()}, {sig_sql('corpus')}, {GRID},"
     " shapes AS (SELECT DISTINCT bands, rows FROM grid),"
@@ -193,9 +210,7 @@ SWEEP = (
     " cand AS (SELECT DISTINCT x.bands, x.rows, x.own AS fold, x.doc_id AS test_id, y.doc_id AS train_id FROM bk x JOIN bk y"
     " ON x.bands = y.bands AND x.rows = y.rows AND x.band = y.band AND x.band_key = y.band_key AND x.own <> y.own),"
     " nc AS (SELECT bands, rows, test_id, count(*) AS n FROM cand GROUP BY ALL),"
-    " rs AS (SELECT c.bands, c.rows, c.test_id, d.label, n, row_number() OVER (PARTITION BY c.bands, c.rows, c.test_id ORDER BY dist, d.train_id) AS r"
-    " FROM cand c JOIN dist d ON d.fold = c.fold AND d.test_id = c.test_id AND d.train_id = c.train_id"
-    " JOIN nc ON nc.bands = c.bands AND nc.rows = c.rows AND nc.test_id = c.test_id),"
+    + RANKED_CANDIDATES +
     f" pick AS (SELECT * FROM rs WHERE r <= {ADAPTIVE_K.format(n='n')}),"
     f" chosen AS ({voted('pick', 'bands, rows, test_id, n')}),"
     " sizes AS (SELECT own AS fold, count(*) AS n_test, (SELECT count(*) FROM corpus) - count(*) AS n_train FROM folded GROUP BY own),"
@@ -228,6 +243,11 @@ def lsh_sweep(spark, sf):
     return sweep.lsh_sweep(labelled(spark, sf))
 
 
+@query("lsh_sweep_local", RESULT, f"WITH {SWEEP.replace(RANKED_CANDIDATES, RANKED_LOCALLY)} SELECT * FROM sweep")
+def lsh_sweep_local(spark, sf):
+    return sweep.lsh_sweep(labelled(spark, sf), local=True)
+
+
 _tables: dict[tuple[str, str], object] = {}
 
 
