@@ -20,6 +20,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +33,8 @@ from simalign.session import stage
 
 SEGMENT_TOKENS = 1 << 20
 BLOCK_BITS = 512
-#: Pieces a task remembers, and the longest of them in characters.
-CACHE_PIECES, CACHE_CHARS = 200_000, 48
+#: Words a worker remembers, the longest of them, and characters encoded in one step.
+CACHE_WORDS, CACHE_CHARS, STEP_CHARS = 400_000, 48, 1 << 20
 
 _HEAD = struct.Struct("<4sHHQQ")
 MANIFEST = "part int, file string, documents long, tokens long, bytes long"
@@ -156,45 +157,45 @@ def segments(file) -> Iterator[Segment]:
 class Encoder:
     """Whole texts to ids by the tokenizers library.
 
-    Byte-level vocabularies split a text by a fixed pattern before any merge, so an id
-    sequence is that of its pieces. Pieces are encoded by the library once and remembered;
-    texts with characters outside the Latin blocks, for which the pattern of two libraries
-    may differ, go to the library whole. The strings of special tokens are ordinary text.
+    Byte-level vocabularies split a text by a fixed pattern before any merge, and no piece
+    of that pattern goes on past a space, apart from runs of white space. So the ids of a
+    text are those of its first word and of each further word with its space; the library
+    encodes a word once and its ids are remembered. Texts with a longer run of white space
+    around a space, or with characters outside the Latin blocks (the pattern of two Unicode
+    versions may differ there), go to the library whole. The strings of special tokens are
+    ordinary text.
     """
 
     def __init__(self, vocabulary: str):
         import re
 
         import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.library.encode_special_tokens = True
-        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
-        self.unusual = re.compile("[^\t\n\r -~¡-¬®-ɏ‐-‧‰-›€]").search
+        self.whole = re.compile(r"\s \s|\s \Z|[^\t\n\r -~¡-¬®-ɏ‐-‧‰-›€]").search
         self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [
-            np.array(x.ids, "<u4").tobytes()
-            for x in self.library.encode_batch_fast(texts, add_special_tokens=False)
-        ]
-
-    def __call__(self, text: str) -> np.ndarray:
-        if self.unusual(text):
-            return np.frombuffer(self._encode([text])[0], "<u4")
-        pieces, known = self.pieces(text), self.known
-        new = list(set(pieces).difference(known))
-        if new:
-            if len(known) > CACHE_PIECES:
-                known.clear()
-                new = list(set(pieces))
-            known.update(zip(new, self._encode(new), strict=True))
-        out = np.frombuffer(b"".join(map(known.__getitem__, pieces)), "<u4")
-        for piece in new:
-            if len(piece) > CACHE_CHARS:
-                del known[piece]
+        return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text, four bytes to an id."""
+        parts = [[x] if self.whole(x) else x.split(" ") for x in texts]
+        firsts = self._encode([x[0] for x in parts])
+        rest = [x[1:] for x in parts]
+        words = set().union(*rest)
+        new = list(words.difference(self.known))
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known.clear()
+            new = list(words)
+        known = self.known
+        known.update(zip(new, self._encode([f" {w}" for w in new]), strict=True))
+        out = [a + b"".join(map(known.__getitem__, b)) for a, b in zip(firsts, rest, strict=True)]
+        for w in new:
+            if len(w) > CACHE_CHARS:
+                del known[w]
         return out
 
 
@@ -239,7 +240,7 @@ def write_codes(
         from pyspark import TaskContext
 
         encode, part = encoder(vocabulary), TaskContext.get().partitionId()
-        end = np.array([end_id], np.uint32)
+        end = np.array([end_id], "<u4").tobytes()
         sink, uri, places, size = None, None, [], 0
         names, ids, held, documents, tokens = [], [], 0, 0, 0
 
@@ -256,15 +257,23 @@ def write_codes(
             held = 0
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                row = np.concatenate((encode(text.as_py() or ""), end))
-                names.append(doc_id)
-                ids.append(row)
-                held += len(row)
-                documents += 1
-                tokens += len(row)
-                if held >= SEGMENT_TOKENS:
-                    flush()
+            texts = [x or "" for x in batch.column(1).to_pylist()]
+            doc_ids, low = batch.column(0).to_pylist(), 0
+            while low < len(texts):
+                high, size_now = low, 0
+                while high < len(texts) and size_now < STEP_CHARS:
+                    size_now += len(texts[high])
+                    high += 1
+                for doc_id, raw in zip(doc_ids[low:high], encode(texts[low:high]), strict=True):
+                    row = np.frombuffer(raw + end, "<u4")
+                    names.append(doc_id)
+                    ids.append(row)
+                    held += len(row)
+                    documents += 1
+                    tokens += len(row)
+                    if held >= SEGMENT_TOKENS:
+                        flush()
+                low = high
         if names:
             flush()
         if sink is not None:
