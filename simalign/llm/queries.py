@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simalign.llm import files, mixing, shards, token_codes, warc
+from simalign.llm import files, mixing, near_dups, shards, token_codes, warc
 from simalign.session import stage
 from simalign.sources.files import read_table
 
@@ -73,3 +73,11 @@ def shard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("text_crc32"),
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op9_odd_sketches")
+def near_duplicate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near_dups.near_duplicates(docs, k=3, similarity=0.85)
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")
+    return found.select("doc_id", "n_shingles", "component_id", kept)
