@@ -79,7 +79,10 @@ def chunk_table(pages: DataFrame, name_col: str, uri_col: str, payload_col: str,
         if out:
             yield _batch(out, schema)
 
-    return stage(rows.mapInArrow(cut, CHUNKS))
+    # payloads are compressed harder than other staged tables, as they are most of the bytes
+    path = files.new_folder(pages.sparkSession, "chunks")
+    rows.mapInArrow(cut, CHUNKS).write.option("compression", "zstd").parquet(path)
+    return pages.sparkSession.read.schema(CHUNKS).parquet(path)
 
 
 def verdicts(chunks: DataFrame, at_least: int = REVISIT_BYTES) -> DataFrame:
