@@ -141,41 +141,46 @@ def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def mix(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", size_col: str = "size",
-    weights=WEIGHTS, cap: float = CAP, seed: int = 42,
+    weights=WEIGHTS, cap: float = CAP, seed: int = 42, prefix: str = "",
 ) -> DataFrame:
     """`docs` with source_size, target and copies (0 to ceil(cap)), one row per row.
 
-    All columns are kept, apart from earlier ones of these three names. Reruns agree, as
+    The new columns take `prefix`; all others are kept, apart from earlier ones of these names. Reruns agree, as
     every draw is a hash of seed, level, id and source; rows that repeat in id and source
     draw alike, and which of equal rows takes a copy does not show. A NULL source is a source
     of its own, a NULL size counts 0, a NULL id is an id. Rows of size 0 have no copy. An
     empty table gives an empty result.
     """
-    docs = docs.drop("source_size", "target", "copies")
+    new = [prefix + c for c in ("source_size", "target", "copies")]
+    docs = docs.drop(*new)
     wanted = docs.columns
     sized = docs.withColumn("_mx_source", F.col(source_col)).withColumn(
         "_mx_size", F.coalesce(F.col(size_col).cast("long"), F.lit(0))
     )
     targets = source_targets(sized, "_mx_source", "_mx_size", weights, cap)
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    targets = targets.select(
+        F.col("source").alias("_mx_key"), F.col("source_size").alias("_mx_total"), F.col("target").alias("_mx_target"),
+        F.col("documents").alias("_mx_documents"),
+    )
+    rate = F.when(F.col("_mx_total") > 0, F.col("_mx_target") / F.col("_mx_total")).otherwise(0.0)
     rate = F.least(rate, F.lit(cap))
-    groups = F.ceil(F.col("documents") / FAN)
+    groups = F.ceil(F.col("_mx_documents") / FAN)
     # one small row per source: whether it is broadcast is left to its size
     joined = (
-        sized.join(targets.withColumnRenamed("source", "_mx_key"), F.col("_mx_source").eqNullSafe(F.col("_mx_key")))
+        sized.join(targets, F.col("_mx_source").eqNullSafe(F.col("_mx_key")))
         .withColumn("_mx_whole", F.floor(rate))
         .withColumn("_mx_share", rate - F.col("_mx_whole"))
         .withColumn("_mx_bucket", F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), groups))
-        .select(*wanted, "source_size", "target", "_mx_source", "_mx_size", "_mx_whole", "_mx_bucket", "_mx_share")
+        .select(*wanted, "_mx_total", "_mx_target", "_mx_source", "_mx_size", "_mx_whole", "_mx_bucket", "_mx_share")
     )
     settled = (F.col("_mx_size") <= 0) | (F.col("_mx_share") <= 0)
-    columns = [*wanted, "source_size", "target"]
+    columns = [*wanted, F.col("_mx_total").alias(new[0]), F.col("_mx_target").alias(new[1])]
 
     def finished(df: DataFrame) -> DataFrame:
         copies = F.when(F.col("_mx_size") > 0, F.col("_mx_whole") + F.round("_mx_share")).otherwise(0)
-        return df.select(*columns, copies.cast("int").alias("copies"))
+        return df.select(*columns, copies.cast("int").alias(new[2]))
 
-    most = targets.agg(F.max("documents")).first()[0] or 0
+    most = targets.agg(F.max("_mx_documents")).first()[0] or 0
     parts = [finished(joined.filter(settled).withColumn("_mx_share", F.lit(0.0)))]
     open_rows, level, buckets = joined.filter(~settled), 0, -(-most // FAN)
     while True:
@@ -204,7 +209,7 @@ def mix(
     return reduce(DataFrame.unionByName, parts)
 
 
-def repeat_rows(mixed: DataFrame, columns: list[str]) -> DataFrame:
+def repeat_rows(mixed: DataFrame, columns: list[str], copies: str = "copies") -> DataFrame:
     """Every row as often as it has copies."""
-    times = F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies"))).otherwise(F.array().cast("array<int>"))
+    times = F.when(F.col(copies) > 0, F.sequence(F.lit(1), F.col(copies))).otherwise(F.array().cast("array<int>"))
     return mixed.withColumn("_mx_copy", F.explode(times)).select(*columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simalign.llm import files, mixing, near_dups, shards, token_codes, warc
+from simalign.llm import decontaminate, files, mixing, near_dups, quality_rules, shards, token_codes, warc
 from simalign.session import stage
 from simalign.sources.files import read_table
 
@@ -81,3 +81,49 @@ def near_duplicate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dups.near_duplicates(docs, k=3, similarity=0.85)
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")
     return found.select("doc_id", "n_shingles", "component_id", kept)
+
+
+OP4_SQL = r"""
+WITH w AS (
+ SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+ SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), items AS (
+ SELECT DISTINCT item_id, n, list_slice(w, i, i + n - 1) AS win
+ FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
+), lengths AS (SELECT DISTINCT n FROM items),
+places AS (
+ SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS win
+ FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM w, lengths WHERE len(w) >= n)
+), found AS (
+ SELECT p.doc_id, p.i, p.n, t.item_id FROM places p JOIN items t ON p.n = t.n AND p.win = t.win
+), hits AS (
+ SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (
+  SELECT doc_id, unnest(range(i, i + n)) AS pos FROM (SELECT DISTINCT doc_id, i, n FROM found)) GROUP BY doc_id
+), named AS (
+ SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+ FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+ CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+ coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM w LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query("op4_prefix_join", OP4_SQL)
+def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"),
+    )
+
+
+@query("op10_fertility")
+def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.assess(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), keep=["doc_id"])

@@ -29,12 +29,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from simalign.llm import files
+from simalign.llm.words import WordMemory, steps
 from simalign.session import stage
 
 SEGMENT_TOKENS = 1 << 20
 BLOCK_BITS = 512
-#: Words a worker remembers, the longest of them, and characters encoded in one step.
-CACHE_WORDS, CACHE_CHARS, STEP_CHARS = 400_000, 48, 1 << 20
 
 _HEAD = struct.Struct("<4sHHQQ")
 MANIFEST = "part int, file string, documents long, tokens long, bytes long"
@@ -175,7 +174,7 @@ class Encoder:
         self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.library.encode_special_tokens = True
         self.whole = re.compile(r"\s \s|\s \Z|[^\t\n\r -~¡-¬®-ɏ‐-‧‰-›€]").search
-        self.known: dict[str, bytes] = {}
+        self.words = WordMemory(lambda new: self._encode([f" {w}" for w in new]))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -184,19 +183,7 @@ class Encoder:
         """Ids of every text, four bytes to an id."""
         parts = [[x] if self.whole(x) else x.split(" ") for x in texts]
         firsts = self._encode([x[0] for x in parts])
-        rest = [x[1:] for x in parts]
-        words = set().union(*rest)
-        new = list(words.difference(self.known))
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list(words)
-        known = self.known
-        known.update(zip(new, self._encode([f" {w}" for w in new]), strict=True))
-        out = [a + b"".join(map(known.__getitem__, b)) for a, b in zip(firsts, rest, strict=True)]
-        for w in new:
-            if len(w) > CACHE_CHARS:
-                del known[w]
-        return out
+        return [a + b for a, b in zip(firsts, self.words([x[1:] for x in parts]), strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -258,12 +245,8 @@ def write_codes(
 
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
-            doc_ids, low = batch.column(0).to_pylist(), 0
-            while low < len(texts):
-                high, size_now = low, 0
-                while high < len(texts) and size_now < STEP_CHARS:
-                    size_now += len(texts[high])
-                    high += 1
+            doc_ids = batch.column(0).to_pylist()
+            for low, high in steps(texts):
                 for doc_id, raw in zip(doc_ids[low:high], encode(texts[low:high]), strict=True):
                     row = np.frombuffer(raw + end, "<u4")
                     names.append(doc_id)
@@ -273,7 +256,6 @@ def write_codes(
                     tokens += len(row)
                     if held >= SEGMENT_TOKENS:
                         flush()
-                low = high
         if names:
             flush()
         if sink is not None:

@@ -16,7 +16,6 @@ import numpy as np
 import pyarrow as pa
 
 GROUP_BYTES = 1 << 20
-#: Texts of one Arrow batch that meet in one step of an operator.
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -130,7 +129,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, fold: b
         return mix((total[stops] - total[starts]) * _power("down", n + 1)[starts] + (stops - starts).astype(np.uint64))
 
 
-def _hashed(data: np.ndarray, offsets: np.ndarray, word: np.ndarray, fold: bool):
+def hashed(data: np.ndarray, offsets: np.ndarray, word: np.ndarray, fold: bool):
     """Starts, ends and hashes of all words; a long text is cut at separators."""
     if len(data) <= 2 * GROUP_BYTES:
         starts, stops = spans(data, offsets, word)
@@ -160,7 +159,7 @@ def groups(texts: pa.Array, word: np.ndarray = SPACED, fold: bool = False) -> It
         last = min(max(last, first + 1), n)
         data = raw[offsets[first] : offsets[last]]
         local = (offsets[first : last + 1] - offsets[first]).astype(np.int64)
-        starts, stops, hashes = _hashed(data, local, word, fold)
+        starts, stops, hashes = hashed(data, local, word, fold)
         ends = np.searchsorted(starts, local[1:], "left")
         yield Group(first, data, local, hashes, ends, starts, stops)
         first = last
@@ -183,3 +182,38 @@ def shingle_set(hashes: np.ndarray, k: int) -> np.ndarray:
     if not len(hashes):
         return hashes
     return np.unique(shingles(hashes, min(k, len(hashes))))
+
+
+class WordMemory:
+    """Codes of words, made once per worker and remembered; at most `limit` words at a time."""
+
+    def __init__(self, encode, limit: int = 400_000, longest: int = 48):
+        self.encode, self.limit, self.longest = encode, limit, longest
+        self.known: dict[str, bytes] = {}
+
+    def __call__(self, texts: list[list[str]]) -> list[bytes]:
+        """The codes of every text's words, one after the other."""
+        every = set().union(*texts)
+        new = list(every.difference(self.known))
+        if len(self.known) + len(new) > self.limit:
+            self.known.clear()
+            new = list(every)
+        known = self.known
+        known.update(zip(new, self.encode(new), strict=True))
+        out = [b"".join(map(known.__getitem__, x)) for x in texts]
+        for w in new:
+            if len(w) > self.longest:
+                del known[w]
+        return out
+
+
+def steps(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts with about so many characters."""
+    low = size = 0
+    for i, x in enumerate(texts):
+        size += len(x)
+        if size >= chars:
+            yield low, i + 1
+            low, size = i + 1, 0
+    if low < len(texts):
+        yield low, len(texts)
