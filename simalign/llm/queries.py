@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simalign.llm import decontaminate, files, mixing, near_dups, quality_rules, shards, token_codes, warc
+from simalign.llm import decontaminate, files, main_text, mixing, near_dups, pii, quality_rules, shards, token_codes, warc
 from simalign.session import stage
 from simalign.sources.files import read_table
 
@@ -127,3 +127,17 @@ def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_fertility")
 def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), keep=["doc_id"])
+
+
+@query("op6_semi_markov")
+def personal_data_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_added"
+    )
+
+
+@query("op8_block_rules")
+def main_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text.extract(pages, keep=["page_id", "url"]).withColumn("n_chars", F.length("text").cast("long"))
