@@ -173,15 +173,44 @@ class Encoder:
 
         self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.library.encode_special_tokens = True
-        self.whole = re.compile(r"\s \s|\s \Z|[^\t\n\r -~¡-¬®-ɏ‐-‧‰-›€]").search
-        self.words = WordMemory(lambda new: self._encode([f" {w}" for w in new]))
+        self.usual = re.compile("[\t\n\r -~¡-¬®-ɏ‐-‧‰-›€]*").fullmatch
+        self.words = WordMemory(self._encode_words, limit=1_000_000)
+        #: Ids that begin with a space, by id.
+        entries = self.library.get_vocab()
+        self.opens = np.zeros(max(entries.values()) + 1, bool)
+        self.opens[[i for piece, i in entries.items() if piece.startswith("Ġ")]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word after a space. Many words are encoded as one line and told apart
+        by the ids that begin with a space; words that hold white space go one by one."""
+        out: list[bytes] = [b""] * len(words)
+        odd = [i for i, w in enumerate(words) if not w or "\n" in w or "\t" in w or "\r" in w]
+        for i, raw in zip(odd, self._encode([f" {words[i]}" for i in odd]), strict=True):
+            out[i] = raw
+        skip = set(odd)
+        plain = [i for i in range(len(words)) if i not in skip]
+        lines = [plain[k : k + 2000] for k in range(0, len(plain), 2000)]
+        texts = ["".join([f" {words[i]}" for i in line]) for line in lines]
+        for line, raw in zip(lines, self._encode(texts), strict=True):
+            ids = np.frombuffer(raw, np.uint32)
+            cuts = (np.flatnonzero(self.opens[ids]) * 4).tolist()
+            if len(cuts) != len(line):
+                raise ValueError("the vocabulary does not mark words by their space")
+            for i, low, high in zip(line, cuts, [*cuts[1:], len(raw)], strict=True):
+                out[i] = raw[low:high]
+        return out
+
+    def _whole(self, text: str) -> bool:
+        return (
+            "  " in text or " \n" in text or " \t" in text or " \r" in text or text.endswith(" ") or not self.usual(text)
+        )
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, four bytes to an id."""
-        parts = [[x] if self.whole(x) else x.split(" ") for x in texts]
+        parts = [[x] if self._whole(x) else x.split(" ") for x in texts]
         firsts = self._encode([x[0] for x in parts])
         return [a + b for a, b in zip(firsts, self.words([x[1:] for x in parts]), strict=True)]
 
