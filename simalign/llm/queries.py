@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simalign.llm import decontaminate, files, main_text, mixing, near_dups, pii, quality_rules, shards, token_codes, warc
+from simalign.llm import decontaminate, files, main_text, mixing, near_dups, ordinal, pii, quality_rules, shards, token_codes, warc
 from simalign.session import stage
 from simalign.sources.files import read_table
 
@@ -141,3 +141,19 @@ def personal_data_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def main_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return main_text.extract(pages, keep=["page_id", "url"]).withColumn("n_chars", F.length("text").cast("long"))
+
+
+#: A document is kept if it is at least of grade 1, that is not toxic, with this chance.
+KEEP_CHANCE = 0.95
+
+
+@query("op5_ordinal")
+def ordinal_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("_id"), ordinal.grade(F.col("quality"), F.col("toxic")).alias("grade")
+    )
+    rated = docs.join(labels, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "grade")
+    model = ordinal.train(rated, "text", "grade", "doc_id", n_grades=3)
+    scored = ordinal.score(docs, model, keep=["doc_id"])
+    return scored.withColumn("kept", F.col("p_at_least_1") >= KEEP_CHANCE)
