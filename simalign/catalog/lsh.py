@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simalign.catalog.base import (
-    ADAPTIVE_K, LABELLED, RANKED, SPLIT, documents, folds, holdout, labelled, neighbours, query, voted,
+    ADAPTIVE_K, LABELLED, RANKED, SPLIT, UNLABELLED, documents, folds, holdout, labelled, neighbours, query, unlabelled, voted,
 )
-from simalign.operators import evaluate, minhash, results
+from simalign.operators import evaluate, minhash, results, vote
 from simalign.operators.split import kfold_assign, split_fraction
 from simalign.plans import lsh, sweep
 from simalign.session import stage
@@ -84,10 +87,15 @@ def lsh_band_params(spark, sf):
     return grid.withColumn("n_entries", F.col("bands") * F.col("_n"))
 
 
-GRID = "grid AS (SELECT * FROM (VALUES " + ", ".join(
-    f"({p}, {t}::DOUBLE, {minhash.band_params(p, t)[0]}, {minhash.band_params(p, t)[1]})"
-    for p in sweep.PERMS for t in sweep.THRESHOLDS
-) + ") g(perms, threshold, bands, rows))"
+
+
+def grid_sql(thresholds) -> str:
+    points = ((p, t, *minhash.band_params(p, t)) for p in sweep.PERMS for t in thresholds)
+    values = ", ".join(f"({p}, {t}::DOUBLE, {bands}, {rows})" for p, t, bands, rows in points)
+    return f"grid AS (SELECT * FROM (VALUES {values}) g(perms, threshold, bands, rows))"
+
+
+GRID = grid_sql(sweep.THRESHOLDS)
 
 
 @query("param_grid", "perms int, threshold double, fold int, n_train long, n_test long",
@@ -109,11 +117,24 @@ def lsh_candidates(spark, sf):
     return lsh.lsh_candidates(train, test, PERMS, LOW_THRESHOLD)
 
 
+@query("adaptive_k", "doc_id long, n long, k int",
+       f"WITH {HOLD}, {cand_sql(PERMS, THRESHOLD)}, c AS (SELECT test_id, count(*) AS n FROM cand GROUP BY test_id),"
+       " s AS (SELECT doc_id, coalesce(c.n, (SELECT count(*) FROM train)) AS n FROM test LEFT JOIN c ON test_id = doc_id)"
+       f" SELECT doc_id, n, {ADAPTIVE_K.format(n='n')} AS k FROM s")
+def adaptive_k(spark, sf):
+    """k of every test document: from its candidates, or from the training side if it has none."""
+    train, test = _halves(spark, sf)
+    counts = lsh.lsh_candidates(train, test, PERMS, THRESHOLD).groupBy(F.col("test_id").alias("doc_id")).agg(F.count("*").alias("n"))
+    sized = test.select("doc_id").join(counts, "doc_id", "left").withColumn("n", F.coalesce("n", F.lit(train.count())))
+    return sized.withColumn("k", vote.adaptive_k_column(F.col("n")))
+
+
 @query("split_by_candidates", "doc_id long, served boolean",
        f"WITH {HOLD}, {cand_sql(PERMS, THRESHOLD)} SELECT doc_id, doc_id IN (SELECT test_id FROM cand) AS served FROM test")
 def split_by_candidates(spark, sf):
     train, test = _halves(spark, sf)
-    served, rest = lsh.split_by_candidates(test, lsh.lsh_candidates(train, test, PERMS, THRESHOLD))
+    served = stage(lsh.lsh_candidates(train, test, PERMS, THRESHOLD).select("test_id").distinct())  # read by both sides
+    served, rest = lsh.split_by_candidates(test, served)
     return served.withColumn("served", F.lit(True)).unionByName(rest.withColumn("served", F.lit(False)))
 
 
@@ -159,13 +180,13 @@ def knn_lsh_local(spark, sf):
 @query("knn_on_candidates", "doc_id long, pred int, n_candidates long",
        f"WITH {routes_sql(THRESHOLD)} SELECT doc_id, pred, n_candidates FROM routed WHERE route = 'lsh'")
 def knn_on_candidates(spark, sf):
-    return lsh.knn_lsh(*_halves(spark, sf), PERMS, THRESHOLD).filter("route = 'lsh'")
+    return lsh.candidate_route(lsh.prepare(*_halves(spark, sf), PERMS, [THRESHOLD]))
 
 
 @query("bf_fallback", "doc_id long, pred int",
        f"WITH {routes_sql(THRESHOLD)} SELECT doc_id, pred FROM routed WHERE route = 'all'")
 def bf_fallback(spark, sf):
-    return lsh.knn_lsh(*_halves(spark, sf), PERMS, THRESHOLD).filter("route = 'all'")
+    return lsh.all_route(lsh.prepare(*_halves(spark, sf), PERMS, [THRESHOLD]))
 
 
 @query("union_routes", "doc_id long, pred int",
@@ -238,24 +259,27 @@ RESULT = (
 )
 
 
+SWEEP_LOCAL = SWEEP.replace(RANKED_CANDIDATES, RANKED_LOCALLY).replace(GRID, grid_sql(sweep.LOCAL_THRESHOLDS))
+
+
 @query("lsh_sweep", RESULT, f"WITH {SWEEP} SELECT * FROM sweep")
 def lsh_sweep(spark, sf):
     return sweep.lsh_sweep(labelled(spark, sf))
 
 
-@query("lsh_sweep_local", RESULT, f"WITH {SWEEP.replace(RANKED_CANDIDATES, RANKED_LOCALLY)} SELECT * FROM sweep")
+@query("lsh_sweep_local", RESULT, f"WITH {SWEEP_LOCAL} SELECT * FROM sweep")
 def lsh_sweep_local(spark, sf):
-    return sweep.lsh_sweep(labelled(spark, sf), local=True)
+    return sweep.lsh_sweep(labelled(spark, sf), thresholds=sweep.LOCAL_THRESHOLDS, local=True)
 
 
-_tables: dict[tuple[str, str], object] = {}
+_tables: dict[tuple, object] = {}
 
 
-def _results(spark, sf):
-    """The sweep result, written once per session: its analyses read a finished table."""
-    key = (spark.sparkContext.applicationId, sf)
+def _results(spark, sf, local: bool = False):
+    """A sweep result, written once per session: its analyses read a finished table."""
+    key = (spark.sparkContext.applicationId, sf, local)
     if key not in _tables:
-        _tables[key] = stage(lsh_sweep(spark, sf))
+        _tables[key] = stage((lsh_sweep_local if local else lsh_sweep)(spark, sf))
     return _tables[key]
 
 
@@ -266,9 +290,11 @@ def mean_by_threshold(spark, sf):
     return out.withColumn("mean_total", F.round("mean_total", 6))
 
 
-@query("results_by_perms", RESULT, f"WITH {SWEEP} SELECT * FROM lsh WHERE perms = 64")
+@query("results_by_perms", RESULT, f"WITH {SWEEP} SELECT * FROM lsh")
 def results_by_perms(spark, sf):
-    return results.results_by_perms(_results(spark, sf), 64)
+    """The rows of every permutation count, one selection after the other."""
+    rows = _results(spark, sf)
+    return reduce(DataFrame.unionByName, [results.results_by_perms(rows, p) for p in sweep.PERMS])
 
 
 @query("total_time", "total double", f"WITH {SWEEP} SELECT round(sum(total_work) / 3600.0, 6) AS total FROM sweep")
@@ -308,10 +334,47 @@ def baseline_vs_lsh(spark, sf):
     return results.baseline_beside(_results(spark, sf), "total_work")
 
 
-@query("compare_runs", "perms int, threshold double, total_1 long, accuracy_1 double, total_2 long, accuracy_2 double",
-       f"WITH {SWEEP} SELECT x.perms, x.threshold, x.total_work AS total_1, x.accuracy AS accuracy_1, y.total_work AS total_2,"
-       " y.accuracy AS accuracy_2 FROM lsh x JOIN lsh y ON x.perms = y.perms AND x.threshold = y.threshold WHERE x.fold = 0 AND y.fold = 1")
+def _cte(text: str, prefix: str) -> str:
+    """A chain of CTEs as one subquery, under a name of its own."""
+    return f"{prefix} AS (WITH {text} SELECT * FROM lsh)"
+
+
+@query("compare_runs", "fold int, perms int, threshold double, total_1 long, accuracy_1 double, total_2 long, accuracy_2 double",
+       f"WITH {_cte(SWEEP, 'first')}, {_cte(SWEEP_LOCAL, 'second')} SELECT x.fold, x.perms, x.threshold, x.total_work AS total_1,"
+       " x.accuracy AS accuracy_1, y.total_work AS total_2, y.accuracy AS accuracy_2 FROM first x JOIN second y"
+       " ON x.fold = y.fold AND x.perms = y.perms AND x.threshold = y.threshold")
 def compare_runs(spark, sf):
-    """Two result sets side by side: the runs of the first two folds."""
-    rows = results.grid_rows(_results(spark, sf))
-    return results.compare_runs(rows.filter("fold = 0"), rows.filter("fold = 1"), "total_work")
+    """The sweep with the vocabulary of the training side beside that of each candidate list."""
+    both = (results.grid_rows(_results(spark, sf, local)) for local in (False, True))
+    return results.compare_runs(*both, "total_work")
+
+
+# ---- the unlabelled set ------------------------------------------------------------------
+
+ROUTES = " UNION ALL ".join(
+    f"SELECT {t}::DOUBLE AS threshold, {minhash.band_params(PERMS, t)[0]} AS bands, {minhash.band_params(PERMS, t)[1]} AS rows"
+    for t in lsh.UNLABELLED_THRESHOLDS
+)
+
+
+@query("knn_lsh_unlabelled", "threshold double, id long, sentiment int",
+       f"WITH {LABELLED}, train AS (SELECT 0 AS fold, * FROM corpus), {UNLABELLED},"
+       f" test AS (SELECT 0 AS fold, doc_id, text, NULL AS label FROM unlabelled), {neighbours()}, {sig_sql('documents')}, grid AS ({ROUTES}),"
+       " shapes AS (SELECT DISTINCT bands, rows FROM grid),"
+       " bk AS (SELECT doc_id, bands, rows, band, array_to_string(sig[band * rows + 1 : band * rows + rows], '-') AS band_key"
+       " FROM sig, (SELECT bands, rows, unnest(range(bands)) AS band FROM shapes)),"
+       " cand AS (SELECT DISTINCT x.bands, x.rows, x.doc_id AS test_id, y.doc_id AS train_id FROM bk x JOIN bk y"
+       " ON x.bands = y.bands AND x.rows = y.rows AND x.band = y.band AND x.band_key = y.band_key"
+       " WHERE x.doc_id IN (SELECT doc_id FROM test) AND y.doc_id IN (SELECT doc_id FROM train)),"
+       " nc AS (SELECT bands, rows, test_id, count(*) AS n FROM cand GROUP BY ALL),"
+       " rs AS (SELECT c.bands, c.rows, c.test_id, d.label, n, row_number() OVER (PARTITION BY c.bands, c.rows, c.test_id ORDER BY dist, d.train_id) AS r"
+       " FROM cand c JOIN dist d ON d.test_id = c.test_id AND d.train_id = c.train_id"
+       " JOIN nc ON nc.bands = c.bands AND nc.rows = c.rows AND nc.test_id = c.test_id),"
+       f" pick AS (SELECT * FROM rs WHERE r <= {ADAPTIVE_K.format(n='n')}), chosen AS ({voted('pick', 'bands, rows, test_id')}),"
+       f" near_pick AS (SELECT * FROM near WHERE rank <= (SELECT {ADAPTIVE_K.format(n='count(*)')} FROM train)),"
+       f" brute AS ({voted('near_pick', 'test_id')})"
+       " SELECT g.threshold, b.test_id AS id, coalesce(c.pred, b.pred) AS sentiment FROM brute b CROSS JOIN grid g"
+       " LEFT JOIN chosen c ON c.bands = g.bands AND c.rows = g.rows AND c.test_id = b.test_id")
+def knn_lsh_unlabelled(spark, sf):
+    """Every unlabelled document at every threshold: (threshold, id, sentiment)."""
+    return lsh.score_unlabelled(labelled(spark, sf), unlabelled(spark, sf), PERMS)

@@ -11,10 +11,11 @@ from simalign.catalog.base import (
 )
 from simalign.functions import tokens as tk
 from simalign.functions import vectors
-from simalign.operators import evaluate, vote
+from simalign.operators import evaluate
 from simalign.operators.split import split_fraction
 from simalign.plans import classify
 from simalign.plans.representation import representation_study
+from simalign.session import stage
 
 HOLD = f"{LABELLED}, {RANKED}, {holdout(0.25)}"
 HOLD_LANG = f"{BY_LANGUAGE}, {RANKED}, {holdout(0.1)}"
@@ -89,11 +90,11 @@ def jaccard_vocab(spark, sf):
        " FROM p a JOIN p b ON b.doc_id = a.doc_id + 1")
 def jaccard_padded(spark, sf):
     """Set distance of zero-padded sequences of neighbouring documents."""
-    seqs = tx._sequences(spark, sf)
-    longest = seqs.agg(F.max(F.size("seq")).alias("longest"))  # one row
-    padded = seqs.crossJoin(F.broadcast(longest)).select(
-        "doc_id", F.array_distinct(vectors.pad_post(F.col("seq"), F.col("longest"))).alias("x")
-    )
+    # padding adds one element, 0, to the set of every sequence below the longest
+    seqs = stage(tx._sequences(spark, sf).select("doc_id", F.size("seq").alias("n"), F.array_distinct("seq").alias("x")))
+    longest = seqs.agg(F.max("n").alias("longest"))  # one row
+    padding = F.when(F.col("n") < F.col("longest"), F.array(F.lit(0).cast("long"))).otherwise(F.array().cast("array<long>"))
+    padded = seqs.crossJoin(F.broadcast(longest)).select("doc_id", F.concat(F.col("x").cast("array<long>"), padding).alias("x"))
     right = padded.select((F.col("doc_id") - 1).alias("doc_id"), F.col("x").alias("y"))
     joined = padded.join(right, "doc_id")
     return joined.select("doc_id", vectors.distance_sets(F.col("x"), F.col("y")).alias("value"))
@@ -122,16 +123,6 @@ def knn_vote(spark, sf):
     return classify.predictions(classify.neighbour_lists(*_halves(spark, sf), 4))
 
 
-@query("adaptive_k", "doc_id long, n long, k int",
-       f"WITH {HOLD}, {neighbours()}, c AS (SELECT test_id, count(*) AS n FROM near WHERE rank <= 15 AND dist < 0.9 GROUP BY test_id)"
-       f" SELECT test_id AS doc_id, n, {ADAPTIVE_K.format(n='n')} AS k FROM c")
-def adaptive_k(spark, sf):
-    """k from the number of neighbours closer than 0.9 among the 15 nearest."""
-    near = classify.neighbour_lists(*_halves(spark, sf), 15).filter("dist < 0.9")
-    counts = near.groupBy(F.col("test_id").alias("doc_id")).agg(F.count("*").alias("n"))
-    return counts.withColumn("k", vote.adaptive_k_column(F.col("n")))
-
-
 def many_k(ks: str, by: str = "") -> str:
     keys = f"{by}, " if by else ""
     spread = f"(SELECT near.*, k FROM near, (SELECT unnest([{ks}]) AS k) WHERE rank <= k)"
@@ -139,9 +130,9 @@ def many_k(ks: str, by: str = "") -> str:
 
 
 @query("knn_classify", "k int, doc_id long, label int, pred int",
-       f"WITH {HOLD}, {neighbours(5000)} SELECT k, test_id AS doc_id, test_label AS label, pred FROM ({many_k('5, 9')})")
+       f"WITH {HOLD}, {neighbours(75000)} SELECT k, test_id AS doc_id, test_label AS label, pred FROM ({many_k('5, 9')})")
 def knn_classify(spark, sf):
-    return classify.knn_classify(*_halves(spark, sf), [5, 9], max_features=5000)
+    return classify.knn_classify(*_halves(spark, sf), [5, 9], max_features=75000)
 
 
 @query("knn_bruteforce", "doc_id long, label int, pred int",
@@ -152,7 +143,7 @@ def knn_bruteforce(spark, sf):
 
 
 FOLDS = (
-    f"{LABELLED}, {folds(5)}, {neighbours(5000)},"
+    f"{LABELLED}, {folds(5)}, {neighbours(60000)},"
     " sizes AS (SELECT fold, count(*) AS n FROM train GROUP BY fold),"
     " ks AS (SELECT DISTINCT fold, unnest([1, 3, 5, 7, 9, 15, floor(sqrt(n))::INT]) AS k FROM sizes),"
     " spread AS (SELECT near.*, k FROM near JOIN ks USING (fold) WHERE rank <= k),"
@@ -161,7 +152,7 @@ FOLDS = (
 
 
 def _kfold(spark, sf):
-    return classify.knn_kfold(labelled(spark, sf), 5, [1, 3, 5, 7, 9, 15], max_features=5000)
+    return classify.knn_kfold(labelled(spark, sf), 5, [1, 3, 5, 7, 9, 15], max_features=60000)
 
 
 @query("knn_k_sweep", "fold int, k int, doc_id long, label int, pred int",

@@ -1,74 +1,64 @@
-"""Exact k nearest training documents under Jaccard distance, without comparing all pairs.
+"""Exact k nearest training documents under Jaccard distance, block by block.
 
 Input "sets" have columns (fold INT, doc_id LONG, label INT, terms ARRAY<STRING>), terms
 distinct. A test set is compared with the training sets of its own fold only. Test terms
 no training set of the fold holds are dropped before the distance, as a vectoriser fitted
 on the training side would drop them.
 
-The number of (test, train, term) matches is measured first, from term frequencies.
+There is one way, at every size:
 
-Few matches for the cores at hand: they are counted directly, one equi-join on terms. Terms
-that alone would keep a task busy are cut into blocks.
+1.  Terms get whole-number ids. Equal training sets collapse into one group that remembers
+    its k smallest members; the rest can never be in a top k.
+2.  Groups and test sets are cut into blocks by hash, and each test block meets each group
+    block of its fold in one task of bounded size. The task indexes the terms of its groups
+    and counts shared terms through the posting lists, so its work is the number of shared
+    (test, group, term) triples. It returns the k nearest members per test set: no pair of
+    documents is ever shuffled, and no term, however frequent, is a key of a shuffle here.
+3.  The k best of all blocks are ranked by (distance, train_id).
 
-Too many: the indexed search, exact and below quadratic.
-
-1.  Terms get ids in order of training frequency, rare first. Equal training sets collapse
-    into one group that remembers its k smallest members; the rest can never be in a top k.
-2.  A bounded number of training groups per rare test term is compared exactly. The k-th
-    best similarity found is a lower bound s for the final k-th similarity.
-3.  A group at least as similar as s must share one of the first a - ceil(s*a) + 1 terms of
-    the test set (prefix filter). Only such pairs meet, those whose shared count can still
-    reach s are compared, then ranked by (distance, train_id).
-
-Either way the k smallest training ids join the ranking of every test document at the
-distance of no shared term, so that each one gets k neighbours.
+Pairs without a shared term take part at distance 1 (two empty sets at 0), so every test
+set gets k neighbours if its fold has them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from simalign.session import stage
 
-# Rarest terms of a test set that look for first neighbours, and training groups per term.
-# They steer how tight the lower bound is, never the result.
-PROBE_TERMS = 48
-PROBE_GROUPS = 24
-# Training rows of one term that meet in one task; more are spread over salted blocks.
-BLOCK_ROWS = 4096
-# Matches per core up to which they are counted directly, and matches of one term per task.
-MATCHES_PER_CORE = 100_000_000
-MATCHES_PER_TASK = 4_000_000
-# Training sets in one slice of the training side: the longest posting list.
-SLICE_SETS = 1 << 15
+# Training groups and test sets of one task. They bound its memory, never the result.
+GROUP_BLOCK = 8192
+TEST_BLOCK = 4096
+# Cells of a task's table of counts, and shared terms looked up, in one step.
+STEP_CELLS = 1 << 21
 
 
-def encode_terms(terms: DataFrame) -> DataFrame:
-    """(fold, term, term_id, df): ids grow with the training frequency of the term."""
-    parts = int(terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ("df", "fold", "term")
-    placed = terms.select(*order).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return stage(placed.withColumn("term_id", F.monotonically_increasing_id()))
+def vocabulary(train: DataFrame, keep: DataFrame | None = None) -> DataFrame:
+    """(fold, term, term_id) of the training side; `keep` (fold, term) limits it."""
+    known = term_rows(train).distinct()
+    if keep is not None:
+        known = known.join(keep.select("fold", "term"), ["fold", "term"], "left_semi")
+    return stage(known.withColumn("term_id", F.monotonically_increasing_id()))
 
 
-def encode_sets(sets: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Sets as `ids`: sorted array of (term_id, df), terms outside the vocabulary dropped.
+def encode_sets(sets: DataFrame, terms: DataFrame) -> DataFrame:
+    """Sets as `ids`, a sorted array of term ids; terms outside the vocabulary are dropped.
 
     An empty set keeps its row through a place-holder no vocabulary holds; it differs by
     document, so that many empty documents do not meet in one task.
     """
     holder = F.array(F.concat(F.lit(" "), F.col("doc_id").cast("string")))
-    terms = F.when(F.size("terms") > 0, F.col("terms")).otherwise(holder)
-    hit = F.when(F.col("term_id").isNotNull(), F.struct("term_id", "df"))
+    content = F.when(F.size("terms") > 0, F.col("terms")).otherwise(holder)
     return (
-        sets.select("fold", "doc_id", "label", F.explode_outer(terms).alias("term"))
-        .join(vocabulary, ["fold", "term"], "left")
+        sets.select("fold", "doc_id", "label", F.explode_outer(content).alias("term"))
+        .join(terms, ["fold", "term"], "left")
         .groupBy("fold", "doc_id", "label")
-        .agg(F.sort_array(F.collect_list(hit)).alias("ids"))
+        .agg(F.sort_array(F.collect_list("term_id")).alias("ids"))  # collect_list passes over NULL
     )
 
 
@@ -76,16 +66,20 @@ def collapse(sets: DataFrame, content: str, k: int, *also: str) -> DataFrame:
     """One row per distinct set: (fold, content, also, gid, members, n), gid the smallest member.
 
     `members` holds the k smallest documents as (train_id, label), `n` counts all of them.
-    The rank filter keeps k rows per set before the shuffle, however many copies there are.
+    Rows are grouped by a 128-bit digest of the set, which alone is compared and sorted. The
+    rank filter keeps k rows per set before the shuffle, however many copies there are.
     """
-    same = ["fold", content, *also]
-    smallest = _top(sets, same, [F.col("doc_id")], k, "_rn")
+    digest = F.md5(F.to_json(F.struct(content, *also)))
+    keyed = sets.withColumn("_set", digest)
+    same = ["fold", "_set"]
+    smallest = _top(keyed, same, [F.col("doc_id")], k, "_rn")
     member = F.struct(F.col("doc_id").alias("train_id"), "label")
+    values = [F.min_by(c, "doc_id").alias(c) for c in (content, *also)]
     groups = smallest.groupBy(*same).agg(
-        F.min("doc_id").alias("gid"), F.sort_array(F.collect_list(member)).alias("members")
+        F.min("doc_id").alias("gid"), F.sort_array(F.collect_list(member)).alias("members"), *values
     )
-    sizes = sets.groupBy(*same).agg(F.min("doc_id").alias("gid"), F.count("*").alias("n"))
-    return groups.join(sizes.select("fold", "gid", "n"), ["fold", "gid"])
+    sizes = keyed.groupBy(*same).agg(F.min("doc_id").alias("gid"), F.count("*").alias("n"))
+    return groups.join(sizes.select("fold", "gid", "n"), ["fold", "gid"]).drop("_set")
 
 
 def _top(df: DataFrame, keys: list[str], order: list[Column], k: int, out: str = "rank") -> DataFrame:
@@ -93,16 +87,6 @@ def _top(df: DataFrame, keys: list[str], order: list[Column], k: int, out: str =
     return ranked.filter(F.col(out) <= k)
 
 
-def _postings(groups: DataFrame, gid: str, size: str, pos: str) -> DataFrame:
-    """One row per (set, term) with the position of the term, 1-based and rare first."""
-    return groups.select(
-        "fold", gid, F.size("ids").alias(size), F.posexplode("ids").alias("_p", "_t")
-    ).select(
-        "fold", gid, size, (F.col("_p") + 1).alias(pos),
-        F.col("_t.term_id").alias("term_id"), F.col("_t.df").alias("df"),
-    )
-
-
 def overlaps(pairs: DataFrame, test: DataFrame, train: DataFrame) -> DataFrame:
     """Exact intersection and set sizes for (fold, test_id, gid) pairs, over column `terms`."""
     left = test.select("fold", "test_id", F.col("terms").alias("_a"))
@@ -132,101 +116,6 @@ def nearest_groups(compared: DataFrame, k: int, *keys: str) -> DataFrame:
     return _top(scored, list(keys) or ["fold", "test_id"], [F.col("dist"), F.col("gid")], k, "_g")
 
 
-def probe_bounds(test: DataFrame, train: DataFrame, k: int) -> DataFrame:
-    """(fold, test_id, s_inter, s_union): a lower bound s_inter/s_union on the k-th similarity.
-
-    Test documents the probe finds fewer than k groups for are absent: their bound is 0.
-    """
-    champions = _top(
-        _postings(train, "gid", "b", "pb").select("fold", "term_id", "gid", "b"),
-        ["fold", "term_id"], [F.col("gid")], PROBE_GROUPS, "_rn",
-    ).drop("_rn")
-    probes = _postings(test, "test_id", "a", "pa").filter(F.col("pa") <= PROBE_TERMS)
-    met = (
-        probes.join(champions, ["fold", "term_id"])
-        .groupBy("fold", "test_id", "gid")
-        .agg(F.count("*").alias("c"), F.first("a").alias("a"), F.first("b").alias("b"))
-        .withColumn("_score", F.col("c") / (F.col("a") + F.col("b") - F.col("c")))
-    )
-    chosen = _top(met, ["fold", "test_id"], [F.col("_score").desc(), F.col("gid")], 2 * k, "_rn")
-    ids = [d.withColumn("terms", F.transform("ids", lambda t: t["term_id"])) for d in (test, train)]
-    compared = overlaps(chosen.select("fold", "test_id", "gid"), *ids).drop("members")
-    kth = nearest_groups(compared, k).filter(F.col("_g") == k)
-    return kth.select(
-        "fold", "test_id",
-        F.col("inter").cast("long").alias("s_inter"),
-        (F.col("a") + F.col("b") - F.col("inter")).cast("long").alias("s_union"),
-    )
-
-
-def candidate_pairs(test: DataFrame, train: DataFrame, bounds: DataFrame) -> DataFrame:
-    """(fold, test_id, gid) that can be at least as similar as the bound s = inter / union.
-
-    A test set shares at least need = ceil(s * a) terms with such a group, so it shares
-    some of its first a - need + 1 terms: the frequent tail is never joined. What the tail
-    could add, need - 1, is known, so the shared count on the prefix decides.
-
-    Frequent terms are cut into blocks of about BLOCK_ROWS training rows, and the few test
-    rows that still need such a term visit every block.
-    """
-    blocks = F.ceil(F.col("df") / BLOCK_ROWS).cast("int")
-    inter, union, a = F.col("s_inter"), F.col("s_union"), F.size("ids")
-    need = F.floor((inter * a + union - 1) / union).cast("int")
-    # inter / union >= s  <=>  shared >= share * (a + b); the slack keeps rounding harmless
-    share = inter / (inter + union)
-    tail = F.greatest(need - 1, F.lit(0))
-    queries = (
-        test.join(bounds, ["fold", "test_id"], "left")
-        .fillna({"s_inter": 0, "s_union": 1})
-        .select(
-            "fold", "test_id", "ids", need.alias("need"),
-            share.alias("share"), (share * a - tail - 1e-6).alias("base"),
-            # sets of too different size cannot reach s
-            need.alias("low"),
-            F.when(inter > 0, F.floor(a * union / inter)).otherwise(F.lit(2**31 - 1)).cast("int").alias("high"),
-        )
-    )
-    left = (
-        queries.select(
-            "fold", "test_id", "share", "base", "low", "high",
-            F.explode(F.slice("ids", 1, F.size("ids") - F.greatest(F.col("need") - 1, F.lit(0)))).alias("_t"),
-        )
-        .select(
-            "fold", "test_id", "share", "base", "low", "high", "_t.term_id",
-            F.ceil(F.col("_t.df") / BLOCK_ROWS).cast("int").alias("_blocks"),
-        )
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .drop("_blocks")
-    )
-    right = (
-        _postings(train, "gid", "b", "pb")
-        .withColumn("block", F.pmod(F.hash("gid"), blocks))
-        .drop("df", "pb")
-    )
-    return (
-        left.join(right, ["fold", "term_id", "block"])
-        .filter(F.col("b").between(F.col("low"), F.col("high")))
-        .select("fold", "test_id", "gid", (F.col("base") + F.col("share") * F.col("b")).alias("least"))
-        .groupBy("fold", "test_id", "gid")
-        .agg(F.count("*").alias("c"), F.max("least").alias("least"))
-        .filter(F.col("c") >= F.col("least"))
-        .select("fold", "test_id", "gid")
-    )
-
-
-def term_matches(train: DataFrame, test: DataFrame, keep: DataFrame | None = None) -> DataFrame:
-    """(fold, term, df, matches) for the training vocabulary; `keep` (fold, term) limits it."""
-
-    def counts(sets: DataFrame, out: str) -> DataFrame:
-        return term_rows(sets).groupBy("fold", "term").agg(F.count("*").alias(out))
-
-    known = counts(train, "df")
-    if keep is not None:
-        known = known.join(keep.select("fold", "term"), ["fold", "term"], "left_semi")
-    met = known.join(counts(test, "_t"), ["fold", "term"], "left")
-    return met.select("fold", "term", "df", (F.col("df") * F.coalesce("_t", F.lit(0))).alias("matches"))
-
-
 def term_rows(sets: DataFrame, *keys: str) -> DataFrame:
     """(fold, keys, term), one row per element of a set."""
     # outer: an inner explode would evaluate the terms a second time to filter empty sets
@@ -245,144 +134,143 @@ def known_sizes(sets: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 def nearest(train: DataFrame, test: DataFrame, k: int, keep: DataFrame | None = None) -> DataFrame:
     """(fold, test_id, test_label, train_id, label, dist, rank): the k nearest per test set."""
-    terms = stage(term_matches(train, test, keep))
-    total = terms.agg(F.sum("matches")).first()[0] or 0
-    if total <= MATCHES_PER_CORE * train.sparkSession.sparkContext.defaultParallelism:
-        listed = _count_directly(train, test, terms, k, keep is not None)
-    else:
-        index = fit(train, terms, k)
-        listed = search(index, encode_queries(index, test))
-    labels = test.select("fold", F.col("doc_id").alias("test_id"), F.col("label").alias("test_label"))
-    return listed.join(labels, ["fold", "test_id"])
-
-
-def fillers(train: DataFrame, k: int) -> DataFrame:
-    """(fold, train_id, label): the k smallest training ids of every fold."""
-    ids = train.select("fold", F.col("doc_id").alias("train_id"), "label")
-    return _top(ids, ["fold"], [F.col("train_id")], k, "_rn").drop("_rn")
-
-
-def _count_directly(
-    train: DataFrame, test: DataFrame, terms: DataFrame, k: int, limited: bool
-) -> DataFrame:
-    """Posting lists travel to the test sets and are counted where they arrive.
-
-    A list holds the training sets of one term and one slice of the training side, so its
-    length is bounded. Lists are shuffled, not single matches, and a task counts whole
-    (test set, slice) groups; the ranking keeps k rows per test set before it shuffles.
-    """
-    largest = train.groupBy("fold").agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 1
-    slices = -(-largest // SLICE_SETS)
-    # at most MATCHES_PER_CORE / MATCHES_PER_TASK terms per core, so safe to broadcast
-    busy = F.broadcast(
-        terms.filter(F.col("matches") > MATCHES_PER_TASK).select(
-            "fold", "term", F.ceil(F.col("matches") / (slices * MATCHES_PER_TASK)).cast("int").alias("_n")
-        )
-    )
-    split = F.col("_n").isNotNull()
-    every_slice = F.sequence(F.lit(0), F.lit(slices - 1))
-    left = (
-        term_rows(test, "doc_id")
-        .join(busy, ["fold", "term"], "left")
-        .select(
-            "fold", "term", F.col("doc_id").alias("test_id"),
-            F.when(split, F.pmod(F.hash("doc_id"), F.col("_n"))).otherwise(0).alias("_salt"),
-            F.explode(F.when(split, every_slice).otherwise(F.array(F.lit(-1)))).alias("_part"),
-        )
-    )
-    met_terms = terms.filter("matches > 0").select("fold", "term")
-    right = (
-        term_rows(train, "doc_id")
-        .join(met_terms, ["fold", "term"], "left_semi")
-        .groupBy("fold", "term", F.pmod(F.hash("doc_id"), F.lit(slices)).alias("slice"))
-        .agg(F.collect_list("doc_id").alias("_list"))
-        .join(busy, ["fold", "term"], "left")
-        .select(
-            "fold", "term", "slice", "_list",
-            F.when(split, F.col("slice")).otherwise(-1).alias("_part"),
-            F.explode(F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1)).alias("_salt"),
-        )
-    )
-    counted = (
-        left.join(right, ["fold", "term", "_part", "_salt"])
-        .select("fold", "test_id", "slice", "_list")
-        .repartition("fold", "test_id", "slice")
-        .select("fold", "test_id", "slice", F.explode("_list").alias("train_id"))
-        .groupBy("fold", "test_id", "slice", "train_id")
-        .agg(F.count("*").alias("inter"))
-    )
-    sizes_a = known_sizes(test, terms).withColumnsRenamed({"doc_id": "test_id", "size": "a"})
-    sized_train = train.withColumn("b", F.size("terms"))
-    if limited:
-        sized_train = known_sizes(train, terms).withColumnRenamed("size", "b").join(train, ["fold", "doc_id"])
-    sizes_b = sized_train.select("fold", F.col("doc_id").alias("train_id"), "label", "b")
-    found = _top(
-        counted.join(sizes_b, ["fold", "train_id"])
-        .join(sizes_a, ["fold", "test_id"])
-        .withColumn("dist", jaccard_distance(F.col("inter"), F.col("a"), F.col("b"))),
-        ["fold", "test_id"], [F.col("dist"), F.col("train_id")], k,
-    )
-    # pairs without a match: the smallest ids, and for empty sets the smallest empty ones
-    spare = test.select("fold", F.col("doc_id").alias("test_id"), F.lit(1.0).alias("dist")).join(
-        fillers(train, k), "fold"
-    )
-    no_terms = sized_train.filter("b = 0").select("fold", "doc_id", "label")
-    both_empty = sizes_a.filter("a = 0").select("fold", "test_id", F.lit(0.0).alias("dist")).join(
-        fillers(no_terms, k), "fold"
-    )
-    found = found.select("fold", "test_id", "train_id", "label", "dist")
-    return with_fillers(found, spare.unionByName(both_empty), k)
-
-
-def with_fillers(found: DataFrame, spare: DataFrame, k: int) -> DataFrame:
-    """The k nearest of both; a pair that is in both keeps its smaller distance."""
-    every = found.unionByName(spare).groupBy("fold", "test_id", "train_id", "label").agg(
-        F.min("dist").alias("dist")
-    )
-    return _top(every, ["fold", "test_id"], [F.col("dist"), F.col("train_id")], k)
-
-
-@dataclass(frozen=True)
-class NeighbourIndex:
-    """A fitted training side: vocabulary, encoded documents and collapsed groups."""
-
-    vocabulary: DataFrame
-    encoded: DataFrame
-    groups: DataFrame
-    k: int
+    terms = vocabulary(train, keep)
+    groups = stage(collapse(encode_sets(train, terms), "ids", k))
+    queries = stage(encode_sets(test, terms).select("fold", F.col("doc_id").alias("test_id"), F.col("label").alias("test_label"), "ids"))
+    return _top(_block_lists(groups, queries, k), ["fold", "test_id"], [F.col("dist"), F.col("train_id")], k)
 
 
-def fit(train: DataFrame, terms: DataFrame, k: int) -> NeighbourIndex:
-    vocabulary = encode_terms(terms)
-    encoded = stage(encode_sets(train, vocabulary))
-    return NeighbourIndex(vocabulary, encoded, stage(collapse(encoded, "ids", k)), k)
+def _numbered_blocks(sizes: Column, limit: int) -> Column:
+    return F.greatest(F.ceil(sizes / limit), F.lit(1)).cast("int")
 
 
-def encode_queries(index: NeighbourIndex, test: DataFrame) -> DataFrame:
-    return stage(encode_sets(test, index.vocabulary).withColumnRenamed("doc_id", "test_id").drop("label"))
-
-
-def search(index: NeighbourIndex, queries: DataFrame) -> DataFrame:
-    """(fold, test_id, train_id, label, dist, rank): the k nearest per query."""
-    k, groups = index.k, index.groups
-    bounds = stage(probe_bounds(queries, groups, k))
-    ids = [d.withColumn("terms", F.transform("ids", lambda t: t["term_id"])) for d in (queries, groups)]
-    compared = overlaps(candidate_pairs(queries, groups, bounds), *ids)
-    # an empty test set meets the empty training set, at distance 0
-    empty = (
-        queries.filter(F.size("ids") == 0)
-        .join(groups.filter(F.size("ids") == 0), "fold")
-        .select(
-            "fold", "test_id", "gid", "members",
-            F.lit(0).alias("inter"), F.lit(0).alias("a"), F.lit(0).alias("b"),
-        )
+def _block_lists(groups: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(fold, test_id, test_label, train_id, label, dist): the k nearest of every block of groups."""
+    counts = groups.groupBy("fold").agg(F.count("*").alias("_g")).join(
+        queries.groupBy("fold").agg(F.count("*").alias("_q")), "fold"
+    )
+    blocks = counts.select(
+        "fold", _numbered_blocks(F.col("_g"), GROUP_BLOCK).alias("_gs"), _numbered_blocks(F.col("_q"), TEST_BLOCK).alias("_qs")
+    )
+    # one row per fold
+    left = groups.join(F.broadcast(blocks), "fold").select(
+        "fold", F.explode(F.sequence(F.lit(0), F.col("_qs") - 1)).alias("q_block"), F.pmod(F.hash("gid"), F.col("_gs")).alias("g_block"),
+        F.lit(0).alias("side"), F.col("gid").alias("id"), F.lit(None).cast("int").alias("test_label"), "ids",
+        F.col("members.train_id").alias("member_ids"), F.col("members.label").alias("labels"),
     )
-    near = nearest_groups(compared.unionByName(empty), k)
-    found = near.select("fold", "test_id", "dist", F.inline("members"))
-    spare = queries.select("fold", "test_id", F.lit(1.0).alias("dist")).join(
-        fillers(index.encoded, k), "fold"
+    right = queries.join(F.broadcast(blocks), "fold").select(
+        "fold", F.pmod(F.hash("test_id"), F.col("_qs")).alias("q_block"), F.explode(F.sequence(F.lit(0), F.col("_gs") - 1)).alias("g_block"),
+        F.lit(1).alias("side"), F.col("test_id").alias("id"), "test_label", "ids",
+        F.lit(None).cast("array<bigint>").alias("member_ids"), F.lit(None).cast("array<int>").alias("labels"),
     )
-    return with_fillers(found, spare, k)
+    key = ["fold", "q_block", "g_block"]
+    met = left.unionByName(right).repartition(*key).sortWithinPartitions(*key, "side", "id")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in _runs(batches, len(key)):
+            at = int(np.searchsorted(run.column("side").to_numpy(), 1))
+            if 0 < at < run.num_rows:
+                yield from _search_block(run.slice(0, at).combine_chunks(), run.slice(at).combine_chunks(), k)
+
+    return met.mapInArrow(search, "fold int, test_id long, test_label int, train_id long, label int, dist double")
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Rows of equal leading key columns, which come one after the other."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_numpy() for i in range(keys)]
+        change = np.zeros(batch.num_rows - 1, bool)
+        for c in columns:
+            change |= c[1:] != c[:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            here = tuple(c[low] for c in columns)
+            if here != last and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = here
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, ends) of a list column."""
+    column = column.combine_chunks()
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks)
+    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+    return column.flatten().to_numpy(zero_copy_only=False), ends
+
+
+def _search_block(groups: pa.Table, tests: pa.Table, k: int) -> Iterator[pa.RecordBatch]:
+    """The k nearest members of some groups for every one of some test sets."""
+    values, ends = _lists(groups.column("ids"))
+    n = groups.num_rows
+    b = np.diff(ends, prepend=0)
+    terms, dense = np.unique(values, return_inverse=True)
+    order = np.argsort(dense, kind="stable")
+    postings = np.repeat(np.arange(n), b)[order]  # groups of each term, one list after the other
+    lows = np.concatenate(([0], np.cumsum(np.bincount(dense, minlength=len(terms)))))
+    member_ids, member_ends = _lists(groups.column("member_ids"))
+    labels = pa.array(groups.column("labels").combine_chunks().flatten()) if n else None
+    if isinstance(labels, pa.ChunkedArray):
+        labels = labels.combine_chunks()
+    member_lows = member_ends - np.diff(member_ends, prepend=0)
+    asked, asked_ends = _lists(tests.column("ids"))
+    fold = groups.column("fold")[0].as_py()
+    test_ids, test_labels = tests.column("id").to_numpy(), tests.column("test_label")
+    asked_lows = asked_ends - np.diff(asked_ends, prepend=0)
+    at = np.minimum(np.searchsorted(terms, asked), max(0, len(terms) - 1))
+    found = terms[at] == asked if len(terms) else np.zeros(len(asked), bool)
+    width = np.where(found, (lows[1:] - lows[:-1])[at] if len(terms) else 0, 0)
+    reach = np.concatenate(([0], np.cumsum(width)))  # shared terms before each asked term
+    step = max(1, STEP_CELLS // max(1, n))
+    low = 0
+    while low < len(test_ids):
+        high = min(len(test_ids), low + step)
+        while high > low + 1 and reach[asked_ends[high - 1]] - reach[asked_lows[low]] > 4 * STEP_CELLS:
+            high = low + (high - low) // 2
+        span = slice(int(asked_lows[low]), int(asked_ends[high - 1]))
+        w = width[span]
+        owner = np.repeat(np.arange(high - low), asked_ends[low:high] - asked_lows[low:high])
+        total = int(w.sum())
+        place = np.repeat(lows[at[span]] - (np.cumsum(w) - w), w) + np.arange(total) if len(terms) else np.zeros(0, np.int64)
+        inter = np.bincount(np.repeat(owner, w) * n + postings[place], minlength=(high - low) * n).reshape(high - low, n)
+        a = (asked_ends[low:high] - asked_lows[low:high])[:, None]
+        union = a + b[None, :] - inter
+        with np.errstate(invalid="ignore", divide="ignore"):
+            dist = np.where(union == 0, 0.0, 1.0 - inter / union)
+        out = [[], [], [], []]
+        for i in range(high - low):
+            row = dist[i]
+            if n > k:
+                near = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1])
+            else:
+                near = np.arange(n)
+            near = near[np.argsort(row[near], kind="stable")][:k]  # groups are sorted by gid
+            size = (member_ends - member_lows)[near]
+            picks = np.repeat(member_lows[near] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+            far = np.repeat(row[near], size)
+            best = np.lexsort((member_ids[picks], far))[:k]
+            out[0].append(np.full(len(best), low + i))
+            out[1].append(picks[best])
+            out[2].append(far[best])
+        rows, picks, far = (np.concatenate(x) for x in out[:3])
+        yield pa.RecordBatch.from_pydict({
+            "fold": pa.array(np.full(len(rows), fold), pa.int32()), "test_id": pa.array(test_ids[rows]),
+            "test_label": _flat(test_labels.take(pa.array(rows))), "train_id": pa.array(member_ids[picks]),
+            "label": _flat(labels.take(pa.array(picks))), "dist": pa.array(far),
+        })
+        low = high
+
+
+def _flat(column) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
 
 
 def rank_pairs(pairs: DataFrame, metric: Callable[[Column, Column], Column], k: int, *keys: str) -> DataFrame:

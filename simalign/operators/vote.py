@@ -26,6 +26,23 @@ def vote(neighbours: DataFrame, *by: str) -> DataFrame:
 
 
 def vote_many_k(neighbours: DataFrame, ks: Column, *by: str) -> DataFrame:
-    """(by, k, pred) for several k from one neighbour list; `ks` is an array of k values."""
-    spread = neighbours.withColumn("k", F.explode(F.array_distinct(ks)))
-    return vote(spread.filter(F.col("rank") <= F.col("k")), *by, "k")
+    """(by, k, pred) for several k from one neighbour list; `ks` is an array of k values.
+
+    A list is gathered once per test row, where it already lies, and every k counts its first
+    k labels: rows are not repeated for each k.
+    """
+    gathered = neighbours.groupBy(*by).agg(
+        F.collect_list(F.struct("rank", "label")).alias("_n"), F.first(F.array_distinct(ks)).alias("_ks")
+    )
+    labels = F.array_distinct(F.filter(F.transform("_n", lambda x: x["label"]), lambda v: v.isNotNull()))
+
+    def best(k: Column) -> Column:
+        def votes(label: Column) -> Column:
+            mine = F.filter("_n", lambda x: (x["rank"] <= k) & (x["label"] == label))
+            return F.struct(F.size(mine).alias("n"), (-label).alias("m"))
+
+        return -F.array_max(F.transform("_labels", votes))["m"]
+
+    return gathered.withColumn("_labels", labels).select(
+        *by, F.inline(F.transform("_ks", lambda k: F.struct(k.alias("k"), best(k).alias("pred"))))
+    )

@@ -19,13 +19,13 @@ from simalign.operators.vote import adaptive_k, vote, vote_many_k
 from simalign.session import stage
 
 
-def term_sets(docs: DataFrame) -> DataFrame:
-    """(fold, doc_id, label, terms): the distinct words of every document."""
+def term_sets(docs: DataFrame, *also: str) -> DataFrame:
+    """(fold, doc_id, label, also, terms): the distinct words of every document."""
     fold = F.col("fold") if "fold" in docs.columns else F.lit(0)
     label = F.col("label") if "label" in docs.columns else F.lit(None)
     terms = F.array_distinct(word_tokens(fill_text(F.col("text"))))
     return docs.select(
-        fold.cast("int").alias("fold"), "doc_id", label.cast("int").alias("label"), terms.alias("terms")
+        fold.cast("int").alias("fold"), "doc_id", label.cast("int").alias("label"), *also, terms.alias("terms")
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +38,27 @@ def split_by_candidates(test: DataFrame, candidates: DataFrame) -> tuple[DataFra
     return test.join(served, "doc_id", "left_semi"), test.join(served, "doc_id", "left_anti")
 
 
-def signed_sets(docs: DataFrame, perms: int) -> DataFrame:
-    """(fold, doc_id, label, terms, sig); `terms` sorted, `sig` NULL without tokens."""
-    sets = term_sets(docs).withColumn("terms", F.sort_array("terms"))
+def signed_sets(docs: DataFrame, perms: int, *also: str) -> DataFrame:
+    """(fold, doc_id, label, also, terms, sig); `terms` sorted, `sig` NULL without tokens."""
+    sets = term_sets(docs, *also).withColumn("terms", F.sort_array("terms"))
     return sets.join(signed(docs, "doc_id", perms=perms), "doc_id", "left")
 
 
+SHAPE = ["bands", "rows"]
+
+
+def shape_keys(bands: int, rows: int) -> Column:
+    """Band keys with the shape they belong to."""
+
+    def tag(entry):
+        return F.struct(
+            F.lit(bands).alias("bands"), F.lit(rows).alias("rows"),
+            entry["band"].alias("band"), entry["band_key"].alias("band_key"),
+        )
+
+    return F.transform(minhash.band_keys(F.col("sig"), bands, rows), tag)
+
+
 def local_sizes(pairs: DataFrame, test: DataFrame, groups: DataFrame, *keys: str) -> DataFrame:
     """(keys, test_id, a): terms of a test set that any of its candidates holds."""
     left = test.select("test_id", F.col("terms").alias("_a"))
@@ -67,54 +84,117 @@ def rank_candidates(compared: DataFrame, pairs: DataFrame, *keys: str) -> DataFr
     return ranked.filter(F.col("rank") <= adaptive_k_column(F.col("n_candidates")))
 
 
-def knn_lsh(
-    train: DataFrame, test: DataFrame, perms: int, threshold: float, local: bool = False
-) -> DataFrame:
-    """(doc_id, label, pred, route, n_candidates), one row per test document.
+@dataclass(frozen=True)
+class Run:
+    """Both sides of a run, the collapsed training groups and the candidate pairs, all staged."""
 
-    `local` counts only those terms of a test document that its own candidates hold;
-    otherwise all terms of the training side count.
-    """
-    bands, rows = minhash.band_params(perms, threshold)
-    used = bands * rows
-    marked = train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
-    sides = stage(signed_sets(marked, used).join(marked.select("doc_id", "is_test"), "doc_id"))
+    train_sets: DataFrame
+    queries: DataFrame
+    groups: DataFrame
+    pairs: DataFrame
+
+
+def prepare(train: DataFrame, test: DataFrame, perms: int, thresholds: list[float]) -> Run:
+    """Signatures once, candidate pairs of every band shape the thresholds ask for."""
+    shapes = sorted({minhash.band_params(perms, t) for t in thresholds})
+    used = max(bands * rows for bands, rows in shapes)
+    marked = train.withColumn("is_test", F.lit(False)).unionByName(
+        test.withColumn("is_test", F.lit(True)), allowMissingColumns=True
+    )
+    sides = stage(signed_sets(marked, used, "is_test"))
     train_sets = sides.filter(~F.col("is_test")).drop("is_test")
-    test_sets = sides.filter("is_test").drop("is_test")
+    queries = sides.filter("is_test").drop("is_test").withColumnRenamed("doc_id", "test_id")
     groups = stage(nb.collapse(train_sets.filter("sig IS NOT NULL"), "terms", FULL_K, "sig"))
-    queries = test_sets.withColumnRenamed("doc_id", "test_id")
+    keyed = F.explode(F.concat(*[shape_keys(b, r) for b, r in shapes])).alias("_k")
     pairs = stage(
         minhash.bucket_pairs(
-            minhash.band_rows(queries.filter("sig IS NOT NULL"), bands, rows, "test_id"),
-            minhash.band_rows(groups, bands, rows, "gid"),
-            ["band", "band_key"], "test_id", "gid",
+            queries.filter("sig IS NOT NULL").select("test_id", keyed).select("test_id", "_k.*"),
+            groups.select("gid", keyed).select("gid", "_k.*"),
+            [*SHAPE, "band", "band_key"], "test_id", "gid",
         )
     )
+    return Run(train_sets, queries, groups, pairs)
+
+
+def by_candidates(run: Run, local: bool = False) -> DataFrame:
+    """(bands, rows, test_id, n_candidates, pred) of the test documents with candidates.
+
+    `local` counts only those terms of a test document that its own candidates hold;
+    otherwise all terms of the training side count. A pair is compared once for all shapes.
+    """
+    unique = run.pairs.select(F.lit(0).alias("fold"), "test_id", "gid").distinct()
+    compared = nb.overlaps(unique, run.queries, run.groups).join(run.groups.select("gid", "n"), "gid").drop("fold")
     if local:
-        sizes = local_sizes(pairs, queries, groups)
+        sizes, on = local_sizes(run.pairs, run.queries, run.groups, *SHAPE), [*SHAPE, "test_id"]
     else:
-        vocabulary = nb.term_rows(train_sets).distinct()
-        sizes = nb.known_sizes(test_sets, vocabulary).select(
-            F.col("doc_id").alias("test_id"), F.col("size").alias("_a")
-        )
-    compared = (
-        nb.overlaps(pairs.withColumn("fold", F.lit(0)), queries, groups)
-        .join(sizes, "test_id", "left")
-        .withColumn("a", F.coalesce("_a", F.lit(0)))
-        .drop("_a")
+        vocabulary = nb.term_rows(run.train_sets).distinct()
+        known = nb.known_sizes(run.queries.withColumnRenamed("test_id", "doc_id"), vocabulary)
+        sizes, on = known.select(F.col("doc_id").alias("test_id"), F.col("size").alias("_a")), ["test_id"]
+    per_shape = (
+        run.pairs.join(compared, ["test_id", "gid"]).join(sizes, on, "left").withColumn("a", F.coalesce("_a", F.lit(0))).drop("_a")
     )
-    ranked = rank_candidates(compared, pairs.join(groups.select("gid", "n"), "gid"))
-    by_lsh = vote(ranked, "test_id", "n_candidates").withColumn("route", F.lit("lsh"))
-    rest = test_sets.join(pairs.select(F.col("test_id").alias("doc_id")), "doc_id", "left_anti")
-    by_all = (
-        vote(nb.nearest(train_sets, rest, adaptive_k(train_sets.count())), "test_id")
-        .withColumn("route", F.lit("all"))
-        .withColumn("n_candidates", F.lit(0).cast("bigint"))
+    return vote(rank_candidates(per_shape, per_shape, *SHAPE), *SHAPE, "test_id", "n_candidates")
+
+
+def by_all(run: Run, tests: DataFrame) -> DataFrame:
+    """(test_id, pred) of the given test documents from the whole training side."""
+    rest = run.queries.join(tests, "test_id", "left_semi").withColumnRenamed("test_id", "doc_id")
+    return vote(nb.nearest(run.train_sets, rest, adaptive_k(run.train_sets.count())), "test_id")
+
+
+def without_candidates(run: Run, shapes: int = 1) -> DataFrame:
+    """(test_id) of test documents that have no candidate in some of the shapes."""
+    served = run.pairs.groupBy("test_id").agg(F.count_distinct(*SHAPE).alias("_n")).filter(F.col("_n") == shapes)
+    return run.queries.select("test_id").join(served, "test_id", "left_anti")
+
+
+def candidate_route(run: Run, local: bool = False) -> DataFrame:
+    """(doc_id, label, pred, route, n_candidates) of the documents the candidates serve."""
+    voted = by_candidates(run, local).withColumn("route", F.lit("lsh"))
+    return _labelled(run, voted)
+
+
+def all_route(run: Run) -> DataFrame:
+    """The same for the documents without candidates."""
+    voted = by_all(run, without_candidates(run)).withColumn("route", F.lit("all"))
+    return _labelled(run, voted.withColumn("n_candidates", F.lit(0).cast("bigint")))
+
+
+def _labelled(run: Run, voted: DataFrame) -> DataFrame:
+    return voted.join(run.queries.select("test_id", "label"), "test_id").select(
+        F.col("test_id").alias("doc_id"), "label", "pred", "route", "n_candidates"
     )
+
+
+def knn_lsh(train: DataFrame, test: DataFrame, perms: int, threshold: float, local: bool = False) -> DataFrame:
+    """(doc_id, label, pred, route, n_candidates), one row per test document: both routes."""
+    run = prepare(train, test, perms, [threshold])
+    return candidate_route(run, local).unionByName(all_route(run))
+
+
+# The thresholds the unlabelled set is scored at.
+UNLABELLED_THRESHOLDS = [0.35, 0.4, 0.5, 0.6, 0.7, 0.8]
+
+
+def score_unlabelled(
+    train: DataFrame, unlabelled: DataFrame, perms: int, thresholds: list[float] = UNLABELLED_THRESHOLDS
+) -> DataFrame:
+    """(threshold, id, sentiment): every unlabelled document at every threshold.
+
+    Signatures are made once, thresholds with equal bands share their candidates, and a
+    document without candidates at some threshold is compared with all training documents.
+    """
+    run = prepare(train, unlabelled, perms, thresholds)
+    points = [(float(t), *minhash.band_params(perms, t)) for t in thresholds]
+    shapes = len({p[1:] for p in points})
+    grid = train.sparkSession.createDataFrame(points, "threshold double, bands int, rows int")
+    chosen = by_candidates(run).select(*SHAPE, "test_id", F.col("pred").alias("_lsh"))
+    rest = by_all(run, without_candidates(run, shapes)).select("test_id", F.col("pred").alias("_all"))
+    # the grid is a handful of literal rows
+    every = run.queries.select("test_id").crossJoin(F.broadcast(grid))
     return (
-        by_lsh.unionByName(by_all)
-        .join(queries.select("test_id", "label"), "test_id")
-        .select(F.col("test_id").alias("doc_id"), "label", "pred", "route", "n_candidates")
+        every.join(chosen, [*SHAPE, "test_id"], "left").join(rest, "test_id", "left")
+        .select("threshold", F.col("test_id").alias("id"), F.coalesce("_lsh", "_all").alias("sentiment"))
     )
 
 

@@ -53,17 +53,13 @@ def collected(df):
     return {key: [t[1:] for t in sorted(v)] for key, v in out.items()}
 
 
-@pytest.fixture(params=["direct", "direct, busy terms split", "indexed", "indexed, small blocks"])
+@pytest.fixture(params=["one block", "small blocks", "small steps"])
 def route(request, monkeypatch):
-    if request.param.startswith("indexed"):
-        monkeypatch.setattr(nb, "MATCHES_PER_CORE", -1)
-    if "blocks" in request.param:
-        monkeypatch.setattr(nb, "BLOCK_ROWS", 5)
-        monkeypatch.setattr(nb, "PROBE_GROUPS", 2)
-        monkeypatch.setattr(nb, "PROBE_TERMS", 3)
-    if "split" in request.param:
-        monkeypatch.setattr(nb, "MATCHES_PER_TASK", 20)
-        monkeypatch.setattr(nb, "SLICE_SETS", 8)
+    if request.param == "small blocks":
+        monkeypatch.setattr(nb, "GROUP_BLOCK", 5)
+        monkeypatch.setattr(nb, "TEST_BLOCK", 7)
+    if request.param == "small steps":
+        monkeypatch.setattr(nb, "STEP_CELLS", 40)
     return request.param
 
 
