@@ -60,18 +60,6 @@ def parse_series(spark, sf):
     return back.withColumn("series", vectors.parse_series(F.col("series")))
 
 
-@query("append_metrics", "run string, n_rows long, share double",
-       "SELECT 'quality' AS run, count(*) AS n_rows, avg(quality) AS share FROM labels"
-       " UNION ALL SELECT 'toxic', count(*), avg(toxic) FROM labels")
-def append_metrics(spark, sf):
-    path = scratch(spark, "metrics")
-    rows = table(spark, sf, "labels")
-    for column in ("quality", "toxic"):
-        record = rows.agg(F.count("*").alias("n_rows"), F.avg(column).alias("share"))
-        files.append_metrics(record.withColumn("run", F.lit(column)), path)
-    return spark.read.parquet(path)
-
-
 @query("project_columns", "text string, label int", f"WITH {LABELLED} SELECT text, label FROM corpus")
 def project_columns(spark, sf):
     return labelled(spark, sf).select("text", "label")

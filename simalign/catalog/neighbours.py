@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from simalign.catalog import text as tx
+from simalign.catalog.corpus import scratch
 from simalign.catalog.base import (
     ADAPTIVE_K, BY_LANGUAGE, LABELLED, RANKED, UNLABELLED, WORDS, by_language, documents, folds,
     holdout, labelled, macro_f1, neighbours, query, table, unlabelled, voted,
@@ -12,10 +13,12 @@ from simalign.catalog.base import (
 from simalign.functions import tokens as tk
 from simalign.functions import vectors
 from simalign.operators import evaluate
+from simalign.operators.neighbours import rank_pairs
 from simalign.operators.split import split_fraction
 from simalign.plans import classify
 from simalign.plans.representation import representation_study
 from simalign.session import stage
+from simalign.sources import files
 
 HOLD = f"{LABELLED}, {RANKED}, {holdout(0.25)}"
 HOLD_LANG = f"{BY_LANGUAGE}, {RANKED}, {holdout(0.1)}"
@@ -135,6 +138,33 @@ def knn_classify(spark, sf):
     return classify.knn_classify(*_halves(spark, sf), [5, 9], max_features=75000)
 
 
+@query("append_metrics", "k int, n_train long, n_test long, accuracy double, macro_f1 double",
+       f"WITH {HOLD}, {neighbours(75000)}, predicted AS (SELECT k, test_label AS label, pred FROM ({many_k('5, 9')}))"
+       " SELECT a.k, (SELECT count(*) FROM train) AS n_train, (SELECT count(*) FROM test) AS n_test, round(accuracy, 6) AS accuracy,"
+       " round(macro_f1, 6) AS macro_f1 FROM (SELECT k, avg((label = pred)::INT) AS accuracy FROM predicted GROUP BY k) a"
+       f" JOIN ({macro_f1('predicted', 'k')}) f ON a.k = f.k")
+def append_metrics(spark, sf):
+    """The records of a holdout run, one per k, appended to a log; the log also has seconds."""
+    train, test = _halves(spark, sf)
+    path = scratch(spark, "metrics")
+    for record in classify.holdout_records(train, test, [5, 9], 75000):
+        files.append_metrics(record, path)
+    log = spark.read.parquet(path)
+    return log.withColumns({c: F.round(c, 6) for c in ("accuracy", "macro_f1")})
+
+
+@query("nearest_by_metric", "test_id long, train_id long, dist double, rank int",
+       f"WITH {PAIRS}, {SETS} SELECT doc_id AS test_id, doc_id + 1 AS train_id, 1 - len(list_intersect(x, y))::DOUBLE"
+       " / nullif(len(list_distinct(list_concat(x, y))), 0) AS dist, 1 AS rank FROM sets")
+def nearest_by_metric(spark, sf):
+    """Candidates ranked by a metric the caller passes as a function of two columns."""
+    x, y = tk.word_tokens(F.col("text")), tk.word_tokens(F.col("other"))
+    pairs = _pairs(spark, sf).select(
+        F.col("doc_id").alias("test_id"), (F.col("doc_id") + 1).alias("train_id"), F.array_distinct(x).alias("x"), F.array_distinct(y).alias("y")
+    )
+    return rank_pairs(pairs, vectors.distance_sets, 1)
+
+
 @query("knn_bruteforce", "doc_id long, label int, pred int",
        f"WITH {HOLD}, {neighbours()}, picked AS (SELECT * FROM near WHERE rank <= (SELECT {ADAPTIVE_K.format(n='count(*)')} FROM train))"
        f" SELECT test_id AS doc_id, test_label AS label, pred FROM ({voted('picked', 'test_id, test_label')})")
@@ -166,7 +196,8 @@ def knn_k_sweep(spark, sf):
        " (SELECT fold, k, avg((label = pred)::INT) AS accuracy FROM predicted GROUP BY fold, k) a"
        f" JOIN ({macro_f1('predicted', 'fold, k')}) f ON a.fold = f.fold AND a.k = f.k")
 def kfold_evaluate(spark, sf):
-    out = evaluate.scores(_kfold(spark, sf), "fold", "k")
+    """Scores per fold and k; the plan also measures seconds, which no oracle can repeat."""
+    out = classify.kfold_records(labelled(spark, sf), 5, [1, 3, 5, 7, 9, 15], max_features=60000)
     return out.withColumns({c: F.round(c, 6) for c in ("accuracy", "macro_f1")})
 
 

@@ -65,9 +65,9 @@ def vocab_count(spark, sf):
 
 
 @query("vocab_top_features", "term string, cf long, df long",
-       f"WITH {WORD_ROWS}, {VOCAB} SELECT term, cf, df FROM vocab ORDER BY cf DESC, term LIMIT 5000")
+       f"WITH {WORD_ROWS}, {VOCAB} SELECT term, cf, df FROM vocab ORDER BY cf DESC, term LIMIT 60000")
 def vocab_top_features(spark, sf):
-    return vocab.top_terms(vocab.term_stats(_doc_terms(spark, sf)), 5000)
+    return vocab.top_terms(vocab.term_stats(_doc_terms(spark, sf)), 60000)
 
 
 @query("dataset_shape", "n_rows long, n_terms long",

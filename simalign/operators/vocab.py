@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from simalign.operators.rank import ordered_rank
+from simalign.session import stage
 
 
 def term_rows(docs: DataFrame, tokens: Column, *keys: str) -> DataFrame:
@@ -31,12 +32,24 @@ def alphabetical_vocabulary(stats: DataFrame) -> DataFrame:
 
 
 def top_terms(stats: DataFrame, n: int) -> DataFrame:
-    """The n terms of highest corpus count, ties by term; per `fold` if there is one."""
-    if "fold" not in stats.columns:
-        return ordered_rank(stats, F.desc("cf"), "term").filter(F.col("rn") <= n).drop("rn")
-    ranked = ordered_rank(stats, "fold", F.desc("cf"), "term")
+    """The n terms of highest corpus count, ties by term; per `fold` if there is one.
+
+    How many terms have each count gives the least count that can still be among the n; only
+    terms from there on are sorted. There are few distinct counts: their sum is that of the
+    corpus.
+    """
+    by = [c for c in stats.columns if c == "fold"]
+    stats = stage(stats)
+    above = Window.partitionBy(*by).orderBy(F.desc("cf"))
+    counts = stats.groupBy(*by, "cf").agg(F.count("*").alias("_n")).withColumn("_above", F.sum("_n").over(above) - F.col("_n"))
+    least = counts.filter(F.col("_above") < n).groupBy(*by).agg(F.min("cf").alias("_least"))
+    # one row, or one per fold
+    met = stats.join(F.broadcast(least), by) if by else stats.crossJoin(F.broadcast(least))
+    near = met.filter(F.col("cf") >= F.col("_least")).drop("_least")
+    ranked = ordered_rank(near, *by, F.desc("cf"), "term")
+    if not by:
+        return ranked.filter(F.col("rn") <= n).drop("rn")
     first = ranked.groupBy("fold").agg(F.min("rn").alias("_first"))
-    # one row per fold
     kept = ranked.join(F.broadcast(first), "fold").filter(F.col("rn") - F.col("_first") < n)
     return kept.drop("rn", "_first")
 

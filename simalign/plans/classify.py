@@ -7,12 +7,13 @@ Corpora have columns (doc_id LONG, text STRING, label INT), cross-validation fra
 from __future__ import annotations
 
 import math
+import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simalign.functions.tokens import fill_text, word_tokens
-from simalign.operators import vocab
+from simalign.operators import evaluate, vocab
 from simalign.operators.neighbours import nearest
 from simalign.operators.split import assign_batches, cv_frames, kfold_assign
 from simalign.operators.vote import adaptive_k, vote, vote_many_k
@@ -96,3 +97,29 @@ def score_unlabelled(
     return batches.join(predicted, "doc_id").select(
         "batch_id", F.col("doc_id").alias("id"), F.col("pred").alias("predicted")
     )
+
+
+def holdout_records(train: DataFrame, test: DataFrame, ks: list[int], max_features: int | None = None) -> list[DataFrame]:
+    """One run record per k: k, sizes, accuracy, macro-F1 and seconds of the whole run."""
+    start = time.perf_counter()
+    predicted = stage(knn_classify(train, test, ks, max_features))
+    seconds = time.perf_counter() - start
+    n_train, n_test = train.count(), test.count()
+    return [
+        evaluate.scores(predicted.filter(F.col("k") == k)).select(
+            F.lit(k).alias("k"), F.lit(n_train).alias("n_train"), F.lit(n_test).alias("n_test"), "accuracy", "macro_f1",
+            F.lit(seconds).alias("seconds"),
+        )
+        for k in ks
+    ]
+
+
+def kfold_records(docs: DataFrame, folds: int, ks: list[int], max_features: int | None = None) -> DataFrame:
+    """(fold, k, accuracy, macro_f1, seconds): the scores of a cross-validation and what it took.
+
+    All folds run in one job, so the seconds are those of the job.
+    """
+    start = time.perf_counter()
+    predicted = stage(knn_kfold(docs, folds, ks, max_features))
+    seconds = time.perf_counter() - start
+    return evaluate.scores(predicted, "fold", "k").withColumn("seconds", F.lit(seconds))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,7 +33,8 @@ def get_session(app: str = "simalign", master: str | None = None, **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir` of the session.
 
-    Only a local master may fall back to a folder of its own machine.
+    Only a local master may fall back to a folder of its own machine, which goes when the
+    process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -39,6 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     fallback = tempfile.mkdtemp(prefix="simalign-")
+    atexit.register(shutil.rmtree, fallback, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
 

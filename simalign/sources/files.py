@@ -8,20 +8,17 @@ from pyspark.sql.types import StructType
 
 from simalign.operators.rank import ordered_rank
 
-# A table smaller than this is spread over all cores after the scan: one small file is one
-# split, and one task would then tokenise all of it. Larger tables keep their own splits.
-SMALL_BYTES = 256 << 20
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a small input (by its size on disk) over the cores of the session."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the session has cores is dealt out over all cores.
+
+    Tables of more splits stay where they are read, so their rows never move for this.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if size < SMALL_BYTES else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
