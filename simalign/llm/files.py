@@ -10,7 +10,8 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from simalign.session import shared_dir
 
@@ -47,6 +48,17 @@ def open_stream(uri: str):
     return system.open_input_stream(path, compression=None)
 
 
+def hash_sample(df: DataFrame, order: Column, rows: int) -> DataFrame:
+    """At most `rows` rows, the first in the order of a 64-bit hash column, as `_order` first.
+
+    Rows beyond about twice that share of all hashes are dropped where they lie, so what is
+    sorted and sent grows neither with the table nor with its number of partitions.
+    """
+    total = df.count()
+    edge = -(1 << 63) + int((1 << 64) * min(1.0, 2 * rows / max(1, total))) - 1
+    return df.select(order.alias("_order"), "*").filter(F.col("_order") <= F.lit(edge)).orderBy("_order").limit(rows)
+
+
 def one_file_per_task(manifest: DataFrame) -> DataFrame:
     """Manifest rows dealt out singly. Their number is that of the files."""
     return manifest.repartition(max(1, manifest.count()))

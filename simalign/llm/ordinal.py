@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from simalign.llm import words
+from simalign.llm import files, words
 
 #: Hashed weights, rated rows that the fit may use at most, its steps, and in how many of the
 #: rows a place must occur to get a weight: rarer words would only be learnt by heart.
@@ -113,8 +113,8 @@ def train(rated: DataFrame, text_col: str, grade_col: str, id_col: str, n_grades
     known = rated.filter(F.col(grade_col).between(0, n_grades - 1)).select(
         F.xxhash64(F.lit(5), F.col(id_col)).alias("o"), F.col(grade_col).cast("int").alias("grade"), F.col(text_col).alias("text")
     )
-    edge = known.select("o").orderBy("o").limit(rows).agg(F.max("o")).first()[0]
-    got = known.filter(F.col("o") <= F.lit(edge)).mapInArrow(read, "o long, grade int, places binary").orderBy("o").limit(rows).collect()
+    some = files.hash_sample(known, F.col("o"), rows).select("o", "grade", "text")
+    got = sorted(some.mapInArrow(read, "o long, grade int, places binary").collect(), key=lambda r: (r["o"], r["places"]))
     grades = np.array([r["grade"] for r in got], np.int64)
     return fit([np.frombuffer(r["places"], np.int32) for r in got], grades, n_grades)
 
