@@ -75,7 +75,26 @@ def shard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op9_odd_sketches")
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+ SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+ SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 2), ' ') AS sh
+ FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+ SELECT x, y FROM met JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)
+), edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM n UNION SELECT reach.doc_id, y FROM reach JOIN edges ON x = r),
+least AS (SELECT doc_id, min(r) AS r FROM reach GROUP BY doc_id)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(r, w.doc_id) AS component_id, coalesce(r, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+
+@query("op9_odd_sketches", OP9_SQL)
 def near_duplicate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = near_dups.near_duplicates(docs, k=3, similarity=0.85)
