@@ -107,6 +107,29 @@ def matrices(a: np.ndarray, b: np.ndarray, cost: str) -> tuple[np.ndarray, np.nd
     return total[1:, 1:], codes
 
 
+def directions(a: np.ndarray, b: np.ndarray, cost: str) -> np.ndarray:
+    """Direction codes of one pair, as in `matrices`, from two diagonals of costs.
+
+    A code is one byte, so a path of two series of 20,000 values takes 400 MB, not 3.6 GB.
+    """
+    a, b = np.asarray(a, dtype=float), np.asarray(b, dtype=float)
+    n, m = len(a), len(b)
+    codes = np.zeros((n, m), dtype=np.int8)
+    flat = codes.reshape(-1)
+    before, last = np.full(n + 1, np.inf), np.full(n + 1, np.inf)  # by i, of the two diagonals above
+    before[0] = 0.0
+    for d in range(2, n + m + 1):
+        lo, hi = max(1, d - m), min(n, d - 1)
+        i = np.arange(lo, hi + 1)
+        match, up, left = before[lo - 1 : hi], last[lo - 1 : hi], last[lo : hi + 1]
+        best = np.minimum(match, np.minimum(up, left))
+        flat[(i - 1) * m + d - i - 1] = np.where(match == best, MATCH, np.where(up == best, INSERTION, DELETION))
+        current = np.full(n + 1, np.inf)
+        current[lo : hi + 1] = local_cost(a[lo - 1 : hi], b[d - i - 1], cost) + best
+        before, last = last, current
+    return codes
+
+
 def walk_back(codes: np.ndarray) -> list[tuple[int, int]]:
     """Steps (i, j) from the last cell to (0, 0)."""
     i, j = codes.shape[0] - 1, codes.shape[1] - 1

@@ -22,6 +22,7 @@ register_pickle_by_value(warp)
 # Values of one kernel call; bounds the memory of a task.
 DISTANCE_VALUES = 1 << 20
 MATRIX_ROWS = 64
+PATH_STEPS = 20_000
 
 
 def pair_by_offset(series: DataFrame, id_col: str, value_col: str) -> DataFrame:
@@ -72,32 +73,46 @@ def dtw_cost_matrix(pairs: DataFrame, cost: str = "abs") -> DataFrame:
     return pairs.select("id", "a", "b").mapInPandas(run, "id long, i int, j int, cost double, dir int")
 
 
-def dtw_path(pairs: DataFrame, cost: str = "abs") -> DataFrame:
-    """(id, step, i, j) from the last cell (step 0) to (0, 0)."""
+def _walks(pairs: DataFrame, cost: str) -> DataFrame:
+    """(id, step, i, j, x, y) from the last cell (step 0) to (0, 0), x and y the values met.
+
+    One pair's direction codes are in memory at a time; steps of many pairs leave together.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            held, size = [], 0
             for row_id, a, b in zip(pdf["id"], pdf["a"], pdf["b"]):
                 if not warp.usable(a, b):
                     continue
-                path = warp.walk_back(warp.matrices(a, b, cost)[1])
-                yield pd.DataFrame({
-                    "id": row_id,
-                    "step": np.arange(len(path)),
-                    "i": [p[0] for p in path],
-                    "j": [p[1] for p in path],
-                })
+                path = np.array(warp.walk_back(warp.directions(a, b, cost)))
+                a, b = np.asarray(a, dtype=float), np.asarray(b, dtype=float)
+                for low in range(0, len(path), PATH_STEPS):
+                    i, j = path[low : low + PATH_STEPS].T
+                    held.append((np.full(len(i), row_id), np.arange(low, low + len(i)), i, j, a[i], b[j]))
+                    size += len(i)
+                    if size >= PATH_STEPS:
+                        yield _steps(held)
+                        held, size = [], 0
+            if held:
+                yield _steps(held)
+
+    return pairs.select("id", "a", "b").mapInPandas(run, "id long, step int, i int, j int, x double, y double")
 
-    return pairs.select("id", "a", "b").mapInPandas(run, "id long, step int, i int, j int")
+
+def _steps(held: list[tuple]) -> pd.DataFrame:
+    columns = [np.concatenate(c) for c in zip(*held)]
+    return pd.DataFrame(dict(zip(("id", "step", "i", "j", "x", "y"), columns)))
+
+
+def dtw_path(pairs: DataFrame, cost: str = "abs") -> DataFrame:
+    """(id, step, i, j) from the last cell (step 0) to (0, 0)."""
+    return _walks(pairs, cost).drop("x", "y")
 
 
-def dtw_matching(pairs: DataFrame, every: int = 1) -> DataFrame:
+def dtw_matching(pairs: DataFrame, every: int = 1, cost: str = "abs") -> DataFrame:
     """(id, step, i, j, x, y): the values matched along the path, optionally every n-th step."""
-    path = dtw_path(pairs).filter(F.col("step") % every == 0)
-    return path.join(pairs, "id").select(
-        "id", "step", "i", "j",
-        F.element_at("a", F.col("i") + 1).alias("x"), F.element_at("b", F.col("j") + 1).alias("y"),
-    )
+    return _walks(pairs, cost).filter(F.col("step") % every == 0)
 
 
 def heatmap_rows(pairs: DataFrame) -> DataFrame:

@@ -107,3 +107,16 @@ def test_l1_and_series_literals(spark):
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     parsed = [r.v for r in df.select(vectors.parse_series(F.col("s")).alias("v")).collect()]
     assert parsed == [[1.0, 2.5, -30.0], [1.0, 0.5], [1.0, 2.0], [], [1.0], None]
+
+
+def test_directions_of_two_diagonals_are_those_of_the_matrix():
+    rng = np.random.default_rng(4)
+    for n, m in [(1, 1), (1, 7), (6, 1), (5, 9), (40, 33)]:
+        a, b = rng.integers(0, 4, n).astype(float), rng.integers(0, 4, m).astype(float)
+        assert (warp.directions(a, b, "abs") == warp.matrices(a, b, "abs")[1]).all()
+
+
+def test_long_series_have_a_path():
+    a = np.sin(np.arange(4000) / 50)
+    path = warp.walk_back(warp.directions(a, a[:3500], "abs"))
+    assert path[0] == (3999, 3499) and path[-1] == (0, 0)
