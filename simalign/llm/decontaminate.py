@@ -33,7 +33,7 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(item, words): the windows of every item as word hashes, 8 bytes to a word, staged."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.pieces(batches):
             names, items, out = batch.column(0).to_pylist(), [], []
             for group in words.groups(batch.column(1), words.ALNUM, fold=True):
                 for row, low, high in group.slices():
@@ -127,7 +127,7 @@ def _shingle_counts(docs: DataFrame, text_col: str, lookup) -> dict[int, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = lookup.value
         total = np.zeros(len(table.values), np.int64)
-        for batch in batches:
+        for batch in words.pieces(batches):
             for group in words.groups(batch.column(0), words.ALNUM, fold=True):
                 owner = group.owner
                 for at, hashes in table.matches(group, owner):
@@ -204,7 +204,7 @@ def _pass(docs: DataFrame, text_col, kept, state, new, shared, first: bool, last
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
-        for batch in batches:
+        for batch in words.pieces(batches):
             n_words, hits, items = [], [], []
             for group in words.groups(batch.column(text_col), words.ALNUM, fold=True):
                 owner = group.owner

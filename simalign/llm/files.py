@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,15 +49,27 @@ def open_stream(uri: str):
     return system.open_input_stream(path, compression=None)
 
 
-def hash_sample(df: DataFrame, order: Column, rows: int) -> DataFrame:
-    """At most `rows` rows, the first in the order of a 64-bit hash column, as `_order` first.
+def hash_share(df: DataFrame, order: Column, rows: int) -> DataFrame:
+    """The rows with the smallest values of a 64-bit hash: a fifth more than `rows` of them, or all.
 
-    Rows beyond about twice that share of all hashes are dropped where they lie, so what is
-    sorted and sent grows neither with the table nor with its number of partitions.
+    Rows are dropped where they lie, so what is sorted and sent afterwards grows neither with
+    the table nor with its number of partitions.
     """
     total = df.count()
-    edge = -(1 << 63) + int((1 << 64) * min(1.0, 2 * rows / max(1, total))) - 1
-    return df.select(order.alias("_order"), "*").filter(F.col("_order") <= F.lit(edge)).orderBy("_order").limit(rows)
+    edge = -(1 << 63) + int((1 << 64) * min(1.0, 1.2 * rows / max(1, total))) - 1
+    return df.filter(order <= F.lit(edge))
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Arrow batches of few rows for the jobs run inside, as whole texts travel in them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def one_file_per_task(manifest: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from simalign.llm import words
+
 SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH, LINKS_HIGH = 0.12, 0.25, 0.4
 
@@ -242,7 +244,7 @@ def extract(pages: DataFrame, html_col: str = "html", keep: list[str] | None = N
     schema = StructType([*(pages.schema[c] for c in kept), StructField(out_col, StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.pieces(batches):
             texts = [main_text(x.as_py() or "") for x in batch.column(html_col)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, out_col]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from simalign.llm import words
+from simalign.llm import files, words
 from simalign.session import stage
 
 ROWS, MISS, SIGMAS = 5, 1e-6, 4.0
@@ -270,7 +270,7 @@ def near_duplicates(
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(bands)
         empty = np.zeros(bands, np.int64)
-        for batch in batches:
+        for batch in words.pieces(batches):
             n, h1, h2, keys, sketches = [], [], [], [], []
             last, known = None, None
             for _, found in shingle_sets(batch.column("text"), k):
@@ -295,7 +295,8 @@ def near_duplicates(
                 "sketch": pa.array(sketches, pa.binary()),
             })
 
-    heads = stage(texts.mapInArrow(describe, HEADS))
+    with files.small_batches(docs.sparkSession):
+        heads = stage(texts.mapInArrow(describe, HEADS))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")
     nodes = stage(
         heads.filter("n_shingles > 0").groupBy("h1", "h2")
@@ -338,7 +339,7 @@ def near_duplicates(
     )
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.pieces(batches):
             sets = [x.tobytes() for _, x in shingle_sets(batch.column("text"), k)]
             rows = batch.select(["node", "label", "_n_blocks", "n_shingles", "sketch"])
             yield rows.append_column("shingles", pa.array(sets, pa.binary()))

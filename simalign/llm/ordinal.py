@@ -106,15 +106,15 @@ def train(rated: DataFrame, text_col: str, grade_col: str, id_col: str, n_grades
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.pieces(batches):
             places = [x.astype(np.int32).tobytes() for x in features(batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(places, pa.binary())], ["o", "grade", "places"])
 
     known = rated.filter(F.col(grade_col).between(0, n_grades - 1)).select(
         F.xxhash64(F.lit(5), F.col(id_col)).alias("o"), F.col(grade_col).cast("int").alias("grade"), F.col(text_col).alias("text")
     )
-    some = files.hash_sample(known, F.col("o"), rows).select("o", "grade", "text")
-    got = sorted(some.mapInArrow(read, "o long, grade int, places binary").collect(), key=lambda r: (r["o"], r["places"]))
+    some = files.hash_share(known, F.col("o"), rows).mapInArrow(read, "o long, grade int, places binary")
+    got = sorted(some.orderBy("o").limit(rows).collect(), key=lambda r: (r["o"], r["places"]))
     grades = np.array([r["grade"] for r in got], np.int64)
     return fit([np.frombuffer(r["places"], np.int32) for r in got], grades, n_grades)
 
@@ -135,7 +135,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, thresholds = shared.value
-        for batch in batches:
+        for batch in words.pieces(batches):
             value = np.array([float(w[x].sum(dtype=np.float64) * damping(len(x))) for x in features(batch.column(text_col))])
             tails = [_sigmoid(value - c) for c in thresholds]
             columns = [sum(tails) if len(value) else value, *tails]

@@ -143,7 +143,7 @@ def assess(
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(name)
-        for batch in batches:
+        for batch in words.pieces(batches):
             texts = [x or "" for x in batch.column(text_col).to_pylist()]
             langs = batch.column(lang_col).to_pylist() if lang_col in read else [None] * len(texts)
             counts: dict[str, list[np.ndarray]] = {}

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from simalign.llm import files
-from simalign.llm.words import WordMemory, steps
+from simalign.llm.words import WordMemory, pieces, steps
 from simalign.session import stage
 
 SEGMENT_TOKENS = 1 << 20
@@ -174,7 +174,7 @@ class Encoder:
         self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.library.encode_special_tokens = True
         self.usual = re.compile("[\t\n\r -~¡-¬®-ɏ‐-‧‰-›€]*").fullmatch
-        self.words = WordMemory(self._encode_words, limit=600_000)
+        self.words = WordMemory(self._encode_words, limit=400_000)
         #: Ids that begin with a space, by id.
         entries = self.library.get_vocab()
         self.opens = np.zeros(max(entries.values()) + 1, bool)
@@ -272,7 +272,7 @@ def write_codes(
             ids.clear()
             held = 0
 
-        for batch in batches:
+        for batch in pieces(batches):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             doc_ids = batch.column(0).to_pylist()
             for low, high in steps(texts):
@@ -295,7 +295,8 @@ def write_codes(
                 "tokens": [tokens], "bytes": [size],
             })
 
-    return stage(ordered.mapInArrow(write, MANIFEST))
+    with files.small_batches(docs.sparkSession):
+        return stage(ordered.mapInArrow(write, MANIFEST))
 
 
 def with_starts(manifest: DataFrame) -> DataFrame:

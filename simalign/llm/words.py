@@ -217,3 +217,10 @@ def steps(texts: list[str], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
             low, size = i + 1, 0
     if low < len(texts):
         yield low, len(texts)
+
+
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches cut into slices of at most so many rows, so that little is held as Python objects."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
