@@ -117,9 +117,9 @@ def dtw_path(spark, sf):
 
 @query("dtw_matching", "id long, step int, i int, j int, x double, y double",
        f"WITH RECURSIVE {VECTORS}, {diagonals()}, {CELLS}, {PATH} SELECT w.id, step, i, j, a[i + 1] AS x, b[j + 1] AS y"
-       " FROM walk w JOIN pairs p ON p.id = w.id WHERE step % 10 = 0")
+       " FROM walk w JOIN pairs p ON p.id = w.id")
 def dtw_matching(spark, sf):
-    return dtw.dtw_matching(vector_pairs(spark, sf), every=10)
+    return dtw.dtw_matching(vector_pairs(spark, sf))
 
 
 @query("dtw_heatmap_rows", "id long, x int, y int, cost double",

@@ -38,11 +38,17 @@ TEST_BLOCK = 4096
 STEP_CELLS = 1 << 21
 
 
-def vocabulary(train: DataFrame, keep: DataFrame | None = None) -> DataFrame:
-    """(fold, term, term_id) of the training side; `keep` (fold, term) limits it."""
-    known = term_rows(train).distinct()
-    if keep is not None:
-        known = known.join(keep.select("fold", "term"), ["fold", "term"], "left_semi")
+def vocabulary(train: DataFrame, keep: DataFrame | None = None, of_train: bool = False) -> DataFrame:
+    """(fold, term, term_id) of the training side; `keep` (fold, term) limits it.
+
+    `of_train`: the training side is known to hold every term of `keep`.
+    """
+    if keep is not None and of_train:
+        known = keep.select("fold", "term")
+    else:
+        known = term_rows(train).distinct()
+        if keep is not None:
+            known = known.join(keep.select("fold", "term"), ["fold", "term"], "left_semi")
     return stage(known.withColumn("term_id", F.monotonically_increasing_id()))
 
 
@@ -132,9 +138,11 @@ def known_sizes(sets: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return sets.select("fold", "doc_id").join(sizes, ["fold", "doc_id"], "left").fillna(0, ["size"])
 
 
-def nearest(train: DataFrame, test: DataFrame, k: int, keep: DataFrame | None = None) -> DataFrame:
+def nearest(
+    train: DataFrame, test: DataFrame, k: int, keep: DataFrame | None = None, of_train: bool = False
+) -> DataFrame:
     """(fold, test_id, test_label, train_id, label, dist, rank): the k nearest per test set."""
-    terms = vocabulary(train, keep)
+    terms = vocabulary(train, keep, of_train)
     groups = stage(collapse(encode_sets(train, terms), "ids", k))
     queries = stage(encode_sets(test, terms).select("fold", F.col("doc_id").alias("test_id"), F.col("label").alias("test_label"), "ids"))
     return _top(_block_lists(groups, queries, k), ["fold", "test_id"], [F.col("dist"), F.col("train_id")], k)

@@ -41,8 +41,26 @@ def neighbour_lists(
     train: DataFrame, test: DataFrame, k: int, max_features: int | None = None
 ) -> DataFrame:
     """(fold, test_id, test_label, train_id, label, dist, rank)."""
-    keep = None if max_features is None else vocab.top_terms(_word_stats(train), max_features)
-    return nearest(stage(term_sets(train)), stage(term_sets(test)), k, keep)
+    if max_features is None:
+        return nearest(stage(term_sets(train)), stage(term_sets(test)), k)
+    keep = vocab.top_terms(_word_stats(train), max_features)
+    return nearest(stage(term_sets(train)), stage(term_sets(test)), k, keep, of_train=True)
+
+
+def _stats_without_own_fold(folded: DataFrame, folds: int) -> DataFrame:
+    """(fold, term, cf, df) over the training side of every fold: all rows less the fold's own.
+
+    Tokens are counted once, not once for each fold that trains on them.
+    """
+    own = F.struct(F.col("cf").alias("cf"), F.col("df").alias("df"))
+    every = _word_stats(folded).groupBy("term").agg(
+        F.sum("cf").alias("_cf"), F.sum("df").alias("_df"), F.map_from_entries(F.collect_list(F.struct("fold", own))).alias("_own")
+    )
+    spread = every.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+    mine = F.try_element_at("_own", F.col("fold"))
+    return spread.select(
+        "fold", "term", (F.col("_cf") - F.coalesce(mine["cf"], F.lit(0))).alias("cf"), (F.col("_df") - F.coalesce(mine["df"], F.lit(0))).alias("df")
+    ).filter("df > 0")
 
 
 def predictions(neighbours: DataFrame, *by: str) -> DataFrame:
@@ -74,12 +92,16 @@ def knn_kfold(
 
     The list of k also holds floor(sqrt(training rows of the fold)).
     """
-    train, test = cv_frames(kfold_assign(docs, folds), folds)
-    train = train.select("fold", "doc_id", "text", "label")
+    folded = kfold_assign(docs, folds)
+    sets = stage(term_sets(folded))
+    train, test = cv_frames(sets, folds)
     sizes = test.groupBy("fold").agg(F.count("*").alias("n"))
     n = docs.count()
     k_max = max(*ks, math.isqrt(n))
-    listed = neighbour_lists(train, test, k_max, max_features)
+    keep = None
+    if max_features is not None:
+        keep = vocab.top_terms(_stats_without_own_fold(folded, folds), max_features)
+    listed = nearest(train.select(*sets.columns), test, k_max, keep, of_train=True)
     roots = sizes.select("fold", F.floor(F.sqrt(n - F.col("n"))).cast("int").alias("root"))
     # one row per fold
     with_root = listed.join(F.broadcast(roots), "fold")
