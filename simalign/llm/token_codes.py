@@ -174,7 +174,7 @@ class Encoder:
         self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.library.encode_special_tokens = True
         self.usual = re.compile("[\t\n\r -~¡-¬®-ɏ‐-‧‰-›€]*").fullmatch
-        self.words = WordMemory(self._encode_words, limit=400_000)
+        self.words = WordMemory(self._encode_words, limit=800_000)
         #: Ids that begin with a space, by id.
         entries = self.library.get_vocab()
         self.opens = np.zeros(max(entries.values()) + 1, bool)
