@@ -4,23 +4,34 @@ A public vocabulary shows how well a text fits written language: characters per
 and byte fall-backs rise on debris, and the entropy of the tokens falls on repetition. A
 document is rejected outside the band of its language, or of its script where no language
 is known. Counts of words, symbols, repeated lines and repeated word windows come first.
+
+The lower edges of a band are those of the corpus: documents that pass the counts are
+grouped by band and by the octave of their number of tokens, and what lies far below the
+median of its group is rejected. Fixed limits hold beside them, alone where a band has too
+few documents to tell.
 """
 
 from __future__ import annotations
 
+import math
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from simalign.llm import words
 
 VOCABULARY = "piece_bpe_32k.model"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: (least, most) characters per token, most byte share, least entropy in bits.
+#: A modified z-score below -3.5 is the usual mark of an outlier; in median absolute deviations.
+MADS = 3.5 / 0.6745
+#: Documents that make an edge of their own, and the width of the bins in which values are counted.
+LEAST_GROUP, BIN = 100, 0.002
+#: Limits in any corpus: (least, most) characters per token, most byte share, least entropy in bits.
 BANDS = {
     "en": (1.8, 9.0, 0.05, 5.2), "de": (1.85, 9.0, 0.05, 5.2), "fr": (1.6, 9.0, 0.05, 5.2), "es": (1.65, 9.0, 0.05, 5.2),
     "latin": (1.3, 9.0, 0.15, 5.0), "greek": (0.6, 9.0, 0.7, 4.0), "cyrillic": (1.2, 9.0, 0.2, 4.5),
@@ -41,6 +52,9 @@ METRICS = (
 )
 
 
+Edges = dict[tuple[str, int], tuple[float, float]]
+
+
 class Vocabulary:
     """Token ids of words, as a worker remembers them."""
 
@@ -85,6 +99,54 @@ def fertility(ids: np.ndarray, chars: int, is_byte: np.ndarray) -> tuple[float,
     return chars / len(ids), float(is_byte[ids].mean()), float(-(p * np.log2(p)).sum())
 
 
+def least_values(edges: Edges, band: str, tokens: int) -> tuple[float, float] | None:
+    """Edges for characters per token and entropy in bits, or None.
+
+    An octave without an edge takes that of the next shorter one that has one, and its entropy
+    at its upper end: entropy rises with length, but falls relative to its greatest value.
+    """
+    for octave in range(tokens.bit_length() - 1, 0, -1):
+        if (band, octave) in edges:
+            chars, entropy = edges[band, octave]
+            return chars, entropy * min(math.log2(tokens), octave + 1)
+    return None
+
+
+def low_edge(bins: dict[int, int]) -> float:
+    """Median less `MADS` median absolute deviations, of values counted in bins."""
+    values, n = np.array(sorted(bins)), np.array([bins[b] for b in sorted(bins)])
+
+    def middle(x: np.ndarray) -> float:
+        order = np.argsort(x, kind="stable")
+        return float(x[order][np.searchsorted(np.cumsum(n[order]) * 2, n.sum())])
+
+    median = middle(values)
+    return BIN * (median + 0.5 - MADS * max(1.0, middle(np.abs(values - median))))
+
+
+def corpus_edges(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", bands: dict = BANDS, name: str = VOCABULARY) -> Edges:
+    """Least characters per token and least entropy over log2 of the tokens, by band and octave.
+
+    Groups of fewer than `LEAST_GROUP` documents have no edge. One aggregate over all
+    documents that pass the base rules; what reaches the driver are counts of bins, whose
+    number does not grow with the corpus.
+    """
+    seen = assess(docs, text_col, lang_col, [], bands, name, edges={}).filter("NOT base_failed AND chars_per_token > 0")
+    n = F.round(F.col("word_chars") / F.col("chars_per_token")).cast("long")
+    values = F.array(*(
+        F.struct(F.lit(k).alias("measure"), F.floor(value / BIN).cast("long").alias("bin"))
+        for k, value in enumerate((F.col("chars_per_token"), F.col("token_entropy") / F.log2(n)))
+    ))
+    counted = (
+        seen.filter(n > 1).select("band", (F.length(F.bin(n)) - 1).alias("octave"), F.explode(values).alias("v"))
+        .groupBy("band", "octave", "v.measure", "v.bin").count().collect()
+    )
+    groups: dict[tuple[str, int], tuple[dict, dict]] = {}
+    for r in counted:
+        groups.setdefault((r["band"], r["octave"]), ({}, {}))[r["measure"]][r["bin"]] = r["count"]
+    return {key: (low_edge(a), low_edge(b)) for key, (a, b) in groups.items() if sum(a.values()) >= LEAST_GROUP}
+
+
 def _count_repeats(owner: np.ndarray, hashes: np.ndarray, size: int) -> np.ndarray:
     """Which entries have an equal hash elsewhere in their text, and whether it is earlier."""
     with np.errstate(over="ignore"):
@@ -126,15 +188,18 @@ def base_counts(group: words.Group) -> dict[str, np.ndarray]:
 
 def assess(
     docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", keep: list[str] | None = None,
-    bands: dict = BANDS, name: str = VOCABULARY, prefix: str = "",
+    bands: dict = BANDS, name: str = VOCABULARY, prefix: str = "", edges: Edges | None = None,
 ) -> DataFrame:
     """The columns `keep` (all by default) of every row, the counts, the fertility and `kept`.
 
     New columns are those of `METRICS`, with `prefix`; earlier columns of these names give
     way. A NULL or empty text has no words, fails the base rules and has fertility 0. A NULL
     or unknown language is judged by script. Rows that repeat are judged alike; an empty
-    table gives no row. No row moves between tasks.
+    table gives no row. No row moves between tasks. `edges` are those of `docs` itself if none
+    are given, which reads it once more, when this is called; {} leaves the limits of `bands`.
     """
+    if edges is None:
+        edges = corpus_edges(docs, text_col, lang_col, bands, name)
     new = [prefix + n for n, _ in METRICS]
     kept_columns = [c for c in (docs.columns if keep is None else keep) if c not in new]
     fields = [docs.schema[c] for c in kept_columns]
@@ -160,6 +225,9 @@ def assess(
                     chars, share, entropy = found = fertility(ids, int(n["word_chars"][i]), vocab.is_byte)
                     band = langs[i] if langs[i] in bands else script(texts[i])
                     least, most, bytes_, bits = bands[band]
+                    edge = least_values(edges, band, len(ids))
+                    if edge:
+                        least, bits = max(least, edge[0]), max(bits, edge[1])
                     measured.append(found)
                     used.append(band)
                     verdicts.append(bool(not failed[i] and least <= chars <= most and share <= bytes_ and entropy >= bits))

@@ -72,3 +72,23 @@ def test_fertility_separates_prose_from_debris(spark):
     got = {r["doc_id"]: r for r in quality_rules.assess(docs).collect()}
     assert got[0]["kept"] and got[3]["kept"] and not got[1]["kept"] and not got[2]["kept"]
     assert got[3]["band"] == "latin" and got[2]["byte_share"] > 0.5
+
+
+def test_edges_of_the_corpus_reject_symbol_debris(spark):
+    """Every word with symbols behind it lies within the fixed limits, but far from its corpus."""
+    words = (
+        "time people river water house garden letter morning evening number story window children school street market bread summer winter"
+        " mother father brother sister doctor village mountain forest island morning question answer paper picture table kitchen travel"
+        " between another because through against without nothing something every again always never often before after under over"
+        " walked opened carried followed reached turned looked called found given taken written spoken quiet narrow little great early"
+    ).split()
+    draw = random.Random(8)
+    prose = [" ".join(draw.choice(words) for _ in range(draw.randrange(60, 200))) for _ in range(400)]
+    symbols = ["%%%", "***", "&&&", "$$$", "###", "|", "<<", "@@"]
+    debris = [" ".join(draw.choice(words) + draw.choice(symbols) for _ in range(180)) for _ in range(20)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(prose + debris)], "doc_id long, text string, lang string")
+    fixed = {r["doc_id"]: r["kept"] for r in quality_rules.assess(docs, edges={}).collect()}
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.assess(docs).collect()}
+    assert all(fixed[i] for i in range(400, 420)) and not any(got[i] for i in range(400, 420))
+    assert sum(fixed[i] and not got[i] for i in range(400)) <= 4
+    assert quality_rules.corpus_edges(docs.limit(50)) == {}
