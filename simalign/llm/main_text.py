@@ -2,10 +2,12 @@
 
 The first pass cuts a page into blocks at block-level tags and labels each block by its
 length, the share of its text in links and its density of stop words: running text is good,
-link lists and the like are bad, and what is too short or too odd to tell stays open. What
-markup says plainly (menus, footers, adverts, forms, comments) is bad whatever it reads
-like. The second pass gives an open block the label of the nearest decided blocks, those of
-the same container first, so headings and one-line paragraphs follow their neighbours.
+link lists and text without function words are bad, and what is too short to tell stays
+open. What markup says plainly (menus, footers, forms) is bad whatever it reads like, and so
+is an element with a name of boilerplate. The second
+pass gives an open block the label of the nearest decided blocks of the same container, so
+headings and one-line paragraphs follow their neighbours. Good text outside of article and
+main goes only if these hold most of the good text.
 """
 
 from __future__ import annotations
@@ -48,10 +50,10 @@ _BLOCKS = {
 }
 # Parts of class and id names that mark what is not the article.
 _BAD_NAMES = re.compile(
-    r"(?:^|(?<=[\s_-]))(ads?|advert(?:s|isement|ising)?|banner|breadcrumbs?|comments?|comment-?list|disqus|cookies?|consent|copyright|footer|"
+    r"ads?|advert(?:s|isement|ising)?|banner|breadcrumbs?|comments?|comment-?list|disqus|cookies?|consent|copyright|footer|"
     r"header|masthead|menu|nav(?:bar|igation)?|newsletter|notice|alert|pagination|pager|popup|modal|promo(?:tion)?|related|replies|reply|respond|"
     r"share|sharing|sidebar|side-?bar|social|sponsor(?:ed)?|subscribe|subscription|toolbar|widget|login|signup|search|skip|tags?|gdpr|privacy|"
-    r"feedback|discussion|responses?|recommend(?:ed|ations?)?|trending|teaser|outbrain|taboola)(?=$|[\s_-])",
+    r"feedback|discussion|responses?|recommend(?:ed|ations?)?|trending|teaser|outbrain|taboola",
     re.I,
 )
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -71,34 +73,41 @@ class Piece:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     bad: bool = False
+    named: tuple[int, ...] = ()  # numbers of the elements around it with a name of boilerplate
     inside: int = 0  # number of the innermost article or main, 0 for none
     heading: bool = False
     text: str = ""
 
 
-def _excluded(tag: str, raw: str, within_good: bool) -> bool:
+def _bad_names(value: str) -> set[str]:
+    """Names of boilerplate among the parts of a class or id."""
+    return {x for x in re.split(r"[\s_-]+", _CAMEL.sub("-", value).lower()) if _BAD_NAMES.fullmatch(x)}
+
+
+def _excluded(tag: str, raw: str, within_good: bool) -> tuple[bool, bool]:
+    """Whether markup, and whether a name, says that an element is not main text."""
     if tag in _BAD_TAGS or tag == "header" and not within_good:
-        return True
+        return True, False
+    named = False
     if "=" not in raw and "hidden" not in raw:
-        return False
+        return False, False
     for m in _ATTRIBUTE.finditer(raw):
         name, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
         if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
-            found = {x.group(1).lower() for x in _BAD_NAMES.finditer(_CAMEL.sub("-", value))}
-            if found - (_TITLE_NAMES if within_good else set()):
-                return True
+            named |= bool(_bad_names(value) - (_TITLE_NAMES if within_good else set()))
         if name == "role" and value.lower() in _BAD_ROLES or name == "hidden":
-            return True
+            return True, False
         if name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
-            return True
-    return False
+            return True, False
+    return False, named
 
 
 def blocks(page: str) -> list[Piece]:
     """Blocks with text, in page order. Markup may be broken: open tags end with the page."""
     out, current = [], Piece()
-    stack: list[tuple[str, bool, bool]] = []  # open elements: tag, excluded, article or main
+    stack: list[tuple[str, bool, bool, bool]] = []  # open elements: tag, excluded, article or main, named
     bad = links = 0
+    names: list[int] = []
     goods: list[int] = []
     made = at = 0
     skip = None  # an invisible element whose end is awaited
@@ -109,12 +118,12 @@ def blocks(page: str) -> list[Piece]:
             current.text = " ".join(html.unescape("".join(current.parts)).split())
             if current.text:
                 out.append(current)
-        current = Piece(bad=bad > 0, inside=goods[-1] if goods else 0, heading=bool(stack) and stack[-1][0] in ("h1", "h2", "h3", "h4", "h5", "h6"))
+        current = Piece(bad=bad > 0, named=tuple(names), inside=goods[-1] if goods else 0, heading=bool(stack) and stack[-1][0] in ("h1", "h2", "h3", "h4", "h5", "h6"))
 
     def write(text: str):
         if text:
             if not current.parts:
-                current.bad, current.inside = bad > 0, goods[-1] if goods else 0
+                current.bad, current.named, current.inside = bad > 0, tuple(names), goods[-1] if goods else 0
             current.parts.append(text)
             if links:
                 current.linked += len(text.strip())
@@ -149,11 +158,13 @@ def blocks(page: str) -> list[Piece]:
         if closing:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    for name, was_bad, was_good in stack[k:]:
+                    for name, was_bad, was_good, was_named in stack[k:]:
                         bad -= was_bad
                         links -= name == "a"
                         if was_good:
                             goods.pop()
+                        if was_named:
+                            names.pop()
                     del stack[k:]
                     break
         elif tag not in _VOID and not raw.endswith("/>"):
@@ -161,22 +172,27 @@ def blocks(page: str) -> list[Piece]:
                 for k in range(len(stack) - 1, -1, -1):
                     name = stack[k][0]
                     if name == tag:
-                        for name, was_bad, was_good in stack[k:]:
+                        for name, was_bad, was_good, was_named in stack[k:]:
                             bad -= was_bad
                             links -= name == "a"
                             if was_good:
                                 goods.pop()
+                            if was_named:
+                                names.pop()
                         del stack[k:]
                         break
                     if name in _BLOCKS and name != "p":
                         break
-            is_bad, is_good = _excluded(tag, raw, bool(goods)), tag in _GOOD_TAGS
-            stack.append((tag, is_bad, is_good))
+            (is_bad, is_named), is_good = _excluded(tag, raw, bool(goods)), tag in _GOOD_TAGS
+            stack.append((tag, is_bad, is_good, is_named))
             bad += is_bad
             links += tag == "a"
-            if is_good:
+            if is_good or is_named:
                 made += 1
-                goods.append(made)
+                if is_good:
+                    goods.append(made)
+                if is_named:
+                    names.append(made)
         if tag in _BLOCKS:
             close()
     close()
@@ -196,14 +212,26 @@ def label(block: Piece, stop_words=STOP_WORDS) -> bool | None:
         return None
     if density >= STOP_HIGH or density >= STOP_LOW and len(text) >= LONG:
         return True
-    # long text without function words is no menu if it has hardly a link: it stays open
-    return None
+    # bad if so few stop words are no chance of a text at the lower density; fewer words cannot tell
+    spread = 2 * (len(found) * STOP_LOW * (1 - STOP_LOW)) ** 0.5
+    return False if (STOP_LOW - density) * len(found) > spread else None
 
 
 def main_text(page: str, stop_words=STOP_WORDS) -> str:
     """The good blocks of a page, joined by one space."""
     found = blocks(page)
     labels = [label(b, stop_words) for b in found]
+    for i, block in enumerate(found):
+        if block.named:
+            block.bad, labels[i] = True, False
+    good_size = [0, 0]  # outside and inside of articles
+    for block, good in zip(found, labels, strict=True):
+        if good:
+            good_size[block.inside > 0] += len(block.text)
+    if not any(good_size):
+        # no text of a known language: nothing tells a text without function words from another
+        labels = [None if x is False and not b.bad and b.linked <= LINKS_HIGH * len(b.text) else x for x, b in zip(labels, found, strict=True)]
+    articles = any(b.inside and not b.bad for b in found) and good_size[1] >= good_size[0]
     n = len(found)
     before, after = [None] * n, [None] * n  # nearest decided block of the same container
     for order, out in ((range(n), before), (range(n - 1, -1, -1), after)):
@@ -212,22 +240,14 @@ def main_text(page: str, stop_words=STOP_WORDS) -> str:
             out[i] = last.get(found[i].inside)
             if labels[i] is not None and not (found[i].bad and found[i].inside):
                 last[found[i].inside] = i
-    articles = any(b.inside and not b.bad for b in found)
     kept = []
     for i, block in enumerate(found):
         good = labels[i]
         if good is None:
             near = [(abs(i - j), not labels[j]) for j in (before[i], after[i]) if j is not None]
-            if near:
-                good = not min(near)[1]  # of equally near neighbours a good one counts
-            else:
-                good = bool(block.inside) or not articles
-            if not good and block.inside:
-                # inside an article only links or markup make a block bad
-                good = True
-        elif good and articles and not block.inside:
-            good = False
-        if good:
+            # of equally near neighbours a good one counts
+            good = not min(near)[1] if near else bool(block.inside) or not articles
+        if good and (block.inside or not articles):
             kept.append(block.text)
     return " ".join(kept)
 

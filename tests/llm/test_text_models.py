@@ -26,6 +26,29 @@ def test_main_text(number):
     assert main_text.main_text(page or "") == want
 
 
+CARD = "<article class='card'><h3>Other</h3><p><a href=o>One more of the stories that can be read here as well by all of you</a></p></article>"
+CODES = ("Zx41 kq77 lorp vexit 9931 qorlan mitra suvel prond karvit zelot brunda fexil tormak vindel " * 3).strip()
+
+
+def test_decoy_article_does_not_take_the_page():
+    story = " ".join([GOOD] * 6)
+    page = f"<body><div class='content'>{''.join(f'<p>{GOOD}</p>' for _ in range(6))}</div>{CARD}</body>"
+    assert main_text.main_text(page) == story
+    short = f"<body><div class='content'>{''.join(f'<p>{GOOD}</p>' for _ in range(6))}</div><article class='card'><p>{GOOD}</p></article></body>"
+    assert main_text.main_text(short) == f"{story} {GOOD}"
+    assert main_text.main_text(f"<body><p>{GOOD}</p><article>{f'<p>{GOOD}</p>' * 6}</article></body>") == story
+
+
+def test_densities_decide_inside_an_article():
+    page = f"<article><p>{GOOD}</p><p>{GOOD}</p><p>{CODES}</p><p>Tiny</p><p>{CODES}</p></article>"
+    assert main_text.main_text(page) == f"{GOOD} {GOOD}"
+    assert main_text.main_text(f"<p>{CODES}</p>") == CODES
+
+
+def test_more_comments_than_article():
+    assert main_text.main_text(f"<article><p>{GOOD}</p></article><div class='comments-area'>{f'<p>{GOOD}</p>' * 5}</div>") == GOOD
+
+
 def test_pages_keep_their_columns(spark):
     rows = [(i, "u", p, "old") for i, (p, _) in enumerate(PAGES)] * 2 + [(None, None, f"<p>{GOOD}</p>" * 5000, "old")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
