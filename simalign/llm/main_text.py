@@ -4,7 +4,7 @@ The first pass cuts a page into blocks at block-level tags and labels each block
 length, the share of its text in links and its density of stop words: running text is good,
 link lists and text without function words are bad, and what is too short to tell stays
 open. What markup says plainly (menus, footers, forms) is bad whatever it reads like, and so
-is an element with a name of boilerplate. The second
+is an element with a name of boilerplate, unless it wraps most of the good text. The second
 pass gives an open block the label of the nearest decided blocks of the same container, so
 headings and one-line paragraphs follow their neighbours. Good text outside of article and
 main goes only if these hold most of the good text.
@@ -48,7 +48,7 @@ _BLOCKS = {
     "figure", "figcaption", "address", "hr", "br", "body", "html", "details", "summary", "option", "select", "textarea", "button", "menu",
     "dialog", "legend", "center",
 }
-# Parts of class and id names that mark what is not the article.
+# Class and id names that mark what is not the article, and words that only shape them.
 _BAD_NAMES = re.compile(
     r"ads?|advert(?:s|isement|ising)?|banner|breadcrumbs?|comments?|comment-?list|disqus|cookies?|consent|copyright|footer|"
     r"header|masthead|menu|nav(?:bar|igation)?|newsletter|notice|alert|pagination|pager|popup|modal|promo(?:tion)?|related|replies|reply|respond|"
@@ -56,6 +56,7 @@ _BAD_NAMES = re.compile(
     r"feedback|discussion|responses?|recommend(?:ed|ations?)?|trending|teaser|outbrain|taboola",
     re.I,
 )
+_SHAPES = frozenset("area bar block box buttons container form items links list section site top bottom main wrap wrapper".split())
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: Inside an article these name the part with its title.
 _TITLE_NAMES = {"header", "masthead"}
@@ -80,8 +81,14 @@ class Piece:
 
 
 def _bad_names(value: str) -> set[str]:
-    """Names of boilerplate among the parts of a class or id."""
-    return {x for x in re.split(r"[\s_-]+", _CAMEL.sub("-", value).lower()) if _BAD_NAMES.fullmatch(x)}
+    """Names of boilerplate among the tokens of a class or id; a token counts as a whole."""
+    found = set()
+    for token in value.split():
+        parts = [x for x in re.split(r"[-_]+", _CAMEL.sub("-", token).lower()) if x]
+        bad = {x for x in parts if _BAD_NAMES.fullmatch(x)}
+        if _BAD_NAMES.fullmatch(token) or bad and parts[0] != "tag" and all(x in bad or x in _SHAPES for x in parts):
+            found |= bad or {token.lower()}
+    return found
 
 
 def _excluded(tag: str, raw: str, within_good: bool) -> tuple[bool, bool]:
@@ -217,12 +224,28 @@ def label(block: Piece, stop_words=STOP_WORDS) -> bool | None:
     return False if (STOP_LOW - density) * len(found) > spread else None
 
 
+def _wrappers(found: list[Piece], good: list[bool]) -> set[int]:
+    """Named elements around most of the page's good text.
+
+    They hold more than one good block, and no good text outside of them is in an article.
+    """
+    size = [len(b.text) if g else 0 for b, g in zip(found, good, strict=True)]
+    total, out = sum(size), set()
+    for name in {x for b, g in zip(found, good, strict=True) if g for x in b.named}:
+        held = [n for b, n in zip(found, size, strict=True) if n and name in b.named]
+        rival = any(n and b.inside and name not in b.named for b, n in zip(found, size, strict=True))
+        if len(held) > 1 and 2 * sum(held) > total and not rival:
+            out.add(name)
+    return out
+
+
 def main_text(page: str, stop_words=STOP_WORDS) -> str:
     """The good blocks of a page, joined by one space."""
     found = blocks(page)
     labels = [label(b, stop_words) for b in found]
+    wrappers = _wrappers(found, [x is True for x in labels])
     for i, block in enumerate(found):
-        if block.named:
+        if not set(block.named) <= wrappers:
             block.bad, labels[i] = True, False
     good_size = [0, 0]  # outside and inside of articles
     for block, good in zip(found, labels, strict=True):

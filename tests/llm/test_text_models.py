@@ -28,6 +28,10 @@ def test_main_text(number):
 
 CARD = "<article class='card'><h3>Other</h3><p><a href=o>One more of the stories that can be read here as well by all of you</a></p></article>"
 CODES = ("Zx41 kq77 lorp vexit 9931 qorlan mitra suvel prond karvit zelot brunda fexil tormak vindel " * 3).strip()
+WRAPPERS = [
+    "class='has-sidebar content'", "class='right-sidebar main-content'", "class='no-sidebar'", "class='hentry post tag-python'", "class='article-share-wrapper'",
+    "id='search-results-page'", "class='widget'",
+]
 
 
 def test_decoy_article_does_not_take_the_page():
@@ -45,6 +49,12 @@ def test_densities_decide_inside_an_article():
     assert main_text.main_text(f"<p>{CODES}</p>") == CODES
 
 
+@pytest.mark.parametrize("attribute", WRAPPERS)
+def test_names_of_wrappers_keep_the_page(attribute):
+    page = f"<body><div {attribute}><p>{GOOD}</p><p>{GOOD}</p></div><div class='ad-box'><p>{GOOD}</p></div></body>"
+    assert main_text.main_text(page) == f"{GOOD} {GOOD}"
+
+
 def test_more_comments_than_article():
     assert main_text.main_text(f"<article><p>{GOOD}</p></article><div class='comments-area'>{f'<p>{GOOD}</p>' * 5}</div>") == GOOD
 
