@@ -49,6 +49,19 @@ def open_stream(uri: str):
     return system.open_input_stream(path, compression=None)
 
 
+def stage_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """(`df` written to the shared folder and read back, where it lies)."""
+    path = new_folder(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(folder: str) -> None:
+    """Remove a folder of `new_folder` that nothing reads any more."""
+    system, path = file_system(folder)
+    system.delete_dir(path)
+
+
 def hash_share(df: DataFrame, order: Column, rows: int) -> DataFrame:
     """The rows with the smallest values of a 64-bit hash: a fifth more than `rows` of them, or all.
 

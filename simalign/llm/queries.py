@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simalign.llm import decontaminate, files, main_text, mixing, near_dups, ordinal, pii, quality_rules, shards, token_codes, warc
+from simalign.llm import (
+    decontaminate, files, main_text, merkle, mixing, near_dups, ordinal, pii, quality_rules, shards, token_codes, url_rules,
+    vector_codes, warc,
+)
 from simalign.session import stage
 from simalign.sources.files import read_table
 
@@ -176,3 +179,161 @@ def ordinal_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = ordinal.train(rated, "text", "grade", "doc_id", n_grades=3)
     scored = ordinal.score(docs, model, keep=["doc_id"])
     return scored.withColumn("kept", F.col("p_at_least_1") >= KEEP_CHANCE)
+
+
+def _lloyd_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every round as three tables: nearest entries, components by entry, moved entries."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(
+            f"a{r} AS MATERIALIZED (SELECT vec_id, label, p, v, min({{'d': d, 'e': e}}) AS m FROM (SELECT vec_id, label, p, v, e,"
+            f" CAST(list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS BIGINT) AS d"
+            f" FROM parts JOIN b{r} USING (p)) GROUP BY vec_id, label, p, v)"
+        )
+        if r == rounds:
+            break
+        steps.append(
+            f"s{r} AS MATERIALIZED (SELECT p, e, i, sum(x) AS s, count(*) AS n FROM (SELECT p, m.e AS e, unnest(v) AS x,"
+            f" unnest(range(1, len(v) + 1)) AS i FROM a{r}) GROUP BY ALL)"
+        )
+        steps.append(
+            f"b{r + 1} AS MATERIALIZED (SELECT b{r}.p, b{r}.e, coalesce(mean, c) AS c FROM b{r} LEFT JOIN (SELECT p, e,"
+            f" list(CAST((s - ((s % n + n) % n)) // n AS BIGINT) ORDER BY i) AS mean FROM s{r} GROUP BY p, e) x ON x.p = b{r}.p AND x.e = b{r}.e)"
+        )
+    return (
+        "WITH whole AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT)) AS v"
+        " FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),"
+        f" parts AS MATERIALIZED (SELECT vec_id, label, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS v FROM whole, range({parts}) t(p)),"
+        f" seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM whole ORDER BY vec_id LIMIT {entries}),"
+        " b0 AS MATERIALIZED (SELECT p, e, v AS c FROM parts JOIN seeds USING (vec_id)), "
+        + ", ".join(steps)
+        + f", coded AS (SELECT vec_id, label, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error"
+        f" FROM a{rounds} GROUP BY vec_id, label),"
+        f" books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})"
+        " SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, books"
+    )
+
+
+@query("op11_active_lloyd", _lloyd_sql())
+def vector_code_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.encode(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    digest = F.lit(books.digest() if books else None).cast("string").alias("codebooks_sha256")
+    summed = vector_codes.add_total(coded, "label", "error", "label_error")
+    return summed.select("vec_id", "code", "error", "label_error", digest)
+
+
+# The rules of the query.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+OP12_SQL = (
+    "WITH rules(h, p, v) AS (VALUES " + ", ".join(map(str, URL_RULES)) + r"""),
+parts AS (
+ SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+ FROM (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)
+), ranked AS (
+ SELECT page_id, host, path, h || p AS rule, v, row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC NULLS LAST) AS r
+ FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM ranked WHERE r = 1
+"""
+)
+
+
+@query("op12_url_rules", OP12_SQL)
+def url_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.apply_rules(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
+DOCUMENT_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _merkle_sql(levels: int = 6, group_levels: int = 2, fanout: int = 8) -> str:
+    """Trees level by level, for groups of up to fanout ** levels rows and fanout ** group_levels groups.
+
+    `n` tables hold (tree, i, h) of a level; a tree that is down to one node stays as it is.
+    """
+    def up(name: str, below: str, tree: str) -> str:
+        return (
+            f"{name} AS MATERIALIZED (SELECT {tree} AS t, i // {fanout} AS i, CASE WHEN any_value(w) = 1 THEN any_value(h)"
+            f" ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM (SELECT *, count(*) OVER (PARTITION BY {tree}) AS w FROM {below}) GROUP BY {tree}, i // {fanout})"
+        )
+
+    def others(below: str, tree: str, place: str, alias: str) -> str:
+        return (
+            f"(SELECT coalesce(string_agg(x.h, '' ORDER BY x.i), '') FROM {below} x WHERE x.t = {tree} AND x.i // {fanout} = {place} // {fanout} AND x.i <> {place})"
+            f" AS {alias}"
+        )
+
+    def fold(node: str, below: str, tree: str, place: str) -> str:
+        return (
+            f"(SELECT CASE WHEN (SELECT count(*) FROM {below} y WHERE y.t = {tree}) = 1 THEN {node} ELSE"
+            f" sha256(string_agg(CASE WHEN x.i = {place} THEN {node} ELSE x.h END, '' ORDER BY x.i)) END"
+            f" FROM {below} x WHERE x.t = {tree} AND x.i // {fanout} = {place} // {fanout})"
+        )
+
+    def value(c: str) -> str:
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join([*[value(f"d.{c}") for c in DOCUMENT_COLUMNS[:-1]], value(text)]) + ")"
+
+    # crc32: a byte at a time, each of its 8 shifts by the polynomial 0xEDB88320
+    shift = "list_reduce(list_concat([xor(c, ascii(rest)::BIGINT)], range(8)), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)"
+    lower = "translate(d.text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [
+        "trees AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS t FROM (SELECT DISTINCT lang FROM documents))",
+        "digits AS (SELECT doc_id, 4294967295::BIGINT AS c, CAST(doc_id AS VARCHAR) AS rest FROM documents)",
+        "crcs AS (SELECT doc_id, xor(c, 4294967295) AS crc FROM walk WHERE rest = '')",
+        f"rows_ AS MATERIALIZED (SELECT d.doc_id, t, row_number() OVER (PARTITION BY t ORDER BY d.doc_id) - 1 AS i, {leaf('d.text')} AS h,"
+        f" CASE WHEN crc % 3 = 0 THEN {leaf(lower)} ELSE {leaf('d.text')} END AS other"
+        " FROM documents d JOIN trees ON d.lang IS NOT DISTINCT FROM trees.lang LEFT JOIN crcs ON crcs.doc_id = d.doc_id)",
+        "n0 AS MATERIALIZED (SELECT t, i, h FROM rows_)",
+    ]
+    walk = (
+        f"walk AS (SELECT * FROM digits UNION ALL SELECT doc_id, {shift}, rest[2:] FROM walk WHERE rest <> '')"
+    )
+    steps.insert(2, walk)
+    for level in range(levels):
+        steps.append(up(f"n{level + 1}", f"n{level}", "t"))
+    steps.append(f"g0 AS MATERIALIZED (SELECT 0 AS t, t AS i, h FROM n{levels})")
+    for level in range(group_levels):
+        steps.append(up(f"g{level + 1}", f"g{level}", "t"))
+    proof, last = [], "rows_"
+    stages = [(f"n{k}", "t", "i", fanout**k) for k in range(levels)] + [(f"g{k}", "0", "t", fanout**k) for k in range(group_levels)]
+    for number, (below, tree, place, span) in enumerate(stages):
+        tree, place = (tree if tree == "0" else f"l.{tree}"), f"(l.{place} // {span})"
+        steps.append(
+            f"f{number} AS MATERIALIZED (SELECT l.* EXCLUDE (other), {fold('l.other', below, tree, place)} AS other, {others(below, tree, place, f'o{number}')} FROM {last} l)"
+        )
+        proof.append(f"o{number}")
+        last = f"f{number}"
+    return (
+        "WITH RECURSIVE " + ", ".join(steps)
+        + f" SELECT l.doc_id, l.h AS leaf, s.h AS subroot, r.h AS root, sha256({' || '.join(proof)}) AS proof_sha256, other AS folded_root,"
+        f" other = r.h AS verified FROM {last} l JOIN n{levels} s ON s.t = l.t, g{group_levels} r"
+    )
+
+
+@query("op13_merkle_butterfly", _merkle_sql())
+def manifest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*DOCUMENT_COLUMNS)
+    tampered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0) & F.col("text").isNotNull()
+    lowered = F.translate("text", url_rules.UPPER, url_rules.LOWER)
+    first = [F.col(c) for c in DOCUMENT_COLUMNS[:-1]]
+    leaves = docs.select(
+        "doc_id", "lang", merkle.leaf_hash(*first, F.col("text")).alias("leaf"),
+        F.when(tampered, merkle.leaf_hash(*first, lowered)).alias("_other"),
+    )
+    listed = merkle.manifest(leaves, "leaf", "lang", "doc_id")
+    found = listed.withColumn("folded_root", merkle.folded(F.coalesce("_other", "leaf"), F.col("proof")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
