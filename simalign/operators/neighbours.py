@@ -1,23 +1,27 @@
 """Exact k nearest training documents under Jaccard distance, block by block.
 
 Input "sets" have columns (fold INT, doc_id LONG, label INT, terms ARRAY<STRING>), terms
-distinct. A test set is compared with the training sets of its own fold only. Test terms
-no training set of the fold holds are dropped before the distance, as a vectoriser fitted
-on the training side would drop them.
+distinct. `nearest` compares a test set with the training sets of its own fold number;
+`nearest_elsewhere` searches one table in itself, each set among those of all other folds.
+Test terms the training side does not hold are dropped before the distance, as a vectoriser
+fitted on the training side would drop them.
 
 There is one way, at every size:
 
-1.  Terms get whole-number ids. Equal training sets collapse into one group that remembers
-    its k smallest members; the rest can never be in a top k.
-2.  Groups and test sets are cut into blocks by hash, and each test block meets each group
-    block of its fold in one task of bounded size. The task indexes the terms of its groups
-    and counts shared terms through the posting lists, so its work is the number of shared
-    (test, group, term) triples. It returns the k nearest members per test set: no pair of
-    documents is ever shuffled, and no term, however frequent, is a key of a shuffle here.
+1.  Terms get whole-number ids, sets list them most frequent first. Equal training sets collapse into one
+    group that remembers its k smallest members (of each fold); the rest can never be in a top k.
+2.  Groups are ordered by their leading terms and size and cut into blocks. A test set first meets
+    the block it would itself lie in, which gives it a k-th best distance, then all others whose
+    sizes can still improve on it. Sets of a block meet in one task of bounded size, which
+    leaves out what cannot come below the bound (see `functions/setsearch.py`). It returns the k
+    nearest members per test set: no pair of documents is ever shuffled, and no term,
+    however frequent, is a key of a shuffle here.
 3.  The k best of all blocks are ranked by (distance, train_id).
 
 Pairs without a shared term take part at distance 1 (two empty sets at 0), so every test
-set gets k neighbours if its fold has them.
+set gets k neighbours if its fold has them. A search among other folds is one search: a training
+document is there once, with the folds it must not serve, and a term once, with the folds whose
+training side knows it.
 """
 
 from __future__ import annotations
@@ -29,63 +33,108 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from simalign.functions import setsearch
+from simalign.operators.rank import ordered_rank
 from simalign.session import stage
 
 # Training groups and test sets of one task. They bound its memory, never the result.
-GROUP_BLOCK = 8192
+GROUP_BLOCK = 4096
 TEST_BLOCK = 4096
-# Cells of a task's table of counts, and shared terms looked up, in one step.
-STEP_CELLS = 1 << 21
+# Test sets that are worth a task of their own where cores would be idle.
+LEAST_TESTS = 256
+
+
+def term_rows(sets: DataFrame, *keys: str) -> DataFrame:
+    """(fold, keys, term), one row per element of a set."""
+    # outer: an inner explode would evaluate the terms a second time to filter empty sets
+    rows = sets.select("fold", *keys, F.explode_outer("terms").alias("term"))
+    return rows.filter(F.col("term").isNotNull())
+
+
+def _numbered(terms: DataFrame) -> DataFrame:
+    return stage(terms.withColumn("term_id", F.monotonically_increasing_id()))
 
 
 def vocabulary(train: DataFrame, keep: DataFrame | None = None, of_train: bool = False) -> DataFrame:
-    """(fold, term, term_id) of the training side; `keep` (fold, term) limits it.
+    """(fold, term, df, mask, term_id) of the training side; `keep` (fold, term) limits it.
 
-    `of_train`: the training side is known to hold every term of `keep`.
+    `of_train`: `keep` holds terms of the training side only, with their df.
     """
     if keep is not None and of_train:
-        known = keep.select("fold", "term")
+        known = keep.select("fold", "term", "df")
     else:
-        known = term_rows(train).distinct()
+        known = term_rows(train).groupBy("fold", "term").agg(F.count("*").alias("df"))
         if keep is not None:
             known = known.join(keep.select("fold", "term"), ["fold", "term"], "left_semi")
-    return stage(known.withColumn("term_id", F.monotonically_increasing_id()))
+    return _numbered(known.withColumn("mask", F.lit(1).cast("long")))
+
+
+def vocabulary_elsewhere(sets: DataFrame, folds: int, keep: DataFrame | None = None) -> DataFrame:
+    """The same for a search among other folds, all in fold 0: bit f of `mask` says that the
+    sets outside of fold f know the term. `keep` (fold, term, df) names those terms itself."""
+    if keep is not None:
+        known = keep.groupBy("term").agg(F.max("df").alias("df"), F.bit_or(F.expr("shiftleft(1L, fold)")).alias("mask"))
+    else:
+        counts = term_rows(sets).groupBy("term").agg(
+            F.count("*").alias("df"), F.min("fold").alias("_lo"), F.max("fold").alias("_hi")
+        )
+        every = (1 << folds) - 1
+        single = F.expr(f"shiftleft(1L, _lo) ^ {every}L")  # what one fold alone holds is unknown to its training side
+        known = counts.withColumn("mask", F.when(F.col("_lo") < F.col("_hi"), F.lit(every).cast("long")).otherwise(single))
+    return _numbered(known.filter("mask <> 0").select(F.lit(0).alias("fold"), "term", "df", "mask"))
 
 
-def encode_sets(sets: DataFrame, terms: DataFrame) -> DataFrame:
-    """Sets as `ids`, a sorted array of term ids; terms outside the vocabulary are dropped.
+def encode_sets(sets: DataFrame, terms: DataFrame, *also: str, folds: int = 0) -> DataFrame:
+    """(fold, own, doc_id, label, ids, asked, sizes, also): sets as arrays of term ids, most frequent first.
 
-    An empty set keeps its row through a place-holder no vocabulary holds; it differs by
-    document, so that many empty documents do not meet in one task.
+    `asked` is what the set looks for and `sizes` the number of its terms for every fold that
+    may ask for it: with `folds`, terms count for a fold only by their mask. Terms outside the
+    vocabulary are dropped. An empty set keeps its row through a place-holder no vocabulary holds; it
+    differs by document, so that many empty documents do not meet in one task.
     """
     holder = F.array(F.concat(F.lit(" "), F.col("doc_id").cast("string")))
     content = F.when(F.size("terms") > 0, F.col("terms")).otherwise(holder)
-    return (
-        sets.select("fold", "doc_id", "label", F.explode_outer(content).alias("term"))
-        .join(terms, ["fold", "term"], "left")
-        .groupBy("fold", "doc_id", "label")
-        .agg(F.sort_array(F.collect_list("term_id")).alias("ids"))  # collect_list passes over NULL
+    space, own = (F.lit(0), F.col("fold")) if folds else (F.col("fold"), F.lit(-1))
+    rows = sets.select(space.alias("fold"), own.alias("own"), "doc_id", "label", *also, F.explode_outer(content).alias("term"))
+    entry = F.when(F.col("term_id").isNotNull(), F.struct((-F.col("df")).alias("d"), "term_id", "mask"))
+    gathered = (
+        rows.join(terms, ["fold", "term"], "left").groupBy("fold", "own", "doc_id", "label")
+        .agg(F.sort_array(F.collect_list(entry)).alias("_t"), *[F.any_value(c).alias(c) for c in also])
     )
 
+    def known_to(bit: Column) -> Column:
+        return F.filter("_t", lambda x: F.getbit(x["mask"], bit) == 1)
 
-def collapse(sets: DataFrame, content: str, k: int, *also: str) -> DataFrame:
-    """One row per distinct set: (fold, content, also, gid, members, n), gid the smallest member.
+    if folds:
+        asked = F.transform(known_to(F.col("own")), lambda x: x["term_id"])
+        sizes = F.array(*[F.size(known_to(F.lit(f))) for f in range(folds)])
+    else:
+        asked, sizes = F.col("ids"), F.array(F.size("ids"))
+    listed = gathered.withColumn("ids", F.transform("_t", lambda x: x["term_id"]))
+    return listed.select("fold", "own", "doc_id", "label", "ids", asked.alias("asked"), sizes.alias("sizes"), *also)
+
+
+def collapse(encoded: DataFrame, k: int, *also: str) -> DataFrame:
+    """One row per distinct (set, also): (fold, gid, ids, sizes, also, members, n), gid the smallest member.
 
-    `members` holds the k smallest documents as (train_id, label), `n` counts all of them.
-    Rows are grouped by a 128-bit digest of the set, which alone is compared and sorted. The
-    rank filter keeps k rows per set before the shuffle, however many copies there are.
+    `members` holds the k smallest documents of every fold as (train_id, label, own), `n` counts
+    all documents by fold as (own, n). Rows are grouped by a 128-bit digest of the set, which
+    alone is compared and sorted. The rank filter keeps k rows per set and fold before the
+    shuffle, however many copies there are.
     """
-    digest = F.md5(F.to_json(F.struct(content, *also)))
-    keyed = sets.withColumn("_set", digest)
-    same = ["fold", "_set"]
+    digest = F.md5(F.to_json(F.struct("ids", *also)))
+    keyed = encoded.withColumn("_set", digest)
+    same = ["fold", "_set", "own"]
     smallest = _top(keyed, same, [F.col("doc_id")], k, "_rn")
-    member = F.struct(F.col("doc_id").alias("train_id"), "label")
-    values = [F.min_by(c, "doc_id").alias(c) for c in (content, *also)]
-    groups = smallest.groupBy(*same).agg(
+    member = F.struct(F.col("doc_id").alias("train_id"), "label", "own")
+    values = [F.min_by(c, "doc_id").alias(c) for c in ("ids", "sizes", *also)]
+    groups = smallest.groupBy("fold", "_set").agg(
         F.min("doc_id").alias("gid"), F.sort_array(F.collect_list(member)).alias("members"), *values
     )
-    sizes = keyed.groupBy(*same).agg(F.min("doc_id").alias("gid"), F.count("*").alias("n"))
-    return groups.join(sizes.select("fold", "gid", "n"), ["fold", "gid"]).drop("_set")
+    counts = keyed.groupBy(*same).agg(F.count("*").alias("n")).groupBy("fold", "_set").agg(
+        F.sort_array(F.collect_list(F.struct("own", "n"))).alias("n")
+    )
+    return groups.join(counts, ["fold", "_set"]).drop("_set")
 
 
 def _top(df: DataFrame, keys: list[str], order: list[Column], k: int, out: str = "rank") -> DataFrame:
@@ -93,49 +142,12 @@ def _top(df: DataFrame, keys: list[str], order: list[Column], k: int, out: str =
     return ranked.filter(F.col(out) <= k)
 
 
-def overlaps(pairs: DataFrame, test: DataFrame, train: DataFrame) -> DataFrame:
-    """Exact intersection and set sizes for (fold, test_id, gid) pairs, over column `terms`."""
-    left = test.select("fold", "test_id", F.col("terms").alias("_a"))
-    right = train.select("fold", "gid", "members", F.col("terms").alias("_b"))
-    return (
-        pairs.join(left, ["fold", "test_id"])
-        .join(right, ["fold", "gid"])
-        .select(
-            "fold", "test_id", "gid", "members",
-            F.size(F.array_intersect("_a", "_b")).alias("inter"),
-            F.size("_a").alias("a"), F.size("_b").alias("b"),
-        )
-    )
-
-
-def jaccard_distance(inter: Column, a: Column, b: Column) -> Column:
-    """Distance from counts; two empty sets are at distance 0."""
-    union = a + b - inter
-    return F.when(union == 0, F.lit(0.0)).otherwise(F.lit(1.0) - inter.cast("double") / union)
-
-
-def nearest_groups(compared: DataFrame, k: int, *keys: str) -> DataFrame:
-    """The k nearest groups per (keys or fold, test_id), ties by gid."""
-    scored = compared.withColumn(
-        "dist", jaccard_distance(F.col("inter"), F.col("a"), F.col("b"))
-    )
-    return _top(scored, list(keys) or ["fold", "test_id"], [F.col("dist"), F.col("gid")], k, "_g")
-
+def queries_of(encoded: DataFrame, *also: str) -> DataFrame:
+    """(fold, own, test_id, test_label, asked, also) of the sets that look for neighbours.
 
-def term_rows(sets: DataFrame, *keys: str) -> DataFrame:
-    """(fold, keys, term), one row per element of a set."""
-    # outer: an inner explode would evaluate the terms a second time to filter empty sets
-    rows = sets.select("fold", *keys, F.explode_outer("terms").alias("term"))
-    return rows.filter(F.col("term").isNotNull())
-
-
-def known_sizes(sets: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(fold, doc_id, size): terms of every set that the vocabulary (fold, term) holds."""
-    known = term_rows(sets, "doc_id").join(
-        vocabulary.select("fold", "term"), ["fold", "term"], "left_semi"
-    )
-    sizes = known.groupBy("fold", "doc_id").agg(F.count("*").cast("int").alias("size"))
-    return sets.select("fold", "doc_id").join(sizes, ["fold", "doc_id"], "left").fillna(0, ["size"])
+    Without folds they are of own fold 0, which no training document is of.
+    """
+    return encoded.select("fold", F.greatest("own", F.lit(0)).alias("own"), F.col("doc_id").alias("test_id"), F.col("label").alias("test_label"), "asked", *also)
 
 
 def nearest(
@@ -143,47 +155,106 @@ def nearest(
 ) -> DataFrame:
     """(fold, test_id, test_label, train_id, label, dist, rank): the k nearest per test set."""
     terms = vocabulary(train, keep, of_train)
-    groups = stage(collapse(encode_sets(train, terms), "ids", k))
-    queries = stage(encode_sets(test, terms).select("fold", F.col("doc_id").alias("test_id"), F.col("label").alias("test_label"), "ids"))
-    return _top(_block_lists(groups, queries, k), ["fold", "test_id"], [F.col("dist"), F.col("train_id")], k)
-
-
-def _numbered_blocks(sizes: Column, limit: int) -> Column:
-    return F.greatest(F.ceil(sizes / limit), F.lit(1)).cast("int")
-
-
-def _block_lists(groups: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(fold, test_id, test_label, train_id, label, dist): the k nearest of every block of groups."""
-    counts = groups.groupBy("fold").agg(F.count("*").alias("_g")).join(
-        queries.groupBy("fold").agg(F.count("*").alias("_q")), "fold"
+    groups = stage(collapse(encode_sets(train, terms), k).drop("n"))
+    queries = stage(queries_of(encode_sets(test, terms)))
+    return search(groups, queries, k).drop("own")
+
+
+def nearest_elsewhere(sets: DataFrame, k: int, folds: int, keep: DataFrame | None = None) -> DataFrame:
+    """The same for every set among the sets of the other folds, in one search."""
+    terms = vocabulary_elsewhere(sets, folds, keep)
+    encoded = stage(encode_sets(sets, terms, folds=folds))
+    groups = stage(collapse(encoded, k).drop("n"))
+    return search(groups, queries_of(encoded), k).drop("fold").withColumnRenamed("own", "fold")
+
+
+def search(groups: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(fold, own, test_id, test_label, train_id, label, dist, rank) from collapsed groups and queries, both staged."""
+    counted = groups.groupBy("fold").agg(F.count("*").alias("n")).orderBy("fold").collect()  # one row per fold
+    blocks = sum(-(-r["n"] // GROUP_BLOCK) for r in counted)
+    if max((r["n"] for r in counted), default=0) <= GROUP_BLOCK:
+        asked = queries.withColumns({"g_block": F.lit(0), "limit": F.lit(None).cast("double")})
+        lists = _block_lists(groups.withColumn("g_block", F.lit(0)), asked, k, blocks)
+    else:
+        placed = _in_blocks(groups, counted)
+        asked = queries.join(F.broadcast(_heads(placed)), "fold")
+        lead = F.struct(F.slice("asked", 1, 4).alias("_lead"), F.size("asked").alias("_size"))
+        home = F.greatest(F.size(F.filter("_starts", lambda s: s <= lead)) - 1, F.lit(0))
+        asked = asked.withColumn("g_block", home)
+        first = stage(_block_lists(placed, asked.withColumn("limit", F.lit(None).cast("double")), k, blocks))
+        limits = first.groupBy("fold", "test_id").agg(F.count("*").alias("_n"), F.max("dist").alias("limit")).filter(F.col("_n") >= k)
+        rest = asked.join(limits.drop("_n"), ["fold", "test_id"], "left")
+        a = F.size("asked").cast("double")
+        # no set of a block is nearer than one that holds, or is held by, the whole test set
+        least = F.when(a < F.col("b")["low"], 1 - a / F.col("b")["low"]).when(a > F.col("b")["high"], 1 - F.col("b")["high"] / a).otherwise(0.0)
+        others = F.transform("_sizes", lambda s, i: F.struct(i.alias("g"), s["low"].alias("low"), s["high"].alias("high")))
+        rest = rest.withColumn("b", F.explode(others)).filter(F.col("b")["g"] != F.col("g_block"))
+        rest = rest.filter(F.col("limit").isNull() | (least <= F.col("limit") + 1e-9)).withColumn("g_block", F.col("b")["g"])
+        lists = first.unionByName(_block_lists(placed, rest, k, blocks))
+    return _top(lists, ["fold", "own", "test_id"], [F.col("dist"), F.col("train_id")], k)
+
+
+def _in_blocks(groups: DataFrame, counted: list) -> DataFrame:
+    """Groups of every fold in the order of their leading terms and size, GROUP_BLOCK to a block."""
+    placed = ordered_rank(
+        groups.withColumns({"_lead": F.slice("ids", 1, 4), "_size": F.size("ids")}), "fold", "_lead", "_size", "gid", out="_rn"
     )
-    blocks = counts.select(
-        "fold", _numbered_blocks(F.col("_g"), GROUP_BLOCK).alias("_gs"), _numbered_blocks(F.col("_q"), TEST_BLOCK).alias("_qs")
+    firsts, before = [], 0
+    for r in counted:
+        firsts.append((r["fold"], before))
+        before += r["n"]
+    starts = groups.sparkSession.createDataFrame(firsts, "fold int, _before long")  # one row per fold
+    block = F.floor((F.col("_rn") - 1 - F.col("_before")) / GROUP_BLOCK).cast("int")
+    return stage(placed.join(F.broadcast(starts), "fold").withColumn("g_block", block).drop("_rn", "_before"))
+
+
+def _heads(placed: DataFrame) -> DataFrame:
+    """(fold, _starts, _sizes): where every block begins and the sizes in it, an entry for GROUP_BLOCK groups."""
+    ends = placed.groupBy("fold", "g_block").agg(
+        F.min(F.struct("_lead", "_size")).alias("start"), F.min(F.array_min("sizes")).alias("low"), F.max(F.array_max("sizes")).alias("high")
     )
-    # one row per fold
-    left = groups.join(F.broadcast(blocks), "fold").select(
-        "fold", F.explode(F.sequence(F.lit(0), F.col("_qs") - 1)).alias("q_block"), F.pmod(F.hash("gid"), F.col("_gs")).alias("g_block"),
-        F.lit(0).alias("side"), F.col("gid").alias("id"), F.lit(None).cast("int").alias("test_label"), "ids",
-        F.col("members.train_id").alias("member_ids"), F.col("members.label").alias("labels"),
+    rows = ends.groupBy("fold").agg(F.sort_array(F.collect_list(F.struct("g_block", "start", "low", "high"))).alias("_h"))
+    return rows.select("fold", F.transform("_h", lambda h: h["start"]).alias("_starts"), F.transform("_h", lambda h: F.struct(h["low"], h["high"])).alias("_sizes"))
+
+
+def tasks_by_block(asked: DataFrame, blocks: int) -> DataFrame:
+    """(fold, g_block, _tasks): into how many tasks the test sets that ask for a block are cut."""
+    idle = -(-asked.sparkSession.sparkContext.defaultParallelism // max(1, blocks))
+    n = F.count("*")
+    tasks = F.greatest(F.ceil(n / TEST_BLOCK), F.least(F.ceil(n / LEAST_TESTS), F.lit(idle)), F.lit(1))
+    return asked.groupBy("fold", "g_block").agg(tasks.cast("int").alias("_tasks"))
+
+
+def _block_lists(groups: DataFrame, asked: DataFrame, k: int, blocks: int) -> DataFrame:
+    """(fold, own, test_id, test_label, train_id, label, dist): the k nearest in the block each
+    row of `asked` names."""
+    counts = tasks_by_block(asked, blocks)
+    # one row per block
+    left = groups.join(F.broadcast(counts), ["fold", "g_block"]).select(
+        "fold", "g_block", F.explode(F.sequence(F.lit(0), F.col("_tasks") - 1)).alias("task"), F.lit(0).alias("side"),
+        F.col("gid").alias("id"), F.lit(None).cast("int").alias("test_label"), F.lit(None).cast("int").alias("own"), "ids", "sizes",
+        F.col("members.train_id").alias("member_ids"), F.col("members.label").alias("labels"), F.col("members.own").alias("owns"),
+        F.lit(None).cast("double").alias("limit"),
     )
-    right = queries.join(F.broadcast(blocks), "fold").select(
-        "fold", F.pmod(F.hash("test_id"), F.col("_qs")).alias("q_block"), F.explode(F.sequence(F.lit(0), F.col("_gs") - 1)).alias("g_block"),
-        F.lit(1).alias("side"), F.col("test_id").alias("id"), "test_label", "ids",
+    right = asked.join(F.broadcast(counts), ["fold", "g_block"]).select(
+        "fold", "g_block", F.pmod(F.hash("test_id"), F.col("_tasks")).alias("task"), F.lit(1).alias("side"),
+        F.col("test_id").alias("id"), "test_label", "own", F.col("asked").alias("ids"), F.lit(None).cast("array<int>").alias("sizes"),
         F.lit(None).cast("array<bigint>").alias("member_ids"), F.lit(None).cast("array<int>").alias("labels"),
+        F.lit(None).cast("array<int>").alias("owns"), "limit",
     )
-    key = ["fold", "q_block", "g_block"]
+    key = ["fold", "g_block", "task"]
     met = left.unionByName(right).repartition(*key).sortWithinPartitions(*key, "side", "id")
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in _runs(batches, len(key)):
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches, len(key)):
             at = int(np.searchsorted(run.column("side").to_numpy(), 1))
             if 0 < at < run.num_rows:
-                yield from _search_block(run.slice(0, at).combine_chunks(), run.slice(at).combine_chunks(), k)
+                yield _search_block(run.slice(0, at), run.slice(at), k)
 
-    return met.mapInArrow(search, "fold int, test_id long, test_label int, train_id long, label int, dist double")
+    return met.mapInArrow(find, "fold int, own int, test_id long, test_label int, train_id long, label int, dist double")
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """Rows of equal leading key columns, which come one after the other."""
     held: list[pa.RecordBatch] = []
     last = None
@@ -206,79 +277,66 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """(values, ends) of a list column."""
-    column = column.combine_chunks()
-    if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks)
-    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
-    return column.flatten().to_numpy(zero_copy_only=False), ends
+class Members:
+    """Documents of the groups of one task: ids, labels and folds, as lists by group."""
+
+    def __init__(self, groups: pa.Table):
+        self.ids, self.bounds = setsearch.lists(groups.column("member_ids"))
+        self.labels = flat(groups.column("labels")).flatten()
+        self.owns = setsearch.lists(groups.column("owns"))[0]
 
+    def smallest(self, own: int) -> np.ndarray:
+        """The smallest member of every group that is not of fold `own`."""
+        return np.minimum.reduceat(np.where(self.owns != own, self.ids, setsearch.NOBODY), self.bounds[:-1])
 
-def _search_block(groups: pa.Table, tests: pa.Table, k: int) -> Iterator[pa.RecordBatch]:
+    def first(self, asked: np.ndarray, groups: np.ndarray, far: np.ndarray, own: np.ndarray, k: int):
+        """(asked, member, distance): the k nearest members by (distance, id), own folds refused."""
+        places, cut = setsearch.take_lists(np.arange(len(self.ids)), self.bounds, groups)
+        sizes = np.diff(cut)
+        asked, far, own = np.repeat(asked, sizes), np.repeat(far, sizes), np.repeat(own, sizes)
+        ok = self.owns[places] != own
+        asked, far, places = asked[ok], far[ok], places[ok]
+        best = setsearch.first_of(asked, far, self.ids[places], k)
+        return asked[best], places[best], far[best]
+
+
+def _search_block(groups: pa.Table, tests: pa.Table, k: int) -> pa.RecordBatch:
     """The k nearest members of some groups for every one of some test sets."""
-    values, ends = _lists(groups.column("ids"))
-    n = groups.num_rows
-    b = np.diff(ends, prepend=0)
-    terms, dense = np.unique(values, return_inverse=True)
-    order = np.argsort(dense, kind="stable")
-    postings = np.repeat(np.arange(n), b)[order]  # groups of each term, one list after the other
-    lows = np.concatenate(([0], np.cumsum(np.bincount(dense, minlength=len(terms)))))
-    member_ids, member_ends = _lists(groups.column("member_ids"))
-    labels = pa.array(groups.column("labels").combine_chunks().flatten()) if n else None
-    if isinstance(labels, pa.ChunkedArray):
-        labels = labels.combine_chunks()
-    member_lows = member_ends - np.diff(member_ends, prepend=0)
-    asked, asked_ends = _lists(tests.column("ids"))
-    fold = groups.column("fold")[0].as_py()
-    test_ids, test_labels = tests.column("id").to_numpy(), tests.column("test_label")
-    asked_lows = asked_ends - np.diff(asked_ends, prepend=0)
-    at = np.minimum(np.searchsorted(terms, asked), max(0, len(terms) - 1))
-    found = terms[at] == asked if len(terms) else np.zeros(len(asked), bool)
-    width = np.where(found, (lows[1:] - lows[:-1])[at] if len(terms) else 0, 0)
-    reach = np.concatenate(([0], np.cumsum(width)))  # shared terms before each asked term
-    step = max(1, STEP_CELLS // max(1, n))
-    low = 0
-    while low < len(test_ids):
-        high = min(len(test_ids), low + step)
-        while high > low + 1 and reach[asked_ends[high - 1]] - reach[asked_lows[low]] > 4 * STEP_CELLS:
-            high = low + (high - low) // 2
-        span = slice(int(asked_lows[low]), int(asked_ends[high - 1]))
-        w = width[span]
-        owner = np.repeat(np.arange(high - low), asked_ends[low:high] - asked_lows[low:high])
-        total = int(w.sum())
-        place = np.repeat(lows[at[span]] - (np.cumsum(w) - w), w) + np.arange(total) if len(terms) else np.zeros(0, np.int64)
-        inter = np.bincount(np.repeat(owner, w) * n + postings[place], minlength=(high - low) * n).reshape(high - low, n)
-        a = (asked_ends[low:high] - asked_lows[low:high])[:, None]
-        union = a + b[None, :] - inter
-        with np.errstate(invalid="ignore", divide="ignore"):
-            dist = np.where(union == 0, 0.0, 1.0 - inter / union)
-        out = [[], [], [], []]
-        for i in range(high - low):
-            row = dist[i]
-            if n > k:
-                near = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1])
-            else:
-                near = np.arange(n)
-            near = near[np.argsort(row[near], kind="stable")][:k]  # groups are sorted by gid
-            size = (member_ends - member_lows)[near]
-            picks = np.repeat(member_lows[near] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-            far = np.repeat(row[near], size)
-            best = np.lexsort((member_ids[picks], far))[:k]
-            out[0].append(np.full(len(best), low + i))
-            out[1].append(picks[best])
-            out[2].append(far[best])
-        rows, picks, far = (np.concatenate(x) for x in out[:3])
-        yield pa.RecordBatch.from_pydict({
-            "fold": pa.array(np.full(len(rows), fold), pa.int32()), "test_id": pa.array(test_ids[rows]),
-            "test_label": _flat(test_labels.take(pa.array(rows))), "train_id": pa.array(member_ids[picks]),
-            "label": _flat(labels.take(pa.array(picks))), "dist": pa.array(far),
-        })
-        low = high
-
-
-def _flat(column) -> pa.Array:
-    return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+    values, bounds = setsearch.lists(groups.column("ids"))
+    sizes = setsearch.lists(groups.column("sizes"))[0].reshape(groups.num_rows, -1).T
+    index = setsearch.Index.of(values, bounds, sizes)
+    members = Members(groups)
+    own = tests.column("own").to_numpy()
+    smallest = np.array([members.smallest(f) for f in range(len(sizes))])[:, index.order]
+    asked, cut = setsearch.lists(tests.column("ids"))
+    order = setsearch.by_leading_terms(asked, cut)
+    asked, cut = setsearch.take_lists(asked, cut, order)
+    limit = tests.column("limit").to_numpy().astype(float)[order]
+    who, found, far = setsearch.nearest(
+        index, smallest, asked, cut, np.maximum(own, 0)[order], k, np.where(np.isnan(limit), np.inf, limit)
+    )
+    who, places, far = members.first(order[who], index.order[found], far, own[order[who]], k)
+    return pa.RecordBatch.from_pydict({
+        "fold": pa.array(np.full(len(who), groups.column("fold")[0].as_py()), pa.int32()), "own": pa.array(own[who], pa.int32()),
+        "test_id": pa.array(tests.column("id").to_numpy()[who]), "test_label": flat(tests.column("test_label").take(pa.array(who))),
+        "train_id": pa.array(members.ids[places]), "label": members.labels.take(pa.array(places)), "dist": pa.array(far),
+    })
+
+
+def count_held(bits: DataFrame, *keys: str) -> DataFrame:
+    """(keys, a): how many bits of `words` (64-bit words, alike within keys) any row of the keys has set."""
+    nothing, zero = F.array().cast("array<bigint>"), F.lit(0).cast("bigint")
+    every = F.aggregate(F.collect_list("words"), nothing, lambda s, w: F.zip_with(
+        s, w, lambda x, y: F.coalesce(x, zero).bitwiseOR(F.coalesce(y, zero))
+    ))
+    size = F.aggregate("_w", F.lit(0), lambda s, w: s + F.bit_count(w))
+    return bits.groupBy(*keys).agg(every.alias("_w")).select(*keys, size.alias("a"))
+
+
+def flat(column) -> pa.Array:
+    if not isinstance(column, pa.ChunkedArray):
+        return column
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
 
 
 def rank_pairs(pairs: DataFrame, metric: Callable[[Column, Column], Column], k: int, *keys: str) -> DataFrame:
@@ -289,9 +347,3 @@ def rank_pairs(pairs: DataFrame, metric: Callable[[Column, Column], Column], k:
     """
     scored = pairs.withColumn("dist", metric(F.col("x"), F.col("y")))
     return _top(scored, [*keys, "test_id"], [F.col("dist"), F.col("train_id")], k)
-
-
-def rank_members(groups: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """Nearest groups to nearest documents: (keys, train_id, label, dist, rank)."""
-    members = groups.select(*keys, "dist", F.inline("members"))
-    return _top(members, keys, [F.col("dist"), F.col("train_id")], k)

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from simalign.functions.tokens import fill_text, word_tokens
 from simalign.operators import evaluate, vocab
-from simalign.operators.neighbours import nearest
-from simalign.operators.split import assign_batches, cv_frames, kfold_assign
+from simalign.operators.neighbours import nearest, nearest_elsewhere
+from simalign.operators.split import assign_batches, kfold_assign
 from simalign.operators.vote import adaptive_k, vote, vote_many_k
 from simalign.session import stage
 
@@ -88,20 +88,19 @@ def knn_bruteforce(train: DataFrame, test: DataFrame) -> DataFrame:
 def knn_kfold(
     docs: DataFrame, folds: int, ks: list[int], max_features: int | None = None
 ) -> DataFrame:
-    """(fold, k, doc_id, label, pred), all folds in one job.
+    """(fold, k, doc_id, label, pred), all folds in one search that refuses a row its own fold.
 
     The list of k also holds floor(sqrt(training rows of the fold)).
     """
     folded = kfold_assign(docs, folds)
     sets = stage(term_sets(folded))
-    train, test = cv_frames(sets, folds)
-    sizes = test.groupBy("fold").agg(F.count("*").alias("n"))
-    n = docs.count()
+    sizes = sets.groupBy("fold").agg(F.count("*").alias("n"))
+    n = sets.count()
     k_max = max(*ks, math.isqrt(n))
     keep = None
     if max_features is not None:
         keep = vocab.top_terms(_stats_without_own_fold(folded, folds), max_features)
-    listed = nearest(train.select(*sets.columns), test, k_max, keep, of_train=True)
+    listed = nearest_elsewhere(sets, k_max, folds, keep)
     roots = sizes.select("fold", F.floor(F.sqrt(n - F.col("n"))).cast("int").alias("root"))
     # one row per fold
     with_root = listed.join(F.broadcast(roots), "fold")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from simalign.functions.tokens import fill_text, whitespace_tokens
 from simalign.operators import minhash
 from simalign.operators import neighbours as nb
+from simalign.operators.buckets import candidate_lists
 from simalign.operators.vote import FULL_K, adaptive_k, adaptive_k_column, vote
 from simalign.plans.classify import term_sets
 from simalign.session import stage
@@ -39,113 +40,88 @@ def split_by_candidates(test: DataFrame, candidates: DataFrame) -> tuple[DataFra
 
 
 def signed_sets(docs: DataFrame, perms: int, *also: str) -> DataFrame:
-    """(fold, doc_id, label, also, terms, sig); `terms` sorted, `sig` NULL without tokens."""
-    sets = term_sets(docs, *also).withColumn("terms", F.sort_array("terms"))
-    return sets.join(signed(docs, "doc_id", perms=perms), "doc_id", "left")
-
-
-SHAPE = ["bands", "rows"]
-
-
-def shape_keys(bands: int, rows: int) -> Column:
-    """Band keys with the shape they belong to."""
-
-    def tag(entry):
-        return F.struct(
-            F.lit(bands).alias("bands"), F.lit(rows).alias("rows"),
-            entry["band"].alias("band"), entry["band_key"].alias("band_key"),
-        )
-
-    return F.transform(minhash.band_keys(F.col("sig"), bands, rows), tag)
-
-
-def local_sizes(pairs: DataFrame, test: DataFrame, groups: DataFrame, *keys: str) -> DataFrame:
-    """(keys, test_id, a): terms of a test set that any of its candidates holds."""
-    left = test.select("test_id", F.col("terms").alias("_a"))
-    right = groups.select("gid", F.col("terms").alias("_b"))
-    shared = (
-        pairs.join(left, "test_id")
-        .join(right, "gid")
-        .select(*keys, "test_id", F.explode(F.array_intersect("_a", "_b")).alias("term"))
-    )
-    return shared.distinct().groupBy(*keys, "test_id").agg(F.count("*").cast("int").alias("_a"))
-
-
-def rank_candidates(compared: DataFrame, pairs: DataFrame, *keys: str) -> DataFrame:
-    """Nearest candidates with k set by the number of candidates of the test document.
-
-    `compared` holds one row per (keys, test_id, gid) with inter, a, b and members, `pairs`
-    the same rows with n, the number of documents in the group.
-    """
-    per_test = [*keys, "test_id"]
-    counts = pairs.groupBy(*per_test).agg(F.sum("n").alias("n_candidates"))
-    near = nb.nearest_groups(compared, FULL_K, *per_test)
-    ranked = nb.rank_members(near, per_test, FULL_K).join(counts, per_test)
-    return ranked.filter(F.col("rank") <= adaptive_k_column(F.col("n_candidates")))
+    """(fold, doc_id, label, also, terms, sig); `sig` is NULL without tokens."""
+    return term_sets(docs, *also).join(signed(docs, "doc_id", perms=perms), "doc_id", "left")
 
 
 @dataclass(frozen=True)
 class Run:
-    """Both sides of a run, the collapsed training groups and the candidate pairs, all staged."""
+    """Collapsed training groups and the queries, both staged with signatures, and the band shapes."""
 
-    train_sets: DataFrame
-    queries: DataFrame
     groups: DataFrame
-    pairs: DataFrame
+    queries: DataFrame
+    shapes: list[tuple[int, int]]
+    n_train: int
 
 
 def prepare(train: DataFrame, test: DataFrame, perms: int, thresholds: list[float]) -> Run:
-    """Signatures once, candidate pairs of every band shape the thresholds ask for."""
+    """Signatures and term ids once, for every band shape the thresholds ask for."""
     shapes = sorted({minhash.band_params(perms, t) for t in thresholds})
     used = max(bands * rows for bands, rows in shapes)
     marked = train.withColumn("is_test", F.lit(False)).unionByName(
         test.withColumn("is_test", F.lit(True)), allowMissingColumns=True
     )
     sides = stage(signed_sets(marked, used, "is_test"))
-    train_sets = sides.filter(~F.col("is_test")).drop("is_test")
-    queries = sides.filter("is_test").drop("is_test").withColumnRenamed("doc_id", "test_id")
-    groups = stage(nb.collapse(train_sets.filter("sig IS NOT NULL"), "terms", FULL_K, "sig"))
-    keyed = F.explode(F.concat(*[shape_keys(b, r) for b, r in shapes])).alias("_k")
-    pairs = stage(
-        minhash.bucket_pairs(
-            queries.filter("sig IS NOT NULL").select("test_id", keyed).select("test_id", "_k.*"),
-            groups.select("gid", keyed).select("gid", "_k.*"),
-            [*SHAPE, "band", "band_key"], "test_id", "gid",
-        )
-    )
-    return Run(train_sets, queries, groups, pairs)
+    train_sets = sides.filter(~F.col("is_test"))
+    encoded = stage(nb.encode_sets(sides, nb.vocabulary(train_sets), "is_test", "sig"))
+    # one grouping serves both routes: equal sets with other signatures are two groups, which does no harm
+    groups = stage(nb.collapse(encoded.filter(~F.col("is_test")), FULL_K, "sig"))
+    queries = encoded.filter("is_test")
+    return Run(groups, nb.queries_of(queries, "sig"), shapes, train_sets.count())
 
 
 def by_candidates(run: Run, local: bool = False) -> DataFrame:
     """(bands, rows, test_id, n_candidates, pred) of the test documents with candidates.
 
     `local` counts only those terms of a test document that its own candidates hold;
-    otherwise all terms of the training side count. A pair is compared once for all shapes.
+    otherwise all terms of the training side count.
     """
-    unique = run.pairs.select(F.lit(0).alias("fold"), "test_id", "gid").distinct()
-    compared = nb.overlaps(unique, run.queries, run.groups).join(run.groups.select("gid", "n"), "gid").drop("fold")
-    if local:
-        sizes, on = local_sizes(run.pairs, run.queries, run.groups, *SHAPE), [*SHAPE, "test_id"]
-    else:
-        vocabulary = nb.term_rows(run.train_sets).distinct()
-        known = nb.known_sizes(run.queries.withColumnRenamed("test_id", "doc_id"), vocabulary)
-        sizes, on = known.select(F.col("doc_id").alias("test_id"), F.col("size").alias("_a")), ["test_id"]
-    per_shape = (
-        run.pairs.join(compared, ["test_id", "gid"]).join(sizes, on, "left").withColumn("a", F.coalesce("_a", F.lit(0))).drop("_a")
-    )
-    return vote(rank_candidates(per_shape, per_shape, *SHAPE), *SHAPE, "test_id", "n_candidates")
+    lists = candidate_lists(run.groups, run.queries, run.shapes, FULL_K, local)
+    per_test = Window.partitionBy("shape", "test_id")
+    ranked = lists.withColumns({
+        "n_candidates": F.sum("n").over(per_test),
+        "rank": F.row_number().over(per_test.orderBy("dist", "train_id")),
+    })
+    near = ranked.filter(F.col("rank") <= adaptive_k_column(F.col("n_candidates")))
+    shape = [F.array(*[F.lit(s[i]) for s in run.shapes])[F.col("shape")].alias(c) for i, c in enumerate(SHAPE)]
+    return vote(near, "shape", "test_id", "n_candidates").select(*shape, "test_id", "n_candidates", "pred")
 
 
 def by_all(run: Run, tests: DataFrame) -> DataFrame:
     """(test_id, pred) of the given test documents from the whole training side."""
-    rest = run.queries.join(tests, "test_id", "left_semi").withColumnRenamed("test_id", "doc_id")
-    return vote(nb.nearest(run.train_sets, rest, adaptive_k(run.train_sets.count())), "test_id")
+    rest = run.queries.join(tests, "test_id", "left_semi")
+    return vote(nb.search(run.groups, rest, adaptive_k(run.n_train)), "test_id")
 
 
-def without_candidates(run: Run, shapes: int = 1) -> DataFrame:
+def without_candidates(run: Run) -> DataFrame:
     """(test_id) of test documents that have no candidate in some of the shapes."""
-    served = run.pairs.groupBy("test_id").agg(F.count_distinct(*SHAPE).alias("_n")).filter(F.col("_n") == shapes)
-    return run.queries.select("test_id").join(served, "test_id", "left_anti")
+    def keyed(df: DataFrame, *columns: str) -> DataFrame:
+        keys = F.explode(F.concat(*[shape_keys(b, r) for b, r in run.shapes])).alias("_k")
+        return df.filter("sig IS NOT NULL").select(*columns, keys).select(*columns, "_k.*")
+
+    on = [*SHAPE, "band", "band_key"]
+    met = keyed(run.queries, "test_id").join(keyed(run.groups).distinct(), on, "left_semi")
+    return _unserved(run, met)
+
+
+def _unserved(run: Run, served: DataFrame) -> DataFrame:
+    every = served.groupBy("test_id").agg(F.count_distinct(*SHAPE).alias("_n")).filter(F.col("_n") == len(run.shapes))
+    return run.queries.select("test_id").join(every, "test_id", "left_anti")
+
+
+SHAPE = ["bands", "rows"]
+
+
+def shape_keys(bands: int, rows: int) -> Column:
+    """Band keys with the shape they belong to."""
+
+    def tag(entry):
+        return F.struct(
+            F.lit(bands).alias("bands"), F.lit(rows).alias("rows"),
+            entry["band"].alias("band"), entry["band_key"].alias("band_key"),
+        )
+
+    return F.transform(minhash.band_keys(F.col("sig"), bands, rows), tag)
 
 
 def candidate_route(run: Run, local: bool = False) -> DataFrame:
@@ -154,22 +130,25 @@ def candidate_route(run: Run, local: bool = False) -> DataFrame:
     return _labelled(run, voted)
 
 
-def all_route(run: Run) -> DataFrame:
-    """The same for the documents without candidates."""
-    voted = by_all(run, without_candidates(run)).withColumn("route", F.lit("all"))
+def all_route(run: Run, rest: DataFrame | None = None) -> DataFrame:
+    """The same for the documents without candidates; `rest` (test_id) if they are known."""
+    rest = without_candidates(run) if rest is None else rest
+    voted = by_all(run, rest).withColumn("route", F.lit("all"))
     return _labelled(run, voted.withColumn("n_candidates", F.lit(0).cast("bigint")))
 
 
 def _labelled(run: Run, voted: DataFrame) -> DataFrame:
-    return voted.join(run.queries.select("test_id", "label"), "test_id").select(
-        F.col("test_id").alias("doc_id"), "label", "pred", "route", "n_candidates"
+    return voted.join(run.queries.select("test_id", "test_label"), "test_id").select(
+        F.col("test_id").alias("doc_id"), F.col("test_label").alias("label"), "pred", "route", "n_candidates"
     )
 
 
 def knn_lsh(train: DataFrame, test: DataFrame, perms: int, threshold: float, local: bool = False) -> DataFrame:
     """(doc_id, label, pred, route, n_candidates), one row per test document: both routes."""
     run = prepare(train, test, perms, [threshold])
-    return candidate_route(run, local).unionByName(all_route(run))
+    served = stage(candidate_route(run, local))
+    rest = run.queries.select("test_id").join(served.select(F.col("doc_id").alias("test_id")), "test_id", "left_anti")
+    return served.unionByName(all_route(run, rest))
 
 
 # The thresholds the unlabelled set is scored at.
@@ -186,10 +165,9 @@ def score_unlabelled(
     """
     run = prepare(train, unlabelled, perms, thresholds)
     points = [(float(t), *minhash.band_params(perms, t)) for t in thresholds]
-    shapes = len({p[1:] for p in points})
     grid = train.sparkSession.createDataFrame(points, "threshold double, bands int, rows int")
-    chosen = by_candidates(run).select(*SHAPE, "test_id", F.col("pred").alias("_lsh"))
-    rest = by_all(run, without_candidates(run, shapes)).select("test_id", F.col("pred").alias("_all"))
+    chosen = stage(by_candidates(run).select(*SHAPE, "test_id", F.col("pred").alias("_lsh")))
+    rest = by_all(run, _unserved(run, chosen)).select("test_id", F.col("pred").alias("_all"))
     # the grid is a handful of literal rows
     every = run.queries.select("test_id").crossJoin(F.broadcast(grid))
     return (

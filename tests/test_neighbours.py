@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from simalign.functions import vectors
-from simalign.operators import minhash
+from simalign.functions import setsearch, vectors
+from simalign.operators import buckets, minhash
 from simalign.operators import neighbours as nb
 from simalign.operators import evaluate, vote
 from simalign.plans import classify, lsh
@@ -59,7 +60,8 @@ def route(request, monkeypatch):
         monkeypatch.setattr(nb, "GROUP_BLOCK", 5)
         monkeypatch.setattr(nb, "TEST_BLOCK", 7)
     if request.param == "small steps":
-        monkeypatch.setattr(nb, "STEP_CELLS", 40)
+        monkeypatch.setattr(setsearch, "BLOCK", 3)
+        monkeypatch.setattr(setsearch, "BATCH", 8)
     return request.param
 
 
@@ -78,6 +80,48 @@ def test_limited_vocabulary_and_few_training_sets(spark, route):
     assert collected(got) == brute_force(train, test, 9, keep)
 
 
+@pytest.mark.parametrize("keep", [None, {"the", "t1", "t2", "t3", "t4"}])
+def test_search_among_other_folds(spark, route, keep):
+    rows = corpus(5, 100, folds=3)
+    kept = None
+    if keep is not None:  # fold 2 knows one term less
+        known = [(f, t, 1) for f in range(3) for t in sorted(keep) if (f, t) != (2, "t1")]
+        kept = spark.createDataFrame(known, "fold int, term string, df long")
+    got = collected(nb.nearest_elsewhere(spark.createDataFrame(rows, SCHEMA), 6, 3, kept))
+    want = {}
+    for f in range(3):
+        train = [(0, d, l, ts) for g, d, l, ts in rows if g != f]
+        test = [(0, d, l, ts) for g, d, l, ts in rows if g == f]
+        mine = keep if keep is None or f != 2 else keep - {"t1"}
+        want |= {(f, i): v for (_, i), v in brute_force(train, test, 6, mine).items()}
+    assert got == want
+
+
+def test_compared_pairs_grow_slower_than_both_sides():
+    rng = np.random.default_rng(4)
+
+    def sets(n):
+        # classes with frequent and rare words of their own, and rare words all share
+        values = [
+            np.concatenate((1000 * (i % 16) + np.unique(rng.integers(0, 6, 4)), 1000 * (i % 16) + 6 + np.unique(rng.integers(0, 190, 40)), 20_000 + np.unique(rng.integers(0, 99, 3))))
+            for i in range(n)
+        ]
+        return np.concatenate(values), np.concatenate(([0], np.cumsum([len(v) for v in values])))
+
+    shares = []
+    for n in (200, 800, 3200):
+        (values, bounds), (asked, cut) = sets(n), sets(100)
+        index = setsearch.Index.of(values, bounds, np.diff(bounds)[None, :], block=50)
+        work = {}
+        who, row, far = setsearch.nearest(index, index.order[None, :], asked, cut, np.zeros(100, int), 5, work=work)
+        for i in range(0, 100, 17):
+            mine = set(asked[cut[i] : cut[i + 1]].tolist())
+            every = [(1 - len(mine & s) / len(mine | s), j) for j, s in ((j, set(values[bounds[j] : bounds[j + 1]].tolist())) for j in range(n))]
+            assert [(d, j) for d, j in zip(far[who == i], index.order[row[who == i]])] == sorted(every)[:5]
+        shares.append(work["pairs"] / (100 * n))
+    assert shares[0] > 2 * shares[1] and shares[2] <= shares[1] < 0.1  # a class is a sixteenth
+
+
 def texts(rows):
     return [(d, " ".join(t), l) for _, d, l, t in rows]
 
@@ -147,7 +191,11 @@ def test_bucket_pairs(spark, monkeypatch, blocks):
 
 
 @pytest.mark.parametrize("local", [False, True])
-def test_lsh_routes(spark, local):
+@pytest.mark.parametrize("sizes", ["usual", "small"])
+def test_lsh_routes(spark, local, sizes, monkeypatch):
+    if sizes == "small":
+        for name, value in {"BLOCK_ROWS": 4, "CELLS": 30, "PAIRS": 7, "INDEX_BLOCK": 3}.items():
+            monkeypatch.setattr(buckets, name, value)
     train, test = texts(corpus(8, 60)), texts(corpus(9, 30, first=1000))
     tr, te = spark.createDataFrame(train, TEXTS), spark.createDataFrame(test, TEXTS)
     got = {r.doc_id: r for r in lsh.knn_lsh(tr, te, 64, 0.5, local).collect()}
