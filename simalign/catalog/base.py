@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from simalign.sources.files import read_table, spread
+from simalign.sources.files import dealt, read_table
 
 DUCK_TYPES = {
     "long": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
@@ -67,7 +67,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return dealt(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from simalign.sources import files
 
 def vector_pairs(spark, sf):
     """Embeddings as series of equal length, each beside the next."""
-    rows = files.spread(table(spark, sf, "embeddings").select("vec_id", "embedding"))
+    rows = files.dealt(table(spark, sf, "embeddings").select("vec_id", "embedding"), "vec_id")
     return dtw.pair_by_offset(
         rows.withColumn("embedding", F.col("embedding").cast("array<double>")), "vec_id", "embedding"
     )
@@ -35,7 +35,7 @@ def word_pairs(spark, sf):
     words = F.filter(F.split("text", r"\s+"), lambda s: s != "")
     lengths = F.transform(words, lambda s: F.length(s).cast("double"))
     rows = table(spark, sf, "benchmark").select("item_id", lengths.alias("series"))
-    return dtw.pair_by_offset(files.spread(rows), "item_id", "series")
+    return dtw.pair_by_offset(files.dealt(rows, "item_id"), "item_id", "series")
 
 
 def _pairs_sql(source: str, key: str) -> str:

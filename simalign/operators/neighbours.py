@@ -84,8 +84,8 @@ def vocabulary_elsewhere(sets: DataFrame, folds: int, keep: DataFrame | None = N
     return _numbered(known.filter("mask <> 0").select(F.lit(0).alias("fold"), "term", "df", "mask"))
 
 
-def encode_sets(sets: DataFrame, terms: DataFrame, *also: str, folds: int = 0) -> DataFrame:
-    """(fold, own, doc_id, label, ids, asked, sizes, also): sets as arrays of term ids, most frequent first.
+def encode_sets(sets: DataFrame, terms: DataFrame, *also: str, folds: int = 0, by: tuple[str, ...] = ()) -> DataFrame:
+    """(fold, own, doc_id, label, by, ids, asked, sizes, also): sets as arrays of term ids, most frequent first.
 
     `asked` is what the set looks for and `sizes` the number of its terms for every fold that
     may ask for it: with `folds`, terms count for a fold only by their mask. Terms outside the
@@ -95,10 +95,11 @@ def encode_sets(sets: DataFrame, terms: DataFrame, *also: str, folds: int = 0) -
     holder = F.array(F.concat(F.lit(" "), F.col("doc_id").cast("string")))
     content = F.when(F.size("terms") > 0, F.col("terms")).otherwise(holder)
     space, own = (F.lit(0), F.col("fold")) if folds else (F.col("fold"), F.lit(-1))
-    rows = sets.select(space.alias("fold"), own.alias("own"), "doc_id", "label", *also, F.explode_outer(content).alias("term"))
+    key = ["fold", "own", "doc_id", "label", *by]
+    rows = sets.select(space.alias("fold"), own.alias("own"), *key[2:], *also, F.explode_outer(content).alias("term"))
     entry = F.when(F.col("term_id").isNotNull(), F.struct((-F.col("df")).alias("d"), "term_id", "mask"))
     gathered = (
-        rows.join(terms, ["fold", "term"], "left").groupBy("fold", "own", "doc_id", "label")
+        rows.join(terms, ["fold", "term"], "left").groupBy(*key)
         .agg(F.sort_array(F.collect_list(entry)).alias("_t"), *[F.any_value(c).alias(c) for c in also])
     )
 
@@ -111,14 +112,14 @@ def encode_sets(sets: DataFrame, terms: DataFrame, *also: str, folds: int = 0) -
     else:
         asked, sizes = F.col("ids"), F.array(F.size("ids"))
     listed = gathered.withColumn("ids", F.transform("_t", lambda x: x["term_id"]))
-    return listed.select("fold", "own", "doc_id", "label", "ids", asked.alias("asked"), sizes.alias("sizes"), *also)
+    return listed.select(*key, "ids", asked.alias("asked"), sizes.alias("sizes"), *also)
 
 
-def collapse(encoded: DataFrame, k: int, *also: str) -> DataFrame:
-    """One row per distinct (set, also): (fold, gid, ids, sizes, also, members, n), gid the smallest member.
+def collapse(encoded: DataFrame, k: int, *also: str, counted: bool = False) -> DataFrame:
+    """One row per distinct (set, also): (fold, gid, ids, sizes, also, members), gid the smallest member.
 
-    `members` holds the k smallest documents of every fold as (train_id, label, own), `n` counts
-    all documents by fold as (own, n). Rows are grouped by a 128-bit digest of the set, which
+    `members` holds the k smallest documents of every fold as (train_id, label, own). `counted`
+    adds `n`, the number of all its documents by fold as (own, n). Rows are grouped by a 128-bit digest of the set, which
     alone is compared and sorted. The rank filter keeps k rows per set and fold before the
     shuffle, however many copies there are.
     """
@@ -131,6 +132,8 @@ def collapse(encoded: DataFrame, k: int, *also: str) -> DataFrame:
     groups = smallest.groupBy("fold", "_set").agg(
         F.min("doc_id").alias("gid"), F.sort_array(F.collect_list(member)).alias("members"), *values
     )
+    if not counted:
+        return groups.drop("_set")
     counts = keyed.groupBy(*same).agg(F.count("*").alias("n")).groupBy("fold", "_set").agg(
         F.sort_array(F.collect_list(F.struct("own", "n"))).alias("n")
     )
@@ -154,17 +157,18 @@ def nearest(
     train: DataFrame, test: DataFrame, k: int, keep: DataFrame | None = None, of_train: bool = False
 ) -> DataFrame:
     """(fold, test_id, test_label, train_id, label, dist, rank): the k nearest per test set."""
-    terms = vocabulary(train, keep, of_train)
-    groups = stage(collapse(encode_sets(train, terms), k).drop("n"))
-    queries = stage(queries_of(encode_sets(test, terms)))
-    return search(groups, queries, k).drop("own")
+    columns = ["fold", "doc_id", "label", "terms"]
+    sides = train.select(*columns, F.lit(False).alias("is_test")).unionByName(test.select(*columns, F.lit(True).alias("is_test")))
+    encoded = stage(encode_sets(sides, vocabulary(train, keep, of_train), by=("is_test",)))
+    groups = stage(collapse(encoded.filter(~F.col("is_test")), k))
+    return search(groups, queries_of(encoded.filter("is_test")), k).drop("own")
 
 
 def nearest_elsewhere(sets: DataFrame, k: int, folds: int, keep: DataFrame | None = None) -> DataFrame:
     """The same for every set among the sets of the other folds, in one search."""
     terms = vocabulary_elsewhere(sets, folds, keep)
     encoded = stage(encode_sets(sets, terms, folds=folds))
-    groups = stage(collapse(encoded, k).drop("n"))
+    groups = stage(collapse(encoded, k))
     return search(groups, queries_of(encoded), k).drop("fold").withColumnRenamed("own", "fold")
 
 

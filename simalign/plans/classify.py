@@ -20,40 +20,57 @@ from simalign.operators.vote import adaptive_k, vote, vote_many_k
 from simalign.session import stage
 
 
-def term_sets(docs: DataFrame, *also: str) -> DataFrame:
-    """(fold, doc_id, label, also, terms): the distinct words of every document."""
+def word_lists(docs: DataFrame, *also: str) -> DataFrame:
+    """(fold, doc_id, label, also, words): the words of every document in text order."""
     fold = F.col("fold") if "fold" in docs.columns else F.lit(0)
     label = F.col("label") if "label" in docs.columns else F.lit(None)
-    terms = F.array_distinct(word_tokens(fill_text(F.col("text"))))
     return docs.select(
-        fold.cast("int").alias("fold"), "doc_id", label.cast("int").alias("label"), *also, terms.alias("terms")
+        fold.cast("int").alias("fold"), "doc_id", label.cast("int").alias("label"), *also,
+        word_tokens(fill_text(F.col("text"))).alias("words"),
     )
 
 
-def _word_stats(docs: DataFrame) -> DataFrame:
-    fold = F.col("fold") if "fold" in docs.columns else F.lit(0)
-    docs = docs.select(fold.cast("int").alias("fold"), "doc_id", "text")
-    counts = vocab.doc_term_counts(docs, word_tokens(fill_text(F.col("text"))), "fold", "doc_id")
+def distinct_words(listed: DataFrame) -> DataFrame:
+    """The same with `terms`, the distinct words, instead of `words`."""
+    return listed.withColumn("terms", F.array_distinct("words")).drop("words")
+
+
+def term_sets(docs: DataFrame, *also: str) -> DataFrame:
+    """(fold, doc_id, label, also, terms): the distinct words of every document."""
+    return distinct_words(word_lists(docs, *also))
+
+
+def _word_stats(listed: DataFrame) -> DataFrame:
+    counts = vocab.doc_term_counts(listed.select("fold", "doc_id", "words"), F.col("words"), "fold", "doc_id")
     return vocab.term_stats(counts, "fold")
 
 
+def _sides(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Word lists of both sides, tokenised once."""
+    both = stage(word_lists(train, F.lit(False).alias("is_test")).unionByName(word_lists(test, F.lit(True).alias("is_test"))))
+    return both.filter(~F.col("is_test")).drop("is_test"), both.filter("is_test").drop("is_test")
+
+
+def _neighbours(train: DataFrame, test: DataFrame, k: int, max_features: int | None = None) -> DataFrame:
+    """Neighbour lists from word lists."""
+    keep = None if max_features is None else vocab.top_terms(_word_stats(train), max_features)
+    return nearest(distinct_words(train), distinct_words(test), k, keep, of_train=True)
+
+
 def neighbour_lists(
     train: DataFrame, test: DataFrame, k: int, max_features: int | None = None
 ) -> DataFrame:
     """(fold, test_id, test_label, train_id, label, dist, rank)."""
-    if max_features is None:
-        return nearest(stage(term_sets(train)), stage(term_sets(test)), k)
-    keep = vocab.top_terms(_word_stats(train), max_features)
-    return nearest(stage(term_sets(train)), stage(term_sets(test)), k, keep, of_train=True)
+    return _neighbours(*_sides(train, test), k, max_features)
 
 
-def _stats_without_own_fold(folded: DataFrame, folds: int) -> DataFrame:
+def _stats_without_own_fold(listed: DataFrame, folds: int) -> DataFrame:
     """(fold, term, cf, df) over the training side of every fold: all rows less the fold's own.
 
     Tokens are counted once, not once for each fold that trains on them.
     """
     own = F.struct(F.col("cf").alias("cf"), F.col("df").alias("df"))
-    every = _word_stats(folded).groupBy("term").agg(
+    every = _word_stats(listed).groupBy("term").agg(
         F.sum("cf").alias("_cf"), F.sum("df").alias("_df"), F.map_from_entries(F.collect_list(F.struct("fold", own))).alias("_own")
     )
     spread = every.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
@@ -81,8 +98,8 @@ def knn_classify(
 
 def knn_bruteforce(train: DataFrame, test: DataFrame) -> DataFrame:
     """(doc_id, label, pred) with k set by the number of training rows."""
-    listed = neighbour_lists(train, test, adaptive_k(train.count()))
-    return predictions(listed)
+    train, test = _sides(train, test)
+    return predictions(_neighbours(train, test, adaptive_k(train.count())))
 
 
 def knn_kfold(
@@ -93,17 +110,18 @@ def knn_kfold(
     The list of k also holds floor(sqrt(training rows of the fold)).
     """
     folded = kfold_assign(docs, folds)
-    sets = stage(term_sets(folded))
+    listed = stage(word_lists(folded))
+    sets = distinct_words(listed)
     sizes = sets.groupBy("fold").agg(F.count("*").alias("n"))
     n = sets.count()
     k_max = max(*ks, math.isqrt(n))
     keep = None
     if max_features is not None:
-        keep = vocab.top_terms(_stats_without_own_fold(folded, folds), max_features)
-    listed = nearest_elsewhere(sets, k_max, folds, keep)
+        keep = vocab.top_terms(_stats_without_own_fold(listed, folds), max_features)
+    near = nearest_elsewhere(sets, k_max, folds, keep)
     roots = sizes.select("fold", F.floor(F.sqrt(n - F.col("n"))).cast("int").alias("root"))
     # one row per fold
-    with_root = listed.join(F.broadcast(roots), "fold")
+    with_root = near.join(F.broadcast(roots), "fold")
     all_k = F.concat(F.array(*map(F.lit, ks)), F.array("root"))
     voted = vote_many_k(with_root, all_k, "fold", "test_id", "test_label")
     return voted.withColumnsRenamed({"test_id": "doc_id", "test_label": "label"})

@@ -63,9 +63,9 @@ def prepare(train: DataFrame, test: DataFrame, perms: int, thresholds: list[floa
     )
     sides = stage(signed_sets(marked, used, "is_test"))
     train_sets = sides.filter(~F.col("is_test"))
-    encoded = stage(nb.encode_sets(sides, nb.vocabulary(train_sets), "is_test", "sig"))
+    encoded = stage(nb.encode_sets(sides, nb.vocabulary(train_sets), "sig", by=("is_test",)))
     # one grouping serves both routes: equal sets with other signatures are two groups, which does no harm
-    groups = stage(nb.collapse(encoded.filter(~F.col("is_test")), FULL_K, "sig"))
+    groups = stage(nb.collapse(encoded.filter(~F.col("is_test")), FULL_K, "sig", counted=True))
     queries = encoded.filter("is_test")
     return Run(groups, nb.queries_of(queries, "sig"), shapes, train_sets.count())
 

@@ -8,17 +8,26 @@ from pyspark.sql.types import StructType
 
 from simalign.operators.rank import ordered_rank
 
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than the session has cores is dealt out over all cores.
+#: The usual size of a Parquet row group, which one task reads whole.
+ROW_GROUP_BYTES = 128 << 20
+
+
+def dealt(df: DataFrame, by: str) -> DataFrame:
+    """A table of less than a row group for every core, dealt out over all cores by a column.
 
-    Tables of more splits stay where they are read, so their rows never move for this.
+    However many splits such a table has, its rows may lie in a single one. Its size is what the
+    optimizer knows of the files, so nothing is read for this, and what moves is bounded by
+    the cores. Larger tables have row groups for all cores and stay where they are read.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # by an expression of its own: a union of such tables is not taken for partitioned by the column
+    return df.repartition(cores, F.xxhash64(by)) if size < cores * ROW_GROUP_BYTES else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
