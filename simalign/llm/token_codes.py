@@ -161,18 +161,20 @@ class Encoder:
     text are those of its first word and of each further word with its space; the library
     encodes a word once and its ids are remembered. Texts with a longer run of white space
     around a space, or with characters outside the Latin blocks (the pattern of two Unicode
-    versions may differ there), go to the library whole. The strings of special tokens are
+    versions may differ there), go to the library whole, and so do texts with the string of an
+    added token, which the library takes for that token. Without `special` such strings are
     ordinary text.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, special: bool = True):
         import re
 
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not special
+        self.added = [x.content for x in self.library.get_added_tokens_decoder().values()] if special else []
         self.usual = re.compile("[\t\n\r -~¡-¬®-ɏ‐-‧‰-›€]*").fullmatch
         self.words = WordMemory(self._encode_words, limit=800_000)
         #: Ids that begin with a space, by id.
@@ -206,6 +208,7 @@ class Encoder:
     def _whole(self, text: str) -> bool:
         return (
             "  " in text or " \n" in text or " \t" in text or " \r" in text or text.endswith(" ") or not self.usual(text)
+            or any(x in text for x in self.added)
         )
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -215,17 +218,17 @@ class Encoder:
         return [a + b for a, b in zip(firsts, self.words([x[1:] for x in parts]), strict=True)]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(vocabulary: str) -> Encoder:
+def encoder(vocabulary: str, special: bool = True) -> Encoder:
     """The encoder of this Python worker: vocabularies load once."""
-    if vocabulary not in _encoders:
+    if (vocabulary, special) not in _encoders:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _encoders[vocabulary] = Encoder(vocabulary)
-    return _encoders[vocabulary]
+        _encoders[vocabulary, special] = Encoder(vocabulary, special)
+    return _encoders[vocabulary, special]
 
 
 # ---- Spark -------------------------------------------------------------------------------
@@ -233,10 +236,13 @@ def encoder(vocabulary: str) -> Encoder:
 
 def write_codes(
     docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
-    vocabulary: str = "byte_bpe_50k.json", end_id: int = 2,
+    vocabulary: str = "byte_bpe_50k.json", end_id: int = 2, special_tokens: bool = True,
 ) -> DataFrame:
     """Encode every whole text, end each with `end_id`, write code files; returns the manifest.
 
+    The string of a special token in a text is that token, as the library has it, or ordinary
+    text without `special_tokens`.
+
     Documents are written in ascending id order, NULL ids first; equal ids are ordered by
     text hash. A NULL or empty text is the end id alone. Rows that repeat are all written.
     An empty table gives an empty manifest. Other columns are ignored. Texts move once, to
@@ -255,7 +261,7 @@ def write_codes(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, part = encoder(vocabulary), TaskContext.get().partitionId()
+        encode, part = encoder(vocabulary, special_tokens), TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         sink, uri, places, size = None, None, [], 0
         names, ids, held, documents, tokens = [], [], 0, 0, 0

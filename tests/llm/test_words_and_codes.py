@@ -96,3 +96,14 @@ def test_empty_table_writes_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     manifest = token_codes.write_codes(docs, files.new_folder(spark, "codes"))
     assert token_codes.read_index(manifest).count() == 0
+
+
+def test_special_tokens_are_those_of_the_library():
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    special = next(iter(library.get_added_tokens_decoder().values())).content
+    texts = [f"end {special} of it", special, f"a{special}b c d", "plain words"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    got = [np.frombuffer(x, np.uint32).tolist() for x in token_codes.encoder("byte_bpe_50k.json")(texts)]
+    assert got == want
+    plain = [np.frombuffer(x, np.uint32).tolist() for x in token_codes.encoder("byte_bpe_50k.json", False)(texts)]
+    assert plain[3] == want[3] and all(a != b for a, b in zip(plain[:3], want[:3]))
