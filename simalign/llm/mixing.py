@@ -146,15 +146,16 @@ def mix(
     """`docs` with source_size, target and copies (0 to ceil(cap)), one row per row.
 
     The new columns take `prefix`; all others are kept, apart from earlier ones of these names. Reruns agree, as
-    every draw is a hash of seed, level, id and source; rows that repeat in id and source
-    draw alike, and which of equal rows takes a copy does not show. A NULL source is a source
+    every draw is a hash of seed, level and all columns but maps; which of equal rows takes a
+    copy does not show. A NULL source is a source
     of its own, a NULL size counts 0, a NULL id is an id. Rows of size 0 have no copy. An
     empty table gives an empty result.
     """
     new = [prefix + c for c in ("source_size", "target", "copies")]
     docs = docs.drop(*new)
     wanted = docs.columns
-    sized = docs.withColumn("_mx_source", F.col(source_col)).withColumn(
+    tie = F.xxhash64(*[f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    sized = docs.withColumn("_mx_source", F.col(source_col)).withColumn("_mx_tie", tie).withColumn(
         "_mx_size", F.coalesce(F.col(size_col).cast("long"), F.lit(0))
     )
     targets = source_targets(sized, "_mx_source", "_mx_size", weights, cap)
@@ -170,8 +171,8 @@ def mix(
         sized.join(targets, F.col("_mx_source").eqNullSafe(F.col("_mx_key")))
         .withColumn("_mx_whole", F.floor(rate))
         .withColumn("_mx_share", rate - F.col("_mx_whole"))
-        .withColumn("_mx_bucket", F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), groups))
-        .select(*wanted, "_mx_total", "_mx_target", "_mx_source", "_mx_size", "_mx_whole", "_mx_bucket", "_mx_share")
+        .withColumn("_mx_bucket", F.pmod(F.xxhash64(F.lit(seed), F.col("_mx_tie")), groups))
+        .select(*wanted, "_mx_total", "_mx_target", "_mx_source", "_mx_size", "_mx_tie", "_mx_whole", "_mx_bucket", "_mx_share")
     )
     settled = (F.col("_mx_size") <= 0) | (F.col("_mx_share") <= 0)
     columns = [*wanted, F.col("_mx_total").alias(new[0]), F.col("_mx_target").alias(new[1])]
@@ -184,11 +185,11 @@ def mix(
     parts = [finished(joined.filter(settled).withColumn("_mx_share", F.lit(0.0)))]
     open_rows, level, buckets = joined.filter(~settled), 0, -(-most // FAN)
     while True:
-        draw = _uniform(F.lit(seed), F.lit(level), F.col(id_col), F.col("_mx_source"))
+        draw = _uniform(F.lit(seed), F.lit(level), F.col("_mx_tie"))
         dealt = (
             open_rows.withColumn("_mx_draw", draw)
             .repartition("_mx_source", "_mx_bucket")
-            .sortWithinPartitions("_mx_source", "_mx_bucket", "_mx_draw", id_col, "_mx_size")
+            .sortWithinPartitions("_mx_source", "_mx_bucket", "_mx_draw", "_mx_tie")
         )
         fields = [f for f in dealt.schema.fields if f.name not in ("_mx_share", "_mx_draw")]
         schema = StructType([
@@ -204,7 +205,7 @@ def mix(
             break
         buckets = -(-buckets // FAN)
         open_rows = open_rows.withColumn("_mx_bucket", F.floor(F.col("_mx_bucket") / FAN).cast(LongType()))
-    last = _uniform(F.lit(seed), F.lit("last"), F.col(id_col), F.col("_mx_source")) < F.col("_mx_share")
+    last = _uniform(F.lit(seed), F.lit("last"), F.col("_mx_tie")) < F.col("_mx_share")
     parts.append(finished(open_rows.withColumn("_mx_share", last.cast("double"))))
     return reduce(DataFrame.unionByName, parts)
 

@@ -56,6 +56,13 @@ def test_shares_are_kept_on_average(spark):
         assert abs(sum(copies) / len(copies) - rate) < 0.02
 
 
+def test_rows_that_share_an_id_draw_the_same_again(spark):
+    rows = [(i % 80, "a" if i % 4 else "b", 10, f"text {i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long, text string")
+    first, again = (mixing.mix(d).collect() for d in (docs, docs.orderBy(F.rand(5)).repartition(6)))
+    assert {r["text"]: r["copies"] for r in first} == {r["text"]: r["copies"] for r in again}
+
+
 def test_edge_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, source string, size long")
     assert mixing.mix(empty).count() == 0
