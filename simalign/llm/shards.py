@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from simalign.llm import files
+from simalign.session import stage
 
 BUCKET_BYTES = 16 << 20
 #: Buckets for each shuffle partition, so that partitions hold about equally many rows.
@@ -30,37 +31,35 @@ def shard(
     """(rows read back, folder): `docs` with columns shard and slot, written by shard.
 
     Slots count from 0 in each shard and have no gap. All columns are kept, apart from
-    earlier ones of these two names. NULL texts weigh nothing; a NULL id is placed by the
-    hash of its text. Reruns agree. Rows that repeat whole share a bucket, as nothing tells
-    them apart; a bucket of such rows is larger than the others. With fewer rows than
+    earlier ones of these two names. NULL texts weigh nothing. Rows are scattered by a hash of all
+    columns but maps, so rows that share an id, or have none, go their own ways; reruns agree, as
+    rows of equal hash repeat whole and are interchangeable. Repetitions that would fill a bucket are
+    counted, and scattered by a number as well. With fewer rows than
     shards some shards are empty, and an empty table gives no row.
     """
     spark = docs.sparkSession
     docs = docs.drop("shard", "slot")
-    scattered = F.coalesce(
-        F.xxhash64(F.lit(seed), F.when(F.col(id_col).isNotNull(), F.col(id_col))), F.lit(0)
-    )
-    key = F.when(F.col(id_col).isNull(), F.xxhash64(F.lit(seed), F.col(text_col))).otherwise(scattered)
     total = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length(text_col)).alias("bytes")).first()
     rows, size = total["n"], total["bytes"] or 0
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(-(-size // bucket_bytes), tasks * BUCKETS_PER_TASK)
-    bucket = F.pmod(key, F.lit(buckets)).cast("int")
+    columns = docs.columns
+    docs = _scattered(docs, text_col, seed, bucket_bytes)
+    bucket = F.pmod("_sh_key", F.lit(buckets)).cast("int")
     # one row per bucket, and their number is the data's size over that of a bucket
     sizes = docs.groupBy(bucket.alias("_sh_bucket")).agg(F.count("*").alias("_sh_n"))
     before = Window.orderBy("_sh_bucket").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select("_sh_bucket", F.coalesce(F.sum("_sh_n").over(before), F.lit(0)).alias("_sh_first"))
 
-    columns = docs.columns
     dealt = (
-        docs.withColumn("_sh_bucket", bucket).withColumn("_sh_key", key)
+        docs.withColumn("_sh_bucket", bucket)
         .repartition(tasks, "_sh_bucket")
         .join(firsts, "_sh_bucket")
-        .sortWithinPartitions("_sh_bucket", "_sh_key", id_col)
+        .sortWithinPartitions("_sh_bucket", "_sh_key")
         .select(*columns, "_sh_bucket", "_sh_first")
     )
     schema = StructType([
-        *(StructField(f.name, f.dataType) for f in docs.schema.fields),
+        *(StructField(f.name, f.dataType) for f in docs.schema.fields if f.name in columns),
         StructField("shard", IntegerType()), StructField("slot", LongType()),
     ])
 
@@ -99,3 +98,24 @@ def shard(
     folder = files.new_folder(spark, "shards")
     dealt.mapInArrow(write, schema).write.partitionBy("shard").parquet(folder)
     return spark.read.schema(schema).parquet(folder), folder
+
+
+def _scattered(docs: DataFrame, text_col: str, seed: int, bucket_bytes: int) -> DataFrame:
+    """`docs` with _sh_key, a hash of all columns but maps.
+
+    Rows that repeat whole have one key. Where their texts would fill a bucket, they are counted
+    before they move, and each repetition gets a key of its own from its number.
+    """
+    columns = docs.columns
+    hashed = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    keyed = docs.withColumn("_sh_key", F.xxhash64(F.lit(seed), *hashed))
+    size = F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + 64)
+    repeated = keyed.groupBy("_sh_key").agg(F.count("*").alias("_sh_n"), size.alias("_sh_size"))
+    # each of them fills a bucket, so there are fewer of them than buckets
+    heavy = stage(repeated.filter((F.col("_sh_n") > 1) & (F.col("_sh_size") > bucket_bytes)).select("_sh_key"))
+    if len(hashed) < len(columns) or heavy.isEmpty():
+        return keyed
+    alike = keyed.join(F.broadcast(heavy), "_sh_key", "left_semi").groupBy("_sh_key", *columns).agg(F.count("*").alias("_sh_n"))
+    numbered = alike.withColumn("_sh_number", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_sh_n"))))
+    spread = numbered.select(*columns, F.xxhash64("_sh_key", "_sh_number").alias("_sh_key"))
+    return keyed.join(F.broadcast(heavy), "_sh_key", "left_anti").select(*columns, "_sh_key").unionByName(spread)

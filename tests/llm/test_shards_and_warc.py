@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from simalign.llm import files, shards, warc
 
@@ -25,9 +26,17 @@ def test_shards_hold_all_rows(spark, rows):
     assert max(counts) - min(counts) <= 1
     if rows == 103:
         again, _ = shards.shard(docs.repartition(6))
-        assert {(r["doc_id"], r["text"]): (r["shard"], r["slot"]) for r in got if r["doc_id"] not in (3, None)} == {
-            (r["doc_id"], r["text"]): (r["shard"], r["slot"]) for r in again.collect() if r["doc_id"] not in (3, None)
-        }
+        assert Counter(tuple(r) for r in got) == Counter(tuple(r) for r in again.collect())
+
+
+def test_hot_ids_and_repetitions_are_scattered_and_repeat(spark):
+    rows = [(i % 80 if i % 3 else None, f"text {i}") for i in range(400)] + [(7, "again " * 40)] * 300 + [(None, None)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    first, again = (shards.shard(d, bucket_bytes=2000)[0].collect() for d in (docs, docs.orderBy(F.rand(3)).repartition(5)))
+    assert Counter(tuple(r) for r in first) == Counter(tuple(r) for r in again)
+    assert Counter((r["doc_id"], r["text"]) for r in first) == Counter(rows)
+    # the repetitions lie all over the shards
+    assert all(15 <= n <= 65 for n in Counter(r["shard"] for r in first if r["doc_id"] == 7 and "again" in r["text"]).values())
 
 
 def test_archives_give_back_every_payload(spark):
