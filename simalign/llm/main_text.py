@@ -8,6 +8,10 @@ is an element with a name of boilerplate, unless it wraps most of the good text.
 pass gives an open block the label of the nearest decided blocks of the same container, so
 headings and one-line paragraphs follow their neighbours. Good text outside of article and
 main goes only if these hold most of the good text.
+
+Few stop words alone do not drop a block from an article, nor from a page most of whose text has
+few: lists of names, code and other languages are main text too. Such a block stays open and
+follows its neighbours.
 """
 
 from __future__ import annotations
@@ -39,6 +43,8 @@ STOP_WORDS = frozenset(
 )
 
 _INVISIBLE = {"script", "style", "noscript", "template", "svg", "iframe", "object", "math", "head", "title", "canvas", "audio", "video"}
+#: Of these, what holds markup of its own: without an end tag only the start tag is passed over.
+_FOREIGN = {"svg", "math", "object", "canvas", "audio", "video", "template"}
 _BAD_TAGS = {"nav", "footer", "aside", "form", "button", "select", "option", "textarea", "menu", "dialog", "label", "fieldset"}
 _GOOD_TAGS = {"article", "main"}
 _VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
@@ -118,6 +124,7 @@ def blocks(page: str) -> list[Piece]:
     goods: list[int] = []
     made = at = 0
     skip = None  # an invisible element whose end is awaited
+    endless: set[str] = set()  # foreign elements that do not end on the rest of the page
 
     def close():
         nonlocal current
@@ -141,7 +148,11 @@ def blocks(page: str) -> list[Piece]:
         if skip is not None:
             # raw text up to the end tag, as the element's content is not markup
             end = re.compile(rf"</{re.escape(skip)}\b[^>]*>", re.I).search(page, position)
-            position, skip = (end.end(), None) if end else (len(page), None)
+            if end is None and skip in _FOREIGN:
+                endless.add(skip)
+            else:
+                position = end.end() if end else len(page)
+            skip = None
             continue
         if m is None:
             write(page[position:])
@@ -157,7 +168,7 @@ def blocks(page: str) -> list[Piece]:
             continue
         closing, tag = t.group(1) == "/", t.group(2).lower()
         if tag in _INVISIBLE and tag != "head":
-            if not closing and not raw.endswith("/>"):
+            if not closing and not raw.endswith("/>") and tag not in endless:
                 skip = tag
             continue
         if tag in _BLOCKS:
@@ -247,13 +258,16 @@ def main_text(page: str, stop_words=STOP_WORDS) -> str:
     for i, block in enumerate(found):
         if not set(block.named) <= wrappers:
             block.bad, labels[i] = True, False
+    # only their stop words speak against these: lists, names, code, or another language
+    strange = [x is False and not b.bad and b.linked <= LINKS_HIGH * len(b.text) for x, b in zip(labels, found, strict=True)]
+    known = sum(len(b.text) for b, x in zip(found, labels, strict=True) if x)
+    unknown = sum(len(b.text) for b, x in zip(found, strange, strict=True) if x)
+    # markup tells what an article leaves out, and on a page mostly of an unknown language stop words tell nothing
+    labels = [None if x and (b.inside or unknown > known) else y for b, x, y in zip(found, strange, labels, strict=True)]
     good_size = [0, 0]  # outside and inside of articles
-    for block, good in zip(found, labels, strict=True):
-        if good:
+    for block, good, odd in zip(found, labels, strange, strict=True):
+        if good or good is None and odd and block.inside:
             good_size[block.inside > 0] += len(block.text)
-    if not any(good_size):
-        # no text of a known language: nothing tells a text without function words from another
-        labels = [None if x is False and not b.bad and b.linked <= LINKS_HIGH * len(b.text) else x for x, b in zip(labels, found, strict=True)]
     articles = any(b.inside and not b.bad for b in found) and good_size[1] >= good_size[0]
     n = len(found)
     before, after = [None] * n, [None] * n  # nearest decided block of the same container
@@ -280,7 +294,9 @@ def extract(pages: DataFrame, html_col: str = "html", keep: list[str] | None = N
 
     A NULL or empty page, and one without main text, has an empty text. Rows that repeat are
     read alike, an empty table gives no row; an earlier column of the name `out_col` gives
-    way. Pages do not move between tasks and whole pages are read.
+    way. Pages do not move between tasks and whole pages are read. An unclosed script, style,
+    title, iframe or noscript goes on to the end of the page, as in a browser; of an unclosed
+    svg, math, object, canvas, audio, video or template only the start tag is passed over.
     """
     kept = [c for c in (pages.columns if keep is None else keep) if c != out_col]
     read = list(dict.fromkeys([*kept, html_col]))

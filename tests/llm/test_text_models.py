@@ -43,10 +43,32 @@ def test_decoy_article_does_not_take_the_page():
     assert main_text.main_text(f"<body><p>{GOOD}</p><article>{f'<p>{GOOD}</p>' * 6}</article></body>") == story
 
 
-def test_densities_decide_inside_an_article():
-    page = f"<article><p>{GOOD}</p><p>{GOOD}</p><p>{CODES}</p><p>Tiny</p><p>{CODES}</p></article>"
-    assert main_text.main_text(page) == f"{GOOD} {GOOD}"
+def test_few_stop_words_alone_drop_nothing_from_an_article():
+    page = f"<article><p>{GOOD}</p><p>{GOOD}</p><p>{CODES}</p><p>Tiny</p><pre>{CODES}</pre><p>{GOOD}</p></article>"
+    assert main_text.main_text(page) == f"{GOOD} {GOOD} {CODES} Tiny {CODES} {GOOD}"
     assert main_text.main_text(f"<p>{CODES}</p>") == CODES
+    # outside of one they do, if the page is of a known language
+    assert main_text.main_text(f"<div>{f'<p>{GOOD}</p>' * 6}<p>{CODES}</p></div>") == " ".join([GOOD] * 6)
+    # and so do links around it
+    links = f"<ul><li><a href=1>{GOOD}</a><li><a href=2>{GOOD}</a></ul>"
+    assert main_text.main_text(f"<article><p>{GOOD}</p><p>x</p>{links}<p>{CODES}</p>{links}</article>") == f"{GOOD} x"
+
+
+POLISH = "Wczoraj wieczorem wszyscy mieszkańcy naszego miasta wyszli na ulice, żeby zobaczyć zorzę nad rzeką, która świeciła przez całą noc. "
+
+
+def test_a_page_of_an_unknown_language():
+    text = (POLISH * 3).strip()
+    notice = f"<p>{GOOD}</p>"
+    assert main_text.main_text(f"<body>{notice}<article><p>{text}</p><p>{text}</p></article></body>") == f"{text} {text}"
+    assert main_text.main_text(f"<body><div><p>{text}</p><p>{text}</p></div></body>") == f"{text} {text}"
+    assert text in main_text.main_text(f"<body><div><p>{text}</p><p>{text}</p></div>{notice}</body>")
+
+
+@pytest.mark.parametrize("tag", ["svg", "object", "video", "canvas", "math"])
+def test_unclosed_foreign_elements_do_not_swallow_the_page(tag):
+    assert main_text.main_text(f"<div><p>{GOOD}</p><{tag} id=x></div><p>{GOOD}</p>") == f"{GOOD} {GOOD}"
+    assert main_text.main_text(f"<div><p>{GOOD}</p><{tag}><p>{GOOD}</p></{tag}></div><p>{GOOD}</p>") == f"{GOOD} {GOOD}"
 
 
 @pytest.mark.parametrize("attribute", WRAPPERS)
