@@ -64,7 +64,7 @@ class Vocabulary:
 
         model = SentencePieceProcessor(model_file=public_tokenizers.path(name))
         self.is_byte = np.array([model.IsByte(i) for i in range(model.GetPieceSize())])
-        self.memory = words.WordMemory(lambda new: [array("I", x).tobytes() for x in model.encode(new, num_threads=1)] if new else [], limit=250_000)
+        self.memory = words.WordMemory(lambda new: [array("I", x).tobytes() for x in model.encode(new, num_threads=1)] if new else [], limit=54 << 20)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(x, np.uint32) for x in self.memory([t.split() for t in texts])]

@@ -176,7 +176,7 @@ class Encoder:
         self.library.encode_special_tokens = not special
         self.added = [x.content for x in self.library.get_added_tokens_decoder().values()] if special else []
         self.usual = re.compile("[\t\n\r -~¡-¬®-ɏ‐-‧‰-›€]*").fullmatch
-        self.words = WordMemory(self._encode_words, limit=800_000)
+        self.words = WordMemory(self._encode_words, limit=170 << 20)
         #: Ids that begin with a space, by id.
         entries = self.library.get_vocab()
         self.opens = np.zeros(max(entries.values()) + 1, bool)

@@ -185,25 +185,45 @@ def shingle_set(hashes: np.ndarray, k: int) -> np.ndarray:
 
 
 class WordMemory:
-    """Codes of words, made once per worker and remembered; at most `limit` words at a time."""
+    """Codes of words, made once per worker and remembered within about `limit` bytes.
 
-    def __init__(self, encode, limit: int = 400_000, longest: int = 48):
+    A worker has one memory at a time: the first use of another empties it.
+    """
+
+    #: What a word takes beside its characters: two objects and their place in a table.
+    ENTRY = 200
+    _used: WordMemory | None = None
+
+    def __init__(self, encode, limit: int = 80 << 20, longest: int = 48):
         self.encode, self.limit, self.longest = encode, limit, longest
         self.known: dict[str, bytes] = {}
+        self.held = 0
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.held = 0
 
     def __call__(self, texts: list[list[str]]) -> list[bytes]:
         """The codes of every text's words, one after the other."""
+        if WordMemory._used is not self:
+            if WordMemory._used is not None:
+                WordMemory._used.forget()
+            WordMemory._used = self
         every = set().union(*texts)
         new = list(every.difference(self.known))
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
+        size = len(new) * self.ENTRY + 2 * sum(map(len, new))
+        if self.held + size > self.limit:
+            self.forget()
             new = list(every)
+            size = len(new) * self.ENTRY + 2 * sum(map(len, new))
         known = self.known
         known.update(zip(new, self.encode(new), strict=True))
+        self.held += size
         out = [b"".join(map(known.__getitem__, x)) for x in texts]
         for w in new:
             if len(w) > self.longest:
                 del known[w]
+                self.held -= self.ENTRY + 2 * len(w)
         return out
 
 
