@@ -157,9 +157,8 @@ def l1_timestep(spark, sf):
        f"WITH RECURSIVE {VECTORS}, {diagonals()} SELECT id, round(c[n + 1], 6) AS distance,"
        " round(list_sum(list_transform(range(1, n + 1), lambda i: abs(a[i] - b[i]))), 6) AS l1 FROM diag WHERE d = n + m")
 def dtw_vs_l1(spark, sf):
-    pairs = vector_pairs(spark, sf)
-    l1 = pairs.select("id", F.round(vectors.l1_timestep(F.col("a"), F.col("b")), 6).alias("l1"))
-    return dtw.dtw_distance(pairs).withColumn("distance", F.round("distance", 6)).join(l1, "id")
+    pairs = vector_pairs(spark, sf).withColumn("l1", F.round(vectors.l1_timestep(F.col("a"), F.col("b")), 6))
+    return dtw.dtw_distance(pairs, keep=("l1",)).withColumn("distance", F.round("distance", 6))
 
 
 @query("pairwise_cost", "id long, variant string, i int, j int, cost double",

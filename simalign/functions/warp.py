@@ -88,15 +88,29 @@ def distances(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, cost:
     return out
 
 
-def matrices(a: np.ndarray, b: np.ndarray, cost: str) -> tuple[np.ndarray, np.ndarray]:
-    """Cumulated cost and direction codes of one pair, both (n, m).
+def last_rows(a: np.ndarray, b: np.ndarray, cost: str, every: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(r, cumulated costs of row r - 1) for r = every, 2 * every, ... below the length of `a`.
 
+    Rows between are passed in strips of `every` rows, of which only the last row is kept.
+    """
+    above = None
+    for top in range(0, len(a) - every, every):
+        above = strip(a[top : top + every], b, cost, above)[0][-1].copy()
+        yield top + every, above
+
+
+def strip(a: np.ndarray, b: np.ndarray, cost: str, above: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Cumulated costs and direction codes of some consecutive rows, both (len(a), m).
+
+    `above` are the costs of the row before them, none for the first rows of a matrix.
     Direction: where the smallest of (i-1, j-1), (i-1, j), (i, j-1) lies, first one on ties.
     """
-    a, b = np.asarray(a, dtype=float), np.asarray(b, dtype=float)
     n, m = len(a), len(b)
     total = np.full((n + 1, m + 1), np.inf)
-    total[0, 0] = 0.0
+    if above is None:
+        total[0, 0] = 0.0
+    else:
+        total[0, 1:] = above
     codes = np.zeros((n, m), dtype=np.int8)
     for d in range(2, n + m + 1):
         i = np.arange(max(1, d - m), min(n, d - 1) + 1)
@@ -107,26 +121,88 @@ def matrices(a: np.ndarray, b: np.ndarray, cost: str) -> tuple[np.ndarray, np.nd
     return total[1:, 1:], codes
 
 
-def directions(a: np.ndarray, b: np.ndarray, cost: str) -> np.ndarray:
-    """Direction codes of one pair, as in `matrices`, from two diagonals of costs.
+def _diagonals(a: np.ndarray, b: np.ndarray, cost: str, start: float) -> Iterator[tuple]:
+    """(d, lo, hi, costs by i, codes of i in lo..hi) for every anti-diagonal d = i + j, cells 1-based.
 
-    A code is one byte, so a path of two series of 20,000 values takes 400 MB, not 3.6 GB.
+    The costs hold `start` in cell (1, 1) and infinity beside the diagonal; they are only good
+    until the diagonal after the next.
+    """
+    n, m = len(a), len(b)
+    before, last, current = (np.full(n + 1, np.inf) for _ in range(3))
+    last[1] = start
+    yield 2, 1, 1, last, np.zeros(1, dtype=np.int8)
+    for d in range(3, n + m + 1):
+        lo, hi = max(1, d - m), min(n, d - 1)
+        match, up, left = before[lo - 1 : hi], last[lo - 1 : hi], last[lo : hi + 1]
+        best = np.minimum(match, np.minimum(up, left))
+        codes = np.where(match == best, MATCH, np.where(up == best, INSERTION, DELETION)).astype(np.int8)
+        # The first row and column have one origin only, also where every cost is infinite.
+        if lo == 1:
+            codes[0] = DELETION
+        if hi == d - 1:
+            codes[-1] = INSERTION
+        # An old diagonal reaches one cell further on either side at most.
+        current[max(lo - 2, 0) : hi + 2] = np.inf
+        current[lo : hi + 1] = local_cost(a[lo - 1 : hi], b[d - hi - 1 : d - lo][::-1], cost) + best
+        yield d, lo, hi, current, codes
+        before, last, current = last, current, before
+
+
+def _crossing(a: np.ndarray, b: np.ndarray, cost: str, start: float) -> tuple[int, int, float]:
+    """First cell (0-based) of the path on or behind the middle diagonal, and its cumulated cost."""
+    n, m = len(a), len(b)
+    middle = (n + m + 2) // 2
+    # By i: where the path of a cell crossed, twice its i, plus 1 on the diagonal after the middle.
+    before, last, current = (np.zeros(n + 1, dtype=np.int64) for _ in range(3))
+    costs = []
+    for d, lo, hi, total, codes in _diagonals(a, b, cost, start):
+        if d < middle:
+            continue
+        own = 2 * np.arange(lo, hi + 1)
+        if d <= middle + 1:
+            costs.append(total.copy())
+        if d == middle:
+            current[lo : hi + 1] = own
+        else:
+            match = own + 1 if d == middle + 1 else before[lo - 1 : hi]
+            step = np.where(codes == INSERTION, last[lo - 1 : hi], last[lo : hi + 1])
+            current[lo : hi + 1] = np.where(codes == MATCH, match, step)
+        before, last, current = last, current, before
+    i, late = divmod(int(last[n]), 2)
+    return i - 1, middle + late - i - 1, float(costs[late][i])
+
+
+def path(a: np.ndarray, b: np.ndarray, cost: str, cells: int) -> Iterator[np.ndarray]:
+    """Steps (i, j) from the last cell to (0, 0), in pieces, with memory for `cells` codes.
+
+    A larger rectangle is passed once with three diagonals of costs; each cell hands on where its
+    path crossed the middle diagonal, which halves the rectangle. A half starts with the cost
+    its first cell has in the whole matrix. The cells beside it could only offer more than the
+    cell the path comes from, or as much in a later place, so ties fall as in the whole matrix.
     """
     a, b = np.asarray(a, dtype=float), np.asarray(b, dtype=float)
+    # Rectangles from (top, left) to (bottom, right), both ends on the path; the last one is next.
+    open_ = [(0, 0, len(a) - 1, len(b) - 1, float(local_cost(a[:1], b[:1], cost)[0]))]
+    while open_:
+        top, left, bottom, right, start = open_.pop()
+        x, y = a[top : bottom + 1], b[left : right + 1]
+        if len(x) * len(y) > cells and len(x) + len(y) > 4:
+            i, j, value = _crossing(x, y, cost, start)
+            open_.append((top, left, top + i, left + j, start))
+            open_.append((top + i, left + j, bottom, right, value))
+            continue
+        steps = np.array(walk_back(_codes(x, y, cost, start))) + (top, left)
+        # The first cell of a half is the last one of the half before.
+        yield steps if top == left == 0 else steps[:-1]
+
+
+def _codes(a: np.ndarray, b: np.ndarray, cost: str, start: float) -> np.ndarray:
     n, m = len(a), len(b)
     codes = np.zeros((n, m), dtype=np.int8)
     flat = codes.reshape(-1)
-    before, last = np.full(n + 1, np.inf), np.full(n + 1, np.inf)  # by i, of the two diagonals above
-    before[0] = 0.0
-    for d in range(2, n + m + 1):
-        lo, hi = max(1, d - m), min(n, d - 1)
+    for d, lo, hi, _, diagonal in _diagonals(a, b, cost, start):
         i = np.arange(lo, hi + 1)
-        match, up, left = before[lo - 1 : hi], last[lo - 1 : hi], last[lo : hi + 1]
-        best = np.minimum(match, np.minimum(up, left))
-        flat[(i - 1) * m + d - i - 1] = np.where(match == best, MATCH, np.where(up == best, INSERTION, DELETION))
-        current = np.full(n + 1, np.inf)
-        current[lo : hi + 1] = local_cost(a[lo - 1 : hi], b[d - i - 1], cost) + best
-        before, last = last, current
+        flat[(i - 1) * m + d - i - 1] = diagonal
     return codes
 
 

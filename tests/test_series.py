@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -83,7 +84,7 @@ def test_kernel_properties(a, b):
     assert kernel(a, a) == 0
     if len(a) == len(b):
         assert kernel(a, b) <= sum(abs(x - y) for x, y in zip(a, b))
-    total, codes = warp.matrices(a, b, "abs")
+    total, codes = warp.strip(np.array(a), np.array(b), "abs")
     assert total[-1, -1] == kernel(a, b)
     path = warp.walk_back(codes)
     assert path[0] == (len(a) - 1, len(b) - 1) and path[-1] == (0, 0)
@@ -109,14 +110,59 @@ def test_l1_and_series_literals(spark):
     assert parsed == [[1.0, 2.5, -30.0], [1.0, 0.5], [1.0, 2.0], [], [1.0], None]
 
 
-def test_directions_of_two_diagonals_are_those_of_the_matrix():
-    rng = np.random.default_rng(4)
-    for n, m in [(1, 1), (1, 7), (6, 1), (5, 9), (40, 33)]:
-        a, b = rng.integers(0, 4, n).astype(float), rng.integers(0, 4, m).astype(float)
-        assert (warp.directions(a, b, "abs") == warp.matrices(a, b, "abs")[1]).all()
+def whole_path(a, b, cost="abs", cells=1 << 22):
+    return [tuple(map(int, step)) for piece in warp.path(a, b, cost, cells) for step in piece]
+
 
+@settings(max_examples=80, deadline=None)
+@given(values, values, st.integers(1, 60), st.sampled_from(["abs", "sq", "sqrt"]))
+def test_halved_paths_are_those_of_the_matrix(a, b, cells, cost):
+    a, b = np.array(a) / 3, np.array(b) / 3  # sums that round
+    _, codes = warp.strip(a, b, cost)
+    assert whole_path(a, b, cost, cells) == warp.walk_back(codes)
 
-def test_long_series_have_a_path():
-    a = np.sin(np.arange(4000) / 50)
-    path = warp.walk_back(warp.directions(a, a[:3500], "abs"))
-    assert path[0] == (3999, 3499) and path[-1] == (0, 0)
+
+def test_halved_paths_with_many_ties():
+    rng = np.random.default_rng(4)
+    for n, m in [(1, 1), (1, 9), (8, 1), (2, 2), (5, 9), (90, 70), (3, 200), (150, 150)]:
+        for top in (1, 2, 4):
+            a, b = rng.integers(0, top, n) * 0.1, rng.integers(0, top, m) * 0.1
+            want = warp.walk_back(warp.strip(a, b, "abs")[1])
+            assert all(whole_path(a, b, "abs", cells) == want for cells in (1, 7, 100, 5000))
+
+
+def test_paths_end_with_infinite_values():
+    a, b = np.array([np.inf, 1.0, -np.inf, 2.0] * 4), np.array([1.0, np.inf, 3.0] * 3)
+    path = whole_path(a, b, "abs", 8)
+    assert path[0] == (15, 8) and path[-1] == (0, 0)
+    assert all((i - k, j - l) in {(1, 1), (1, 0), (0, 1)} for (i, j), (k, l) in zip(path, path[1:]))
+
+
+def test_memory_of_a_path_is_linear():
+    a = np.sin(np.arange(6000) / 50)
+    tracemalloc.start()
+    path = whole_path(a, a[:5000], "abs", 1 << 18)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert path[0] == (5999, 4999) and path[-1] == (0, 0)
+    assert peak < 8e6  # the codes alone would take 30 MB
+    assert kernel(a, a[:5000]) == pytest.approx(sum(abs(a[i] - a[j]) for i, j in path))
+
+
+def test_strips_are_the_whole_matrix(spark):
+    rng = np.random.default_rng(5)
+    rows = [(list(rng.normal(size=n)), list(rng.normal(size=m))) for n, m in [(1, 1), (1, 30), (30, 1), (37, 11), (12, 45)]]
+    df = pairs(spark, *rows, (None, [1]))
+    want = {tuple(r) for r in dtw.dtw_cost_matrix(df).collect()}
+    assert len(want) == sum(len(a) * len(b) for a, b in rows)
+    for cells in (1, 50):
+        got = dtw.dtw_cost_matrix(df, cells=cells).collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
+        paths = {tuple(r) for r in dtw.dtw_path(df, cells=cells).collect()}
+        assert paths == {tuple(r) for r in dtw.dtw_path(df).collect()}
+
+
+def test_kept_columns_stay_with_their_distance(spark):
+    df = pairs(spark, SHORT, (SEQ1, SEQ2), (None, [1])).withColumn("more", F.col("id") * 10)
+    got = dtw.dtw_distance(df, keep=("more",)).orderBy("id").collect()
+    assert [r.more for r in got] == [0, 10, 20] and got[0].distance == 2.0 and got[2].distance is None
