@@ -19,11 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
 from simalign.llm import words
+from simalign.session import stage
 
 VOCABULARY = "piece_bpe_32k.model"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -31,6 +32,8 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 MADS = 3.5 / 0.6745
 #: Documents that make an edge of their own, and the width of the bins in which values are counted.
 LEAST_GROUP, BIN = 100, 0.002
+#: Octaves of the number of tokens that have an entry in a table of edges.
+OCTAVES = 48
 #: Limits in any corpus: (least, most) characters per token, most byte share, least entropy in bits.
 BANDS = {
     "en": (1.8, 9.0, 0.05, 5.2), "de": (1.85, 9.0, 0.05, 5.2), "fr": (1.6, 9.0, 0.05, 5.2), "es": (1.65, 9.0, 0.05, 5.2),
@@ -48,7 +51,8 @@ _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 METRICS = (
     ("n_words", LongType()), ("word_chars", LongType()), ("n_symbols", LongType()), ("n_dup_lines", LongType()),
     ("n_repeat_words", LongType()), ("base_failed", BooleanType()), ("chars_per_token", DoubleType()),
-    ("byte_share", DoubleType()), ("token_entropy", DoubleType()), ("band", StringType()), ("kept", BooleanType()),
+    ("byte_share", DoubleType()), ("token_entropy", DoubleType()), ("n_tokens", LongType()), ("band", StringType()),
+    ("kept", BooleanType()),
 )
 
 
@@ -99,17 +103,15 @@ def fertility(ids: np.ndarray, chars: int, is_byte: np.ndarray) -> tuple[float,
     return chars / len(ids), float(is_byte[ids].mean()), float(-(p * np.log2(p)).sum())
 
 
-def least_values(edges: Edges, band: str, tokens: int) -> tuple[float, float] | None:
-    """Edges for characters per token and entropy in bits, or None.
+def least_values(edges: Edges, band: str, octave: int) -> tuple[float, float, int]:
+    """Edges for characters per token and relative entropy, and the octave they come from.
 
-    An octave without an edge takes that of the next shorter one that has one, and its entropy
-    at its upper end: entropy rises with length, but falls relative to its greatest value.
+    An octave without an edge takes that of the next shorter one that has one; (0, 0, 0) if none.
     """
-    for octave in range(tokens.bit_length() - 1, 0, -1):
-        if (band, octave) in edges:
-            chars, entropy = edges[band, octave]
-            return chars, entropy * min(math.log2(tokens), octave + 1)
-    return None
+    for shorter in range(octave, 0, -1):
+        if (band, shorter) in edges:
+            return *edges[band, shorter], shorter
+    return 0.0, 0.0, 0
 
 
 def low_edge(bins: dict[int, int]) -> float:
@@ -125,20 +127,24 @@ def low_edge(bins: dict[int, int]) -> float:
 
 
 def corpus_edges(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", bands: dict = BANDS, name: str = VOCABULARY) -> Edges:
+    """The edges of a corpus, see `edges_of`."""
+    return edges_of(measure(docs, text_col, lang_col, [], bands, name))
+
+
+def edges_of(measured: DataFrame, prefix: str = "") -> Edges:
     """Least characters per token and least entropy over log2 of the tokens, by band and octave.
 
     Groups of fewer than `LEAST_GROUP` documents have no edge. One aggregate over all
     documents that pass the base rules; what reaches the driver are counts of bins, whose
     number does not grow with the corpus.
     """
-    seen = assess(docs, text_col, lang_col, [], bands, name, edges={}).filter("NOT base_failed AND chars_per_token > 0")
-    n = F.round(F.col("word_chars") / F.col("chars_per_token")).cast("long")
+    seen = measured.select(*(F.col(prefix + n).alias(n) for n, _ in METRICS[:-1])).filter("NOT base_failed AND chars_per_token > 0")
     values = F.array(*(
         F.struct(F.lit(k).alias("measure"), F.floor(value / BIN).cast("long").alias("bin"))
-        for k, value in enumerate((F.col("chars_per_token"), F.col("token_entropy") / F.log2(n)))
+        for k, value in enumerate((F.col("chars_per_token"), F.col("token_entropy") / F.log2("n_tokens")))
     ))
     counted = (
-        seen.filter(n > 1).select("band", (F.length(F.bin(n)) - 1).alias("octave"), F.explode(values).alias("v"))
+        seen.filter("n_tokens > 1").select("band", _octave(F.col("n_tokens")).alias("octave"), F.explode(values).alias("v"))
         .groupBy("band", "octave", "v.measure", "v.bin").count().collect()
     )
     groups: dict[tuple[str, int], tuple[dict, dict]] = {}
@@ -147,6 +153,31 @@ def corpus_edges(docs: DataFrame, text_col: str = "text", lang_col: str | None =
     return {key: (low_edge(a), low_edge(b)) for key, (a, b) in groups.items() if sum(a.values()) >= LEAST_GROUP}
 
 
+def _octave(n: Column) -> Column:
+    return F.length(F.bin(n)) - 1
+
+
+def verdict(edges: Edges, bands: dict = BANDS, prefix: str = "") -> Column:
+    """Whether a measured row is kept.
+
+    Entropy rises with length, but falls relative to its greatest value: the edge of a shorter
+    octave holds at the upper end of that octave.
+    """
+    column = {n: F.col(prefix + n) for n, _ in METRICS[:-1]}
+    octave = F.least(_octave(column["n_tokens"]), F.lit(OCTAVES - 1))
+    kept = F.lit(False)
+    for band, (least, most, bytes_, bits) in bands.items():
+        chars, entropy, end = zip(*(least_values(edges, band, o) for o in range(OCTAVES)))
+        chars, entropy, end = (F.element_at(F.lit([float(x) for x in v]), octave + 1) for v in (chars, entropy, [o + 1 for o in end]))
+        lowest = F.greatest(F.lit(bits), entropy * F.least(F.log2(column["n_tokens"]), end))
+        inside = (
+            (column["chars_per_token"] >= F.greatest(F.lit(least), chars)) & (column["chars_per_token"] <= most)
+            & (column["byte_share"] <= bytes_) & (column["token_entropy"] >= lowest)
+        )
+        kept = F.when(column["band"] == band, inside).otherwise(kept)
+    return ~column["base_failed"] & kept
+
+
 def _count_repeats(owner: np.ndarray, hashes: np.ndarray, size: int) -> np.ndarray:
     """Which entries have an equal hash elsewhere in their text, and whether it is earlier."""
     with np.errstate(over="ignore"):
@@ -196,17 +227,28 @@ def assess(
     way. A NULL or empty text has no words, fails the base rules and has fertility 0. A NULL
     or unknown language is judged by script. Rows that repeat are judged alike; an empty
     table gives no row. No row moves between tasks. `edges` are those of `docs` itself if none
-    are given, which reads it once more, when this is called; {} leaves the limits of `bands`.
+    are given: measures and kept columns are then written once, when this is called, and the
+    written rows are judged. {} leaves the limits of `bands`.
     """
+    measured = measure(docs, text_col, lang_col, keep, bands, name, prefix)
     if edges is None:
-        edges = corpus_edges(docs, text_col, lang_col, bands, name)
+        measured = stage(measured)
+        edges = edges_of(measured, prefix)
+    return measured.withColumn(prefix + "kept", verdict(edges, bands, prefix))
+
+
+def measure(
+    docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", keep: list[str] | None = None,
+    bands: dict = BANDS, name: str = VOCABULARY, prefix: str = "",
+) -> DataFrame:
+    """The columns of `assess` but for the verdict."""
     new = [prefix + n for n, _ in METRICS]
     kept_columns = [c for c in (docs.columns if keep is None else keep) if c not in new]
     fields = [docs.schema[c] for c in kept_columns]
-    schema = StructType([*fields, *(StructField(prefix + n, kind) for n, kind in METRICS)])
+    schema = StructType([*fields, *(StructField(prefix + n, kind) for n, kind in METRICS[:-1])])
     read = list(dict.fromkeys([*kept_columns, text_col, *([lang_col] if lang_col in docs.columns else [])]))
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(name)
         for batch in words.pieces(batches):
             texts = [x or "" for x in batch.column(text_col).to_pylist()]
@@ -219,24 +261,18 @@ def assess(
             if not texts:
                 n = {k: np.zeros(0, np.int64) for k, _ in METRICS[:5]}
             failed = (n["n_words"] < MIN_WORDS) | (100 * n["n_repeat_words"] > MAX_REPEAT_PERCENT * n["n_words"])
-            measured, used, verdicts = [], [], []
+            measured, sizes, used = [], [], []
             for low, high in words.steps(texts):
                 for i, ids in zip(range(low, high), vocab(texts[low:high]), strict=True):
-                    chars, share, entropy = found = fertility(ids, int(n["word_chars"][i]), vocab.is_byte)
-                    band = langs[i] if langs[i] in bands else script(texts[i])
-                    least, most, bytes_, bits = bands[band]
-                    edge = least_values(edges, band, len(ids))
-                    if edge:
-                        least, bits = max(least, edge[0]), max(bits, edge[1])
-                    measured.append(found)
-                    used.append(band)
-                    verdicts.append(bool(not failed[i] and least <= chars <= most and share <= bytes_ and entropy >= bits))
+                    measured.append(fertility(ids, int(n["word_chars"][i]), vocab.is_byte))
+                    sizes.append(len(ids))
+                    used.append(langs[i] if langs[i] in bands else script(texts[i]))
             columns = [
                 *(pa.array(n[k]) for k, _ in METRICS[:5]), pa.array(failed, pa.bool_()),
                 *(pa.array([m[j] for m in measured], pa.float64()) for j in range(3)),
-                pa.array(used, pa.string()), pa.array(verdicts, pa.bool_()),
+                pa.array(sizes, pa.int64()), pa.array(used, pa.string()),
             ]
             plain = [batch.column(c) for c in kept_columns]
-            yield pa.RecordBatch.from_arrays([*plain, *columns], [*kept_columns, *new])
+            yield pa.RecordBatch.from_arrays([*plain, *columns], [*kept_columns, *new[:-1]])
 
-    return docs.select(*read).mapInArrow(judge, schema)
+    return docs.select(*read).mapInArrow(run, schema)
