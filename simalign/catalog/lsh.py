@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from simalign.catalog.base import (
-    ADAPTIVE_K, LABELLED, RANKED, SPLIT, UNLABELLED, documents, folds, holdout, labelled, neighbours, query, unlabelled, voted,
+    ADAPTIVE_K, LABELLED, RANKED, SPLIT, UNLABELLED, WORDS, documents, folds, holdout, labelled, neighbours, query, unlabelled, voted,
 )
+from simalign.functions import tokens as tk
+from simalign.functions import vectors
 from simalign.operators import evaluate, minhash, results, vote
+from simalign.operators.neighbours import rank_pairs
 from simalign.operators.split import kfold_assign, split_fraction
 from simalign.plans import lsh, sweep
 from simalign.session import stage
@@ -117,6 +120,27 @@ def lsh_candidates(spark, sf):
     return lsh.lsh_candidates(train, test, PERMS, LOW_THRESHOLD)
 
 
+@query("nearest_by_metric", "test_id long, train_id long, dist double, rank int",
+       f"WITH {HOLD}, {cand_sql(PERMS, THRESHOLD)}, sets AS (SELECT doc_id, list_distinct({WORDS}) AS s FROM corpus),"
+       " scored AS (SELECT test_id, train_id, 1 - len(list_intersect(a.s, b.s))::DOUBLE"
+       " / nullif(len(list_distinct(list_concat(a.s, b.s))), 0) AS dist FROM cand JOIN sets a ON a.doc_id = test_id"
+       " JOIN sets b ON b.doc_id = train_id), ordered AS (SELECT *, row_number() OVER"
+       " (PARTITION BY test_id ORDER BY dist NULLS FIRST, train_id) AS rank FROM scored)"
+       " SELECT test_id, train_id, dist, rank FROM ordered WHERE rank <= 5")
+def nearest_by_metric(spark, sf):
+    """The five nearest candidates of every test document under a metric passed as a function of two columns."""
+    train, test = _halves(spark, sf)
+
+    def words(side, id_col, out):
+        # 64-bit hashes of the words: a pair carries eight bytes a word
+        hashed = F.transform(F.array_distinct(tk.word_tokens(F.col("text"))), lambda w: F.xxhash64(w))
+        return side.select(F.col("doc_id").alias(id_col), hashed.alias(out))
+
+    pairs = lsh.lsh_candidates(train, test, PERMS, THRESHOLD)
+    pairs = pairs.join(words(test, "test_id", "x"), "test_id").join(words(train, "train_id", "y"), "train_id")
+    return rank_pairs(pairs, vectors.distance_sets, 5)
+
+
 @query("adaptive_k", "doc_id long, n long, k int",
        f"WITH {HOLD}, {cand_sql(PERMS, THRESHOLD)}, c AS (SELECT test_id, count(*) AS n FROM cand GROUP BY test_id),"
        " s AS (SELECT doc_id, coalesce(c.n, (SELECT count(*) FROM train)) AS n FROM test LEFT JOIN c ON test_id = doc_id)"

@@ -13,7 +13,6 @@ from simalign.catalog.base import (
 from simalign.functions import tokens as tk
 from simalign.functions import vectors
 from simalign.operators import evaluate
-from simalign.operators.neighbours import rank_pairs
 from simalign.operators.split import split_fraction
 from simalign.plans import classify
 from simalign.plans.representation import representation_study
@@ -153,18 +152,6 @@ def append_metrics(spark, sf):
     return log.withColumns({c: F.round(c, 6) for c in ("accuracy", "macro_f1")})
 
 
-@query("nearest_by_metric", "test_id long, train_id long, dist double, rank int",
-       f"WITH {PAIRS}, {SETS} SELECT doc_id AS test_id, doc_id + 1 AS train_id, 1 - len(list_intersect(x, y))::DOUBLE"
-       " / nullif(len(list_distinct(list_concat(x, y))), 0) AS dist, 1 AS rank FROM sets")
-def nearest_by_metric(spark, sf):
-    """Candidates ranked by a metric the caller passes as a function of two columns."""
-    x, y = tk.word_tokens(F.col("text")), tk.word_tokens(F.col("other"))
-    pairs = _pairs(spark, sf).select(
-        F.col("doc_id").alias("test_id"), (F.col("doc_id") + 1).alias("train_id"), F.array_distinct(x).alias("x"), F.array_distinct(y).alias("y")
-    )
-    return rank_pairs(pairs, vectors.distance_sets, 1)
-
-
 @query("knn_bruteforce", "doc_id long, label int, pred int",
        f"WITH {HOLD}, {neighbours()}, picked AS (SELECT * FROM near WHERE rank <= (SELECT {ADAPTIVE_K.format(n='count(*)')} FROM train))"
        f" SELECT test_id AS doc_id, test_label AS label, pred FROM ({voted('picked', 'test_id, test_label')})")

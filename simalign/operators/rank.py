@@ -12,6 +12,8 @@ from simalign.session import stage
 # Leading hex digits of the md5 key that name a bucket: at most 16**4 = 65,536 buckets,
 # whatever the table size, so the bucket table may be broadcast or collected.
 BUCKET_DIGITS = 4
+# Ranges counted in one pass of a selection.
+SELECT_BINS = 4096
 
 
 def shuffle_key(id_col: str, seed: int) -> Column:
@@ -129,3 +131,27 @@ def shuffle_order(df: DataFrame, id_col: str, seed: int, ranks) -> ShuffleOrder:
     found = {(r["_bucket"], r["_rn"]): (r["_key"], r["_id"]) for r in rows}
     cuts = tuple(found[local[r]] if r in local else None for r in wanted)
     return ShuffleOrder(id_col, seed, total, cuts)
+
+
+def nth_smallest(df: DataFrame, key: Column, n: int) -> tuple[int | None, int]:
+    """The n-th smallest of whole numbers, repeats counted and NULLs left out, and how many are smaller.
+
+    (None, how many there are) if they are fewer than n. Counts of `SELECT_BINS` equal ranges show in
+    which one it lies, which is then cut again: a range shrinks to one number in six passes at
+    most. Each pass reads the key alone, and no row moves.
+    """
+    keys = df.select(key.alias("k")).filter("k IS NOT NULL")
+    low, high, total = keys.agg(F.min("k"), F.max("k"), F.count("k")).first()
+    if n < 1 or total < n:
+        return None, total
+    below = 0
+    while low < high:
+        width = (high - low) // SELECT_BINS + 1
+        # decimals, as the difference of two long values need not be one
+        place = F.expr(f"(CAST(k AS decimal(20, 0)) - ({low})) div {width}").alias("bin")
+        for r in sorted(keys.filter(F.col("k").between(low, high)).groupBy(place).count().collect()):
+            if below + r["count"] >= n:
+                break
+            below += r["count"]
+        low, high = low + r["bin"] * width, min(high, low + (r["bin"] + 1) * width - 1)
+    return low, below

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from simalign.operators.rank import hash_rank, ordered_rank, shuffle_order
+from simalign.operators.rank import hash_rank, nth_smallest, ordered_rank, shuffle_order
 
 SEED = 42
 
@@ -47,14 +47,15 @@ def split_three_way(
 
 
 def split_static(df: DataFrame, n_first: int, id_col: str = "doc_id") -> DataFrame:
-    """Unshuffled: first `n_first` rows by id are `train_val`, the rest `test`."""
-    edge = df.select(id_col).orderBy(id_col).limit(n_first).agg(F.max(id_col).alias("_edge"))
-    # a single aggregated row
-    return (
-        df.crossJoin(F.broadcast(edge))
-        .withColumn("part", F.when(F.col(id_col) <= F.col("_edge"), "train_val").otherwise("test"))
-        .drop("_edge")
-    )
+    """Unshuffled: first `n_first` rows by id are `train_val`, the rest `test`.
+
+    The last id of the first part is found by counting (whole-number ids), so no row moves. A
+    NULL id is in the test part.
+    """
+    edge, total = nth_smallest(df, F.col(id_col), n_first)
+    if edge is None:  # the first part is all rows or none
+        edge = df.agg(F.max(id_col)).first()[0] if n_first > total else None
+    return df.withColumn("part", F.when(F.col(id_col) <= F.lit(edge), "train_val").otherwise("test"))
 
 
 def subsample_n(df: DataFrame, n: int, id_col: str = "doc_id", seed: int = SEED) -> DataFrame:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
-from simalign.operators.rank import ordered_rank
+from simalign.operators.rank import nth_smallest, ordered_rank
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -52,8 +52,33 @@ def write_csv(df: DataFrame, path: str, index_by: str | None = None) -> None:
 
 
 def first_n(df: DataFrame, n: int, by: str) -> DataFrame:
-    """The first n rows in the order of `by`."""
-    return df.orderBy(by).limit(n)
+    """The first n rows in the order of `by`, NULLs first.
+
+    Of a whole-number column the n-th value is found by counting, and the rest is a filter: rows
+    are neither sorted nor gathered. Where more rows share that value than are wanted, the same
+    search goes over a hash of the whole row, so only rows alike in all columns are
+    interchangeable. Other columns are ranked by range partitions.
+    """
+    if not isinstance(df.schema[by].dataType, IntegralType):
+        return ordered_rank(df, by).filter(F.col("rn") <= n).drop("rn")
+    key = F.col(by)
+    nulls = df.filter(key.isNull()).count()
+    if n <= nulls:
+        sure, ties, wanted = F.lit(False), key.isNull(), n
+    else:
+        value, below = nth_smallest(df, key, n - nulls)
+        if value is None:
+            return df
+        sure, ties, wanted = key.isNull() | (key < value), key == value, n - nulls - below
+    tied = df.filter(ties)
+    if tied.count() <= wanted:
+        return df.filter(sure | ties)
+    tie = F.xxhash64(*df.columns)
+    last, before = nth_smallest(tied, tie, wanted)
+    if last is None:
+        return df.filter(sure)
+    alike = tied.filter(tie == last).limit(wanted - before)
+    return df.filter(sure | (ties & (tie < last))).unionByName(alike)
 
 
 def append_metrics(metrics: DataFrame, path: str) -> None:

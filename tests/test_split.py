@@ -1,6 +1,9 @@
 import hashlib
 
+from pyspark.sql import functions as F
+
 from simalign.operators import rank, split
+from simalign.sources import files
 
 
 def ids(spark, n):
@@ -64,3 +67,36 @@ def test_batches(spark):
 def test_empty_table(spark):
     assert split.kfold_assign(ids(spark, 0), 4).count() == 0
     assert rank.hash_rank(ids(spark, 0), "doc_id").count() == 0
+
+
+def test_first_rows_are_found_by_counting(spark):
+    ids = [5, -3, None, 2**63 - 1, -(2**63), 7, 7, 7, 0, None, 12_000_000]
+    df = spark.createDataFrame([(x, f"r{i % 9}") for i, x in enumerate(ids)], "id long, s string")
+    ordered = sorted((-(2**64) if x is None else x) for x in ids)
+    for n in (0, 1, 3, 7, 8, 11, 12):
+        got = files.first_n(df, n, "id")
+        values = sorted(-(2**64) if r.id is None else r.id for r in got.collect())
+        assert values == ordered[:n]
+        assert sorted(map(str, got.collect())) == sorted(map(str, files.first_n(df.repartition(5), n, "id").collect()))
+    rest = spark.createDataFrame([(3,)] * 6, "id long")
+    assert files.first_n(rest, 4, "id").count() == 4
+    assert files.first_n(df.limit(0), 3, "id").count() == 0
+    assert [r.s for r in files.first_n(df, 3, "s").orderBy("s").collect()] == ["r0", "r0", "r1"]
+    plan = files.first_n(spark.range(1000), 600, "id")._jdf.queryExecution().toString()
+    assert "Limit" not in plan and "Exchange" not in plan
+
+
+def test_nth_smallest(spark):
+    values = [(i * 7919) % 100_003 - 50_000 for i in range(4000)] + [17] * 50
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    ordered = sorted(values)
+    for n in (1, 2, 2000, 2050, 4049, 4050):
+        want = ordered[n - 1]
+        assert rank.nth_smallest(df, F.col("v"), n) == (want, sum(v < want for v in values))
+    assert rank.nth_smallest(df, F.col("v"), 4051) == (None, 4050) and rank.nth_smallest(df, F.col("v"), 0)[0] is None
+
+
+def test_static_split_at_the_ends(spark):
+    df = spark.createDataFrame([(i,) for i in (4, 9, 1)], "doc_id long")
+    for n, want in ((0, 0), (2, 2), (3, 3), (8, 3)):
+        assert split.split_static(df, n).filter("part = 'train_val'").count() == want
