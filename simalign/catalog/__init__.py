@@ -4,7 +4,7 @@ import importlib
 
 from simalign.catalog.base import QUERIES, Query
 
-for _module in ("corpus", "text", "neighbours", "lsh", "series", "models"):
+for _module in ("corpus", "text", "neighbours", "lsh", "series", "models", "stems"):
     importlib.import_module(f"simalign.catalog.{_module}")
 
 __all__ = ["QUERIES", "Query"]

@@ -13,7 +13,7 @@ SF = Path("/root/testdata/sf0.001")
 FAST = [
     "csv_scan", "csv_sink", "batch_scan", "parse_series", "one_hot_labels", "kfold_assign", "tokens_word",
     "tokens_keras", "vocab_count", "vectors_tfidf", "pad_sequences", "minhash_signature", "lsh_candidates",
-    "knn_bruteforce", "knn_lsh_global", "knn_lsh_local", "dtw_distance", "dtw_path", "dtw_cost_matrix",
+    "knn_bruteforce", "knn_lsh_global", "knn_lsh_local", "dtw_distance", "dtw_path", "dtw_cost_matrix", "stem_text",
 ]
 
 
