@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StructType
 
 from simalign.operators.rank import nth_smallest, ordered_rank
+from simalign.sources import quoted
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -30,15 +31,27 @@ def dealt(df: DataFrame, by: str) -> DataFrame:
     return df.repartition(cores, F.xxhash64(by)) if size < cores * ROW_GROUP_BYTES else df
 
 
+#: Quoted fields may hold line breaks and doubled quotes.
+CSV = {
+    "multiLine": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """UTF-8 CSV with a header; quoted fields may hold line breaks and doubled quotes.
+    """UTF-8 CSV with a header, every file in as many tasks as it has splits.
 
-    An empty field is NULL, quoted or not.
+    Quoted fields may hold line breaks and doubled quotes; fields without quotes hold none. An
+    empty field is NULL, quoted or not. Line breaks inside fields stay as they are written.
     """
-    return spark.read.schema(schema).csv(
-        path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8",
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-    )
+    return quoted.parsed(quoted.records(spark, path), schema, CSV)
+
+
+def read_whole_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """One task a file: for files with quotes inside unquoted fields.
+
+    In files whose lines end in \\r\\n those inside fields come back as \\n.
+    """
+    return spark.read.schema(schema).options(**CSV).csv(path, header=True, encoding="UTF-8")
 
 
 def write_csv(df: DataFrame, path: str, index_by: str | None = None) -> None:
