@@ -1,4 +1,7 @@
-from simalign.operators import blocks
+import numpy as np
+from pyspark.sql import functions as F
+
+from simalign.operators import blocks, shapes
 from simalign.operators import neighbours as nb
 from tests.test_neighbours import SCHEMA, brute_force, collected, corpus
 
@@ -30,3 +33,41 @@ def test_sets_are_not_shuffled_by_the_block(spark, monkeypatch):
     got = nb.nearest(spark.createDataFrame(train, SCHEMA), spark.createDataFrame(test, SCHEMA), 3)
     plan = got._jdf.queryExecution().toString()
     assert met and met[0][0] > 5 and met[0][1] == len(test) and "CartesianProduct" in plan
+
+
+def test_lists_of_shapes_do_not_grow_with_blocks(spark, monkeypatch):
+    rows = [r for r in corpus(15, 90, folds=3)]
+    signed = spark.createDataFrame(rows, SCHEMA).withColumn("sig", F.when(F.size("terms") > 0, F.transform(
+        F.sequence(F.lit(0), F.lit(7)), lambda i: F.array_min(F.transform("terms", lambda t: F.pmod(F.xxhash64(t, i), F.lit(1000))))
+    )))
+    encoded = nb.stage(nb.encode_sets(signed, nb.vocabulary_elsewhere(signed, 3), "sig", folds=3))
+    groups = nb.stage(nb.collapse(encoded, 4, "sig", counted=True))
+
+    def run(local):
+        out = shapes.shape_lists(groups, nb.queries_of(encoded, "sig"), [(4, 2), (8, 1)], 4, local).collect()
+        best = {}
+        for r in out:
+            best.setdefault((r.shape, r.test_id), []).append((r.dist, r.train_id, r.label, r.n))
+        total = {key: sum(x[3] for x in v) for key, v in best.items()}
+        return out, {key: sorted(x[:3] for x in v)[:4] for key, v in best.items()}, total
+
+    for local in (False, True):
+        _, one, n_one = run(local)
+        with monkeypatch.context() as m:
+            small(m)
+            m.setattr(shapes, "STEP", 8)
+            m.setattr(shapes, "INDEX_BLOCK", 3)
+            out, many, n_many = run(local)
+        assert one == many and n_one == n_many
+        sizes = {}
+        for r in out:
+            sizes[r.shape, r.test_id] = sizes.get((r.shape, r.test_id), 0) + 1
+        assert max(sizes.values()) <= 4  # before: four for every block
+
+
+def test_agreeing_rows_as_bits():
+    rng = np.random.default_rng(3)
+    for rows in (1, 7, 8, 13, 64):
+        a, b = rng.integers(0, 3, (5, rows)).astype(np.int32), rng.integers(0, 3, (6, rows)).astype(np.int32)
+        want = [[sum(1 << r for r in range(rows) if x[r] == y[r]) for y in b.tolist()] for x in a.tolist()]
+        assert shapes.agreeing(a, b).tolist() == want
