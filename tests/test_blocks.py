@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from simalign.operators import blocks, shapes
 from simalign.operators import neighbours as nb
+from simalign.plans import lsh
 from tests.test_neighbours import SCHEMA, brute_force, collected, corpus
 
 
@@ -71,3 +72,14 @@ def test_agreeing_rows_as_bits():
         a, b = rng.integers(0, 3, (5, rows)).astype(np.int32), rng.integers(0, 3, (6, rows)).astype(np.int32)
         want = [[sum(1 << r for r in range(rows) if x[r] == y[r]) for y in b.tolist()] for x in a.tolist()]
         assert shapes.agreeing(a, b).tolist() == want
+
+
+def test_candidates_move_their_sets_once_not_for_every_band(spark, monkeypatch):
+    rows = [(d, " ".join(t), l) for _, d, l, t in corpus(16, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    run = lsh.prepare(docs.filter("doc_id % 3 > 0"), docs.filter("doc_id % 3 = 0"), 64, [0.2, 0.5])
+    met = []
+    beside = blocks.beside
+    monkeypatch.setattr(blocks, "beside", lambda groups, tests, *rest: met.append(tests.count()) or beside(groups, tests, *rest))
+    plan = lsh.by_candidates(run)._jdf.queryExecution().toString()
+    assert met == [run.queries.filter("sig IS NOT NULL").count()] and "CartesianProduct" in plan
