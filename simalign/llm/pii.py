@@ -30,8 +30,7 @@ from simalign.llm import files, words
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 16
-#: No kind of number has more digits, and more numbers in a row than CHAIN are a table: an entity
-#: without letters then begins or ends the row.
+#: No kind of number has more digits. More numbers in a row than CHAIN are a table, which the features of a span tell.
 MAX_DIGITS, CHAIN = 19, 8
 #: Texts of the corpus that lend contexts to the training set, and the longest of them in bytes.
 SAMPLE_TEXTS, SAMPLE_BYTES, EXAMPLES, EPOCHS = 400, 20_000, 600, 100
@@ -175,8 +174,10 @@ FEATURES = (
     "bias", "at_sign", "at_word", "dots2", "dots3", "dot_word", "tld", "local_space", "host_space", "no_letters", "letters_mixed",
     "digits<7", "digits7-9", "digits10-11", "digits12-15", "digits14-19", "digits>19", "groups1", "groups2", "groups3",
     "groups4", "groups>4", "octets", "luhn", "four_by_four", "plus_or_paren", "zero_first", "same_separator", "slash_or_colon",
-    "comma", "date_like", "cue", "touches_word", "long_space", "goes_on",
+    "comma", "date_like", "cue", "touches_word", "long_space", "goes_on", "in_table", "apart_in_table", "table_edge",
 )
+#: What tells that a span lies in a table, or begins or ends its row.
+TABLE = ("in_table", "apart_in_table", "table_edge")
 _INDEX = {name: i for i, name in enumerate(FEATURES)}
 _AT = re.compile(r"@|(?<=[\s\[({<])(?:at|arroba|chez|bei)(?=[\s\])}>])", re.I)
 _DOT = re.compile(r"[\s\[({<]*(?:\.|(?<=[\s\[({<])(?:dot|punkt|punto|point)(?=[\s\])}>]))[\s\])}>]*", re.I)
@@ -307,12 +308,36 @@ def _rows_of_numbers(t: Tokens) -> tuple[array, array]:
     return low, high
 
 
+def _apart(t: Tokens, i: int, j: int, low: int, high: int) -> bool:
+    """Whether what stands between the numbers of a span stands neither before nor behind it, within its row low .. high."""
+    before, after, outer = i - 1, j + 1, []
+    while before >= low and t.kinds[before] != DIGITS:
+        before -= 1
+    while after <= high and t.kinds[after] != DIGITS:
+        after += 1
+    if before >= low:
+        outer.append(t.text[t.ends[before] : t.starts[i]])
+    if after <= high:
+        outer.append(t.text[t.ends[j] : t.starts[after]])
+    inner = [t.text[t.ends[x] : t.starts[y]] for x, y in _gaps(t, i, j)]
+    return bool(inner) and not any(x in outer for x in inner)
+
+
 def candidates(t: Tokens) -> Iterator[tuple[int, int, list[int], list[int]]]:
     """(first token, last token, features, kinds whose cue is near) of all possible spans, by first token."""
     lowered = [t.text[a:b].lower() if k == LETTERS else "" for a, b, k in zip(t.starts, t.ends, t.kinds, strict=True)]
     places = array("q", [x for x, k in enumerate(t.kinds) if k in (DIGITS, LETTERS)])
     lives = array("q", [x for x, k in enumerate(t.kinds) if k == DIGITS or lowered[x] in AT_WORDS or t.text[t.starts[x]] == "@"])
     low, high = _rows_of_numbers(t)
+    letters, numbers, signs, digits = array("q", [0]), array("q", [0]), array("q", [0]), array("q", [0])
+    for x, k in enumerate(t.kinds):
+        letters.append(letters[-1] + (k == LETTERS))
+        numbers.append(numbers[-1] + (k == DIGITS))
+        signs.append(signs[-1] + (k == OTHER and t.text[t.starts[x]] == "@"))
+        digits.append(digits[-1] + (t.ends[x] - t.starts[x] if k == DIGITS else 0))
+    next_letters = array("q", [len(t)]) * (len(t) + 1)
+    for x in range(len(t) - 1, -1, -1):
+        next_letters[x] = x if t.kinds[x] == LETTERS else next_letters[x + 1]
     p = q = 0
     for i in range(len(t)):
         while p < len(places) and places[p] < i:
@@ -330,18 +355,26 @@ def candidates(t: Tokens) -> Iterator[tuple[int, int, list[int], list[int]]]:
             line = t.text.find("\n", t.starts[i], t.ends[ends[-1]] if ends else t.starts[i])
             if line >= 0:
                 ends = [x for x in ends if t.ends[x] <= line or LETTERS in t.kinds[i:x + 1]]
-        if t.kinds[i] != LETTERS and high[number] >= 0:
-            if low[number] == number:
-                ends = [x for x in ends if x <= high[number]]
-            else:
-                ends = [high[number]] if high[number] in ends else []
         if not ends:
             continue
         cues = {x for x in lowered[max(0, i - 5) : i] if x}
         for j in ends:
+            plain = letters[j + 1] == letters[i]
+            if plain:  # what `span_features` refuses, told by counts: no span is lost
+                n, runs = digits[j + 1] - digits[i], numbers[j + 1] - numbers[i]
+                if n > MAX_DIGITS:
+                    if next_letters[i] > ends[-1]:
+                        break
+                    continue
+                if n < 7 and runs < 4 and signs[j + 1] == signs[i]:
+                    continue
             got = span_features(t, i, j, cues)
-            if got is not None:
-                yield i, j, *got
+            if got is None:
+                continue
+            if plain and high[number] >= 0:
+                edge = low[number] == number or j >= high[number]
+                got[0].append(_INDEX["apart_in_table" if _apart(t, i, j, low[number], high[number]) else "table_edge" if edge else "in_table"])
+            yield i, j, *got
 
 
 def lattice(t: Tokens) -> Lattice:
@@ -390,21 +423,30 @@ def log_partition(lat: Lattice, scores: np.ndarray) -> tuple[float, np.ndarray]:
 
 
 def fit(examples: list[tuple[Lattice, dict[tuple[int, int], int]]], epochs: int = EPOCHS) -> np.ndarray:
-    """Weights (features x kinds) by AdaGrad on the conditional log-likelihood, with an L2 term."""
-    weights, squares = np.zeros((WIDTH, len(KINDS))), np.full((WIDTH, len(KINDS)), 1e-6)
-    for _ in range(epochs):
-        gradient = -0.005 * weights * len(examples) / 100
-        for lat, gold in examples:
-            if not len(lat.first):
-                continue
-            wanted = np.zeros((len(lat.first), len(KINDS)))
-            for s, span in enumerate(lat.spans):
-                if span in gold:
-                    wanted[s, gold[span]] = 1
-            _, share = log_partition(lat, lat.features @ weights)
-            gradient += lat.features.T @ (wanted - share)
-        squares += gradient**2
-        weights += 0.5 * gradient / np.sqrt(squares)
+    """Weights (features x kinds) by AdaGrad on the conditional log-likelihood, with an L2 term.
+
+    Examples without a table give all other weights, then those with one the weights of what tells a
+    table: tables change nothing elsewhere.
+    """
+    of_table = np.array([name in TABLE for name in FEATURES] + [False] * len(KINDS))
+    weights, sides = np.zeros((WIDTH, len(KINDS))), ([], [])
+    for lat, gold in examples:
+        if len(lat.first):
+            sides[int(lat.features[:, of_table].any())].append((lat, gold))
+    for side, free in zip(sides, (~of_table, of_table), strict=True):
+        squares = np.full((WIDTH, len(KINDS)), 1e-6)
+        for _ in range(epochs):
+            gradient = -0.005 * weights * len(side) / 100
+            for lat, gold in side:
+                wanted = np.zeros((len(lat.first), len(KINDS)))
+                for s, span in enumerate(lat.spans):
+                    if span in gold:
+                        wanted[s, gold[span]] = 1
+                _, share = log_partition(lat, lat.features @ weights)
+                gradient += lat.features.T @ (wanted - share)
+            gradient[~free] = 0
+            squares += gradient**2
+            weights += 0.5 * gradient / np.sqrt(squares)
     return weights
 
 
@@ -507,6 +549,21 @@ def _entity(rng: random.Random, pool: list[str]) -> tuple[str, int | None]:
     ]), None
 
 
+def _table_example(rng: random.Random, near: list[str]) -> tuple[Lattice, dict]:
+    """A row of more than CHAIN numbers, none of them an entity but for a phone that may stand among them."""
+    width, separator = rng.randrange(1, 6), rng.choice([" ", "  ", ", ", "; ", "-", "/", " - "])
+    even = rng.random() < 0.5
+    cells = [_digits(rng, width if even else rng.randrange(1, width + 1)) for _ in range(rng.randrange(CHAIN + 1, 2 * CHAIN + 1))]
+    left, gold = " ".join(near[:2]) + " ", {}
+    if separator in (", ", "; ") and rng.random() < 0.5:
+        at = rng.randrange(len(cells))
+        cells[at] = rng.choice(["({}) {}-{}", "{}-{}-{}"]).format(_digits(rng, 3), _digits(rng, 3), _digits(rng, 4))
+        low = len(left) + len(separator.join([*cells[:at], ""]))
+        gold = {(low, low + len(cells[at])): KINDS.index("phone")}
+    text = left + separator.join(cells) + " " + " ".join(near[2:4])
+    return lattice(tokens(text, 0, len(text))), gold
+
+
 def training_set(texts: list[str], examples: int = EXAMPLES, seed: int = 11) -> list[tuple[Lattice, dict]]:
     """Contexts of the given texts with written-in entities, and their stretches as they are."""
     rng = random.Random(seed)
@@ -523,6 +580,8 @@ def training_set(texts: list[str], examples: int = EXAMPLES, seed: int = 11) ->
         text = f"{left} {made} {right}"
         gold = {} if kind is None else {(len(left) + 1, len(left) + 1 + len(made)): kind}
         out.append((lattice(tokens(text, 0, len(text))), gold))
+    for _ in range(examples // 8):
+        out.append(_table_example(rng, rng.choice(lines)))
     real = 0
     for t in texts:
         for low, high in stretches(t, base_spans(t)):

@@ -157,3 +157,31 @@ def test_very_long_numbers_and_tables(spark):
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r for r in pii.find(rows, weights=weights).collect()}
     assert got[0]["spans"] == got[1]["spans"] == "" and got[2]["n_ip"] == 30_000
+
+
+def test_every_span_of_a_row_of_numbers_is_tried():
+    rng = random.Random(12)
+    for _ in range(60):
+        made = "".join(rng.choice(["12", "7", "345", "9876", " ", " ", ", ", "-", ".", "(", "+", "\n", "@", "at", "mail", "dot"]) for _ in range(40))
+        t = pii.tokens(made, 0, len(made))
+        places = [x for x, k in enumerate(t.kinds) if k in (pii.DIGITS, pii.LETTERS)]
+        want = set()
+        for i in range(len(t)):
+            for j in [x for x in places if x >= i][: pii.MAX_TOKENS]:
+                if t.kinds[i] != pii.SPACE and pii.span_features(t, i, j, set()) is not None:
+                    want.add((i, j))
+        assert {(i, j) for i, j, *_ in pii.candidates(t)} == want, made
+
+
+def test_a_phone_within_a_table_is_found():
+    weights = pii.fit(pii.training_set(_sample()))
+    rng = random.Random(9)
+    for made in ("(555) 123-4567", "(218) 904-7731"):
+        cells = [str(rng.randrange(1000)) for _ in range(24)]
+        cells[11] = made
+        text = "amounts " + ", ".join(cells) + " end"
+        low = text.index(made)
+        assert pii.find_all(text, weights) == ([], [(low, 3, low + len(made))])
+    for separator in (" ", ", ", "  ", "/"):
+        text = "rows " + separator.join(str(rng.randrange(100)) for _ in range(3000)) + " end"
+        assert len(pii.find_all(text, weights)[1]) <= 3, separator
