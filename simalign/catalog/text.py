@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from simalign.catalog.base import BY_LANGUAGE, SPLIT, WORDS, by_language, documents, query
 from simalign.functions import tokens as tk
 from simalign.functions import vectors
-from simalign.operators import vocab
+from simalign.operators import sequences, vocab
 from simalign.session import stage
 
 # A short stop-word list over the four languages of the corpus.
@@ -114,8 +114,8 @@ def vocab_index(spark, sf):
 
 
 def _sequences(spark, sf):
-    known = vocab.index_vocabulary(_occurrences(spark, sf))
-    return vocab.texts_to_sequences(documents(spark, sf), tk.index_tokens(F.col("text")), known)
+    parts = sequences.term_parts(documents(spark, sf), tk.index_tokens(F.col("text")))
+    return sequences.sequences(parts, vocab.index_vocabulary(sequences.occurrences(parts)))
 
 
 @query("texts_to_sequences", "doc_id long, seq array<long>", f"WITH {OCC}, {INDEX_VOCAB}, {SEQ} SELECT doc_id, seq FROM seq")
