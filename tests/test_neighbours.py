@@ -226,3 +226,14 @@ def test_lsh_equals_brute_force_when_all_are_candidates(spark, monkeypatch):
     a = {r.doc_id: r.pred for r in lsh.knn_lsh(tr, te, 64, 0.1).collect()}
     b = {r.doc_id: r.pred for r in classify.knn_bruteforce(tr, te).collect()}
     assert a == b
+
+
+def test_the_least_shared_terms_miss_no_pair_at_the_limit():
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 60_000, 400), rng.integers(0, 60_000, 300)
+    shared = np.minimum(rng.integers(0, 60_000, (400, 300)), np.minimum(a[:, None], b[None, :]))
+    far = setsearch.distance(shared.astype(float), a[:, None], b[None, :])
+    at = far[np.arange(400), rng.integers(0, 300, 400)]  # distances of pairs that are there, so ties with the limit
+    near = shared >= setsearch.least_shared(a, b[None, :], at)
+    assert near[far <= at[:, None]].all() and near.sum() < 1.01 * (far <= at[:, None]).sum()
+    assert (setsearch.least_shared(a, b[None, :], np.full(400, np.inf)) <= 0).all()
