@@ -237,3 +237,25 @@ def test_the_least_shared_terms_miss_no_pair_at_the_limit():
     near = shared >= setsearch.least_shared(a, b[None, :], at)
     assert near[far <= at[:, None]].all() and near.sum() < 1.01 * (far <= at[:, None]).sum()
     assert (setsearch.least_shared(a, b[None, :], np.full(400, np.inf)) <= 0).all()
+
+
+def test_wider_blocks_only_where_no_set_repeats_a_term():
+    import pyarrow as pa
+
+    def searched(*ids):
+        n = len(ids)
+        return nb.Searched(pa.table({
+            "ids": pa.array(ids, pa.list_(pa.int64())), "sizes": pa.array([[len(x)] for x in ids], pa.list_(pa.int32())),
+            "member_ids": pa.array([[i] for i in range(n)], pa.list_(pa.int64())), "labels": pa.array([[0]] * n, pa.list_(pa.int32())),
+            "owns": pa.array([[-1]] * n, pa.list_(pa.int32())),
+        }))
+
+    def asked(made, *ids):
+        values, cut = setsearch.lists(pa.array(ids, pa.list_(pa.int64())))
+        found = made.nearest(values, cut, np.zeros(len(ids), int), np.full(len(ids), np.inf), 1)
+        return sorted(made.indexes), found[1].tolist()
+
+    made = searched([1, 2], [2, 3], [], [3])
+    assert asked(made, [1, 2], [], [3], [3]) == ([True], [0, 2, 3, 3])
+    assert asked(made, [1, 2], [2, 2, 3, 3]) == ([False, True], [0, 1])
+    assert asked(searched([1, 2], [2, 2]), [1, 2]) == ([False], [0])
