@@ -24,12 +24,16 @@ def signed(docs: DataFrame, *keys: str, perms: int = minhash.MAX_PERMS) -> DataF
 def lsh_candidates(train: DataFrame, test: DataFrame, perms: int, threshold: float) -> DataFrame:
     """(test_id, train_id) sharing at least one band bucket."""
     bands, rows = minhash.band_params(perms, threshold)
-    left = minhash.band_rows(signed(test, "doc_id", perms=bands * rows), bands, rows, "doc_id")
-    right = minhash.band_rows(signed(train, "doc_id", perms=bands * rows), bands, rows, "doc_id")
+
+    def banded(docs: DataFrame, id_col: str, out: str) -> DataFrame:
+        made = stage(signed(docs.select(F.col("doc_id").alias(id_col), "text"), id_col, perms=bands * rows))
+        codes = minhash.band_codes(F.col("sig"), bands, rows, out)
+        return minhash.band_rows(made.select("*", *codes), bands, rows, id_col, *[f"{out}{i}" for i in range(len(codes))])
+
     return minhash.bucket_pairs(
-        left.withColumnRenamed("doc_id", "test_id"),
-        right.withColumnRenamed("doc_id", "train_id"),
+        minhash.earlier_codes(banded(test, "test_id", "_x"), "_x", bands, rows), banded(train, "train_id", "_y"),
         ["band", "band_key"], "test_id", "train_id",
+        once=minhash.first_shared("_x", "_y", bands, rows),
     )
 
 

@@ -259,3 +259,23 @@ def test_wider_blocks_only_where_no_set_repeats_a_term():
     assert asked(made, [1, 2], [], [3], [3]) == ([True], [0, 2, 3, 3])
     assert asked(made, [1, 2], [2, 2, 3, 3]) == ([False, True], [0, 1])
     assert asked(searched([1, 2], [2, 2]), [1, 2]) == ([False], [0])
+
+
+def test_a_pair_comes_from_the_first_band_it_shares_and_full_buckets_are_cut_on_both_sides(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(minhash, "TASK_PAIRS", 50)
+    rng = random.Random(2)
+    bands, rows = 3, 3
+    sides = [[(i, [rng.randrange(2) for _ in range(bands * rows)]) for i in range(n)] for n in (30, 40)]
+
+    def banded(side, id_col, out):
+        signed = spark.createDataFrame(side, f"{id_col} long, sig array<bigint>")
+        codes = minhash.band_codes(F.col("sig"), bands, rows, out)
+        return minhash.band_rows(signed.select("*", *codes), bands, rows, id_col, *[f"{out}{i}" for i in range(len(codes))])
+
+    got = minhash.bucket_pairs(
+        minhash.earlier_codes(banded(sides[0], "a", "_x"), "_x", bands, rows), banded(sides[1], "b", "_y"), ["band", "band_key"], "a", "b",
+        once=minhash.first_shared("_x", "_y", bands, rows),
+    ).collect()
+    want = {(i, j) for i, x in sides[0] for j, y in sides[1] if any(x[s : s + rows] == y[s : s + rows] for s in range(0, bands * rows, rows))}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
