@@ -83,3 +83,32 @@ def test_candidates_move_their_sets_once_not_for_every_band(spark, monkeypatch):
     monkeypatch.setattr(blocks, "beside", lambda groups, tests, *rest: met.append(tests.count()) or beside(groups, tests, *rest))
     plan = lsh.by_candidates(run)._jdf.queryExecution().toString()
     assert met == [run.queries.filter("sig IS NOT NULL").count()] and "CartesianProduct" in plan
+
+
+def test_the_rows_of_a_block_come_once_to_a_task(spark):
+    groups = blocks.group_blocks(spark.range(12).selectExpr("0 AS fold", "int(id % 3) AS g_block", "id"), 4)
+    packed = blocks._packed(spark.range(40).selectExpr("0 AS fold", "id").repartitionByRange(2, "id").sortWithinPartitions("id"), 1, 7, "t")
+    met = blocks._crossed(groups, packed).collect()
+    tests = {r.t_no for r in met}
+    assert len(tests) > 2 and len(met) == 3 * len(tests)
+    tasks = {t >> 32 for t in tests}
+    assert sorted(r.t_no for r in met if r.t_rows is not None) == sorted(tests)  # before: with every group
+    assert sorted((r.g_no, r.t_no >> 32) for r in met if r.g_rows is not None) == sorted({(r.g_no, t) for r in met for t in tasks})
+
+
+def test_runs_are_given_out_before_they_end():
+    import pyarrow as pa
+
+    read = []
+
+    def batches():
+        for i in range(6):
+            read.append(i)
+            yield pa.RecordBatch.from_pydict({"k": [0] * 5 if i < 5 else [1] * 5, "v": list(range(5 * i, 5 * i + 5))})
+
+    out, seen = [], []
+    for run in blocks.runs(batches(), 1, 7):
+        out.append((run["k"].to_pylist()[0], run["v"].to_pylist()))
+        seen.append(len(read))
+    assert [len(v) for _, v in out] == [7, 7, 7, 4, 5] and [x for _, v in out for x in v] == list(range(30))
+    assert [k for k, _ in out] == [0, 0, 0, 0, 1] and seen[0] == 2
