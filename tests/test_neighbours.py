@@ -279,3 +279,15 @@ def test_a_pair_comes_from_the_first_band_it_shares_and_full_buckets_are_cut_on_
     ).collect()
     want = {(i, j) for i, x in sides[0] for j, y in sides[1] if any(x[s : s + rows] == y[s : s + rows] for s in range(0, bands * rows, rows))}
     assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_signatures_do_not_travel_with_terms(spark):
+    rows = [(0, 1, 0, ["a", "b"], [7, 8]), (0, 1, 0, ["a", "b"], [7, 8]), (0, 2, None, ["b", "z"], [9, 9]), (0, None, 1, [], None)]
+    sets = spark.createDataFrame(rows, "fold int, doc_id long, label int, terms array<string>, sig array<long>")
+    terms = spark.createDataFrame([(0, "a", 2, 1, 10), (0, "b", 3, 1, 11)], "fold int, term string, df long, mask long, term_id long")
+    encoded = nb.encode_sets(sets, terms, "sig")
+    got = {r["doc_id"]: (r["ids"], r["sig"]) for r in encoded.collect()}
+    assert got == {1: ([11, 11, 10, 10], [7, 8]), 2: ([11], [9, 9]), None: ([], None)}
+    plan = encoded._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = [plan[i + 1] for i, line in enumerate(plan) if "Generate explode" in line]
+    assert below and not any("sig#" in line for line in below)
