@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from simalign.functions import setsearch
 from simalign.operators import blocks, shapes
 from simalign.operators import neighbours as nb
 from simalign.plans import lsh
@@ -112,3 +113,32 @@ def test_runs_are_given_out_before_they_end():
         seen.append(len(read))
     assert [len(v) for _, v in out] == [7, 7, 7, 4, 5] and [x for _, v in out for x in v] == list(range(30))
     assert [k for k, _ in out] == [0, 0, 0, 0, 1] and seen[0] == 2
+
+
+def test_shapes_of_equal_rows_are_read_off_one_run():
+    rng = np.random.default_rng(5)
+    made = [(6, 2), (28, 2), (12, 2), (7, 1), (64, 1), (3, 5), (12, 5), (1, 64)]
+    bits, met = rng.integers(0, 2**63, (9, 40)).astype(np.uint64), rng.random((9, 40)) < 0.8
+    bits[0, :5] = np.iinfo(np.uint64).max
+    tests = shapes.Tests.__new__(shapes.Tests)
+    tests.shapes = made
+    got = {}
+    for alike, places, run in tests.families(met, bits):
+        for bands, s in alike:
+            got[s] = places[run & shapes.band_starts(bands, made[s][1]) != 0].tolist()
+    assert got == {s: np.flatnonzero(met & shapes.share_band(bits, *shape)).tolist() for s, shape in enumerate(made)}
+
+
+def test_terms_held_under_many_shapes_at_once():
+    rng = np.random.default_rng(6)
+    sets = [np.sort(rng.choice(60, rng.integers(0, 9), replace=False)) for _ in range(30)]
+    bounds = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+    index = setsearch.Index.of(np.concatenate(sets), bounds, np.diff(bounds)[None, :], 30, 10)
+    asked = [np.sort(rng.choice(70, 12, replace=False)) for _ in range(7)]
+    valid = rng.integers(0, 2**20, (7, 30)).astype(np.uint64) * (rng.random((7, 30)) < 0.3)
+    got = index.blocks[0].held(index.known(np.concatenate(asked)), np.arange(8) * 12, valid.astype(np.uint64))
+    want = [
+        int(np.bitwise_or.reduce([valid[i, j] for j, g in enumerate(index.order) if term in sets[g]], initial=0, dtype=np.uint64))
+        for i, terms in enumerate(asked) for term in terms
+    ]
+    assert got.tolist() == want
