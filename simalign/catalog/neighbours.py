@@ -274,6 +274,6 @@ def _study_sql() -> str:
 
 @query("representation_study", "representation string, accuracy double, n long", _study_sql())
 def representation(spark, sf):
-    predicted = representation_study(*split_fraction(by_language(spark, sf), 0.1))
+    predicted = stage(representation_study(*split_fraction(by_language(spark, sf), 0.1)))  # read twice
     sizes = predicted.groupBy("representation").agg(F.count("*").alias("n"))
     return evaluate.accuracy(predicted, "representation").join(sizes, "representation")

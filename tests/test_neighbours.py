@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from simalign.catalog import QUERIES
 from simalign.functions import setsearch, vectors
 from simalign.operators import buckets, minhash
 from simalign.operators import neighbours as nb
@@ -291,3 +292,11 @@ def test_signatures_do_not_travel_with_terms(spark):
     plan = encoded._jdf.queryExecution().optimizedPlan().toString().splitlines()
     below = [plan[i + 1] for i, line in enumerate(plan) if "Generate explode" in line]
     assert below and not any("sig#" in line for line in below)
+
+
+def test_a_study_that_is_read_twice_searches_once(spark, tmp_path):
+    rows = [(d, " ".join(t), ["de", "en"][l % 2]) for _, d, l, t in corpus(23, 40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["representation_study"].run(spark, str(tmp_path))
+    assert "MapInArrow" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.n for r in found.collect()} == {4}
