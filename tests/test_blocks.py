@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from simalign.functions import setsearch
@@ -142,3 +143,17 @@ def test_terms_held_under_many_shapes_at_once():
         for i, terms in enumerate(asked) for term in terms
     ]
     assert got.tolist() == want
+
+
+def test_a_value_is_bounded_by_its_terms_too(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "ELEMENTS", 20)
+    sizes = [3, 50, 7, 7, 0, 7, 20, 1]
+    table = pa.table({"id": list(range(8)), "ids": [list(range(n)) for n in sizes]})
+    parts = [part.column("id").to_pylist() for part in blocks.lighter(table, 20)]
+    assert parts == [[0], [1], [2, 3, 4], [5], [6], [7]]
+    small(monkeypatch)
+    rows = corpus(31, 90)
+    train, test = (spark.createDataFrame(side, SCHEMA) for side in (rows[:60], rows[60:]))
+    assert collected(nb.nearest(train, test, 3)) == brute_force(rows[:60], rows[60:], 3)
+    packed = blocks.group_blocks(spark.createDataFrame([(0, 0, [1] * 15)] * 4, "fold int, g_block int, ids array<long>"), 4096)
+    assert packed.count() == 4  # before: one value of 60 elements
