@@ -267,6 +267,8 @@ def _met(groups: pa.Table, tests: pa.Table, k: int, most: int) -> list[Found]:
         made = None
         for found in founds:
             made = found.meet(part, made)
+    for found in founds:
+        found.best.merged(found.limit)
     return founds
 
 
@@ -364,7 +366,7 @@ class Found:
         if "limit" in tests.column_names:
             given = tests.column("limit").to_numpy().astype(float)[self.order]
             self.limit = np.where(np.isnan(given), np.inf, given)
-        self.best = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        self.best = setsearch.Best([np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)], 3, 1, k)
 
     def meet(self, groups: pa.Table | pa.BinaryScalar, made: Searched | None = None) -> Searched:
         if made is None:
@@ -378,16 +380,11 @@ class Found:
         who, places, far = made.nearest(asked, cut, self.own[some], self.limit[some], self.k)
         labels = made.members.labels.take(pa.array(places)).cast(pa.int64()).fill_null(NO_LABEL).to_numpy()
         new = [some[who], made.members.ids[places], labels, far]
-        every = [np.concatenate(x) for x in zip(self.best, new, strict=True)]
-        kept = setsearch.first_of(every[0], every[3], every[1], self.k)
-        self.best = [x[kept] for x in every]
-        full = np.flatnonzero(np.bincount(self.best[0], minlength=len(a)) >= self.k)
-        last = np.searchsorted(self.best[0], full, "right") - 1
-        self.limit[full] = np.minimum(self.limit[full], self.best[3][last])
+        self.best.add(new, self.limit)
         return made
 
     def lists(self) -> Iterator[pa.RecordBatch]:
-        who, ids, labels, far = self.best
+        who, ids, labels, far = self.best.merged(self.limit)
         rows = pa.array(who)
         yield pa.RecordBatch.from_pydict({
             "fold": flat(self.tests.column("fold").take(rows)), "own": pa.array(self.own[who], pa.int32()),

@@ -300,3 +300,20 @@ def test_a_study_that_is_read_twice_searches_once(spark, tmp_path):
     found = QUERIES["representation_study"].run(spark, str(tmp_path))
     assert "MapInArrow" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert {r.n for r in found.collect()} == {4}
+
+
+def test_long_lists_are_not_sorted_for_every_few_new_rows(monkeypatch):
+    rng = np.random.default_rng(8)
+    sorts = []
+    first_of = setsearch.first_of
+    monkeypatch.setattr(setsearch, "first_of", lambda *rest: sorts.append(1) or first_of(*rest))
+    best, bound, every = setsearch.Best([np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)], 2, 1, 40), np.full(3, np.inf), []
+    for i in range(100):
+        rows = [rng.integers(0, 3, 9), rng.integers(0, 500, 9), rng.integers(0, 6, 9) / 8]
+        kept = rows[2] <= bound[rows[0]]
+        every += zip(*(x.tolist() for x in rows), strict=True)
+        best.add([x[kept] for x in rows], bound)
+    who, ids, far = (x.tolist() for x in best.merged(bound))
+    want = [(f, i) for o in range(3) for f, i in sorted((f, i) for w, i, f in every if w == o)[:40]]
+    assert list(zip(far, ids, strict=True)) == want and who == sorted(who)
+    assert len(sorts) < 40 and bound.tolist() == [far[o * 40 + 39] for o in range(3)]
