@@ -8,6 +8,8 @@ repeated inside the next.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,3 +120,67 @@ def with_stem(df: DataFrame, term: str, out: str = "stem") -> DataFrame:
     df = _step(df, (w.endswith("e") & silent, _cut(w, 1), left))
     df = _step(df, (w.endswith("ll") & _many(s), _cut(w, 1), _cut(s, 1)))
     return df.withColumn(out, F.when(F.length(F.col(term)) < 3, F.col(term)).otherwise(w)).drop("_word", "_shape", "_end", "_bare")
+
+
+def _plain_shape(stem: str) -> str:
+    out = ""
+    for ch in stem:
+        vowel = ch in "aeiou" or (ch == "y" and out[-1:] == "c")
+        out += "v" if vowel else "c"
+    return out
+
+
+def _plain_measure(stem: str) -> int:
+    return len(re.findall("v+c+", _plain_shape(stem)))
+
+
+def _plain_short_end(stem: str) -> bool:
+    return _plain_shape(stem)[-3:] == "cvc" and stem[-1] not in "wxy"
+
+
+def _plain_longest(word: str, suffixes) -> str | None:
+    hits = [s for s in suffixes if word.endswith(s)]
+    return max(hits, key=len) if hits else None
+
+
+def _plain_tidy(word: str) -> str:
+    if word.endswith(("at", "bl", "iz")):
+        return word + "e"
+    double = len(word) > 1 and word[-1] == word[-2] and _plain_shape(word)[-1] == "c"
+    if double and word[-1] not in "lsz":
+        return word[:-1]
+    return word + "e" if _plain_measure(word) == 1 and _plain_short_end(word) else word
+
+
+def porter(word: str) -> str:
+    """The same rules for one word, letter by letter: what the expressions must equal."""
+    if len(word) < 3:
+        return word
+    if word.endswith(("sses", "ies")):
+        word = word[:-2]
+    elif word.endswith("s") and not word.endswith("ss"):
+        word = word[:-1]
+    if word.endswith("eed"):
+        word = word[:-1] if _plain_measure(word[:-3]) > 0 else word
+    else:
+        ending = _plain_longest(word, ("ed", "ing"))
+        if ending and "v" in _plain_shape(word[: -len(ending)]):
+            word = _plain_tidy(word[: -len(ending)])
+    if word.endswith("y") and "v" in _plain_shape(word[:-1]):
+        word = word[:-1] + "i"
+    for rules in (STEP2, STEP3):
+        suffix = _plain_longest(word, rules)
+        if suffix and _plain_measure(word[: -len(suffix)]) > 0:
+            word = word[: -len(suffix)] + rules[suffix]
+    suffix = _plain_longest(word, STEP4)
+    if suffix:
+        stem = word[: -len(suffix)]
+        if _plain_measure(stem) > 1 and (suffix != "ion" or stem.endswith(("s", "t"))):
+            word = stem
+    if word.endswith("e"):
+        m = _plain_measure(word[:-1])
+        if m > 1 or (m == 1 and not _plain_short_end(word[:-1])):
+            word = word[:-1]
+    if word.endswith("ll") and _plain_measure(word) > 1:
+        word = word[:-1]
+    return word
